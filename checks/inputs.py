@@ -36,9 +36,7 @@ def _lookup(column: Column, values: dict) -> Column:
 
 
 def _quarter_hour_text(ts: Column) -> Column:
-    text = format_timestamp(ts)
-    minute = F.lpad((F.floor(F.minute(ts) / 15) * 15).cast("string"), 2, "0")
-    return F.concat(F.substring(text, 1, 14), minute, F.lit(":00"))
+    return format_timestamp(F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / 900) * 900))
 
 
 def _measurements(
@@ -73,7 +71,7 @@ def _measurements(
 
 
 def event_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze rows from ``events``: 15 modules, 3 intervals, 12 meters."""
+    """Bronze rows from ``events``: 15 modules with 2 meters each, 3 intervals."""
     number, user = F.col("event_id"), F.col("user_id")
     value = (
         F.when(number % 83 == 0, "0")
@@ -90,7 +88,7 @@ def event_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
         intervall=_lookup(number % 3, INTERVALS),
         comp_level=F.when(number % 101 != 0, "2100"),
         valuedate=F.when(number % 89 == 0, "kaputt").otherwise(_quarter_hour_text(F.col("ts"))),
-        mess_id=F.when(number % 97 == 0, "x17").otherwise((user % 12 + 180000).cast("string")),
+        mess_id=F.when(number % 97 == 0, "x17").otherwise((user % 6 + 180000).cast("string")),
         value=value,
         pvalue=value,
     )

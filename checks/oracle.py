@@ -43,7 +43,7 @@ bronze AS (
     CASE event_id % 3 WHEN 0 THEN '15_min' WHEN 1 THEN 'Täglich' ELSE 'Monatlich' END
       AS "intervall",
     CASE WHEN event_id % 101 <> 0 THEN '2100' END AS "COMP_LEVEL",
-    CASE WHEN event_id % 97 = 0 THEN 'x17' ELSE CAST(user_id % 12 + 180000 AS VARCHAR) END
+    CASE WHEN event_id % 97 = 0 THEN 'x17' ELSE CAST(user_id % 6 + 180000 AS VARCHAR) END
       AS "MESS_ID",
     value_text AS "PVALUE", {_CONSTANTS}
   FROM given)"""

@@ -14,7 +14,7 @@ from meterlake.operators.explore import explore
 from meterlake.operators.report import module_month_report
 from meterlake.operators.sensor import bucket_averages
 from meterlake.plans import jobs
-from meterlake.schema import MEASUREMENT_NAMES, SILVER
+from meterlake.schema import GOLD_INPUT, MEASUREMENT_NAMES, SILVER
 from meterlake.sinks import (
     append_load_record,
     read_load_records,
@@ -70,11 +70,15 @@ def event_file(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def stored_gold(rows: DataFrame) -> dict[str, DataFrame]:
-    """Gold built the way the job does: silver read from a table, gold stored."""
-    spark = rows.sparkSession
+def stored_silver(rows: DataFrame) -> DataFrame:
+    """Silver as a table, as far as gold needs it: text is parsed once."""
+    return stage(rows.select(*GOLD_INPUT), "silver")
+
+
+def stored_gold(silver_table: DataFrame) -> dict[str, DataFrame]:
+    spark = silver_table.sparkSession
     gold_dir = new_path(spark, "gold")
-    jobs.build_gold(stage(rows, "silver"), gold_dir)
+    jobs.build_gold(silver_table, gold_dir)
     return read_gold(spark, gold_dir)
 
 
@@ -117,16 +121,16 @@ def dim_messung(spark, sf_dir):
 
 
 def fact_star_join(spark, sf_dir):
-    return star.silver_to_gold(event_silver(spark, sf_dir))["faktentabelle"]
+    return star.silver_to_gold(stored_silver(event_silver(spark, sf_dir)))["faktentabelle"]
 
 
 def fact_star_join_lineitem(spark, sf_dir):
-    return star.silver_to_gold(lineitem_silver(spark, sf_dir))["faktentabelle"]
+    return star.silver_to_gold(stored_silver(lineitem_silver(spark, sf_dir)))["faktentabelle"]
 
 
 def fact_no_fanout(spark, sf_dir):
     """Fact rows per interval equal silver rows per interval, shared times or not."""
-    rows = stage(event_silver(spark, sf_dir), "silver")
+    rows = stored_silver(event_silver(spark, sf_dir))
     gold = star.silver_to_gold(rows)
     times = gold["dim_zeit"].select(F.col("zeit_Id").alias("FK_zeit_Id"), "intervall")
     facts = (
@@ -141,22 +145,23 @@ def fact_no_fanout(spark, sf_dir):
 
 
 def gold_verify(spark, sf_dir):
-    rows = stage(event_silver(spark, sf_dir), "silver")
-    gold_dir = new_path(spark, "gold")
-    jobs.build_gold(rows, gold_dir)
-    return quality.verify_gold(read_gold(spark, gold_dir), rows)
+    rows = stored_silver(event_silver(spark, sf_dir))
+    return quality.verify_gold(stored_gold(rows), rows)
 
 
 def gold_preview_faktentabelle(spark, sf_dir):
-    return quality.preview(stored_gold(event_silver(spark, sf_dir))["faktentabelle"])
+    rows = stored_silver(event_silver(spark, sf_dir))
+    return quality.preview(stored_gold(rows)["faktentabelle"])
 
 
 def module_month(spark, sf_dir):
-    return module_month_report(stored_gold(event_silver(spark, sf_dir)))
+    rows = stored_silver(event_silver(spark, sf_dir))
+    return module_month_report(stored_gold(rows))
 
 
 def module_month_lineitem(spark, sf_dir):
-    return module_month_report(stored_gold(lineitem_silver(spark, sf_dir)))
+    rows = stored_silver(lineitem_silver(spark, sf_dir))
+    return module_month_report(stored_gold(rows))
 
 
 # --- explore and sensor --------------------------------------------------------
@@ -254,7 +259,7 @@ def parquet_partition_roundtrip(spark, sf_dir):
 
 
 def parquet_flat_roundtrip(spark, sf_dir):
-    return stored_gold(event_silver(spark, sf_dir))["dim_zeit"]
+    return stored_gold(stored_silver(event_silver(spark, sf_dir)))["dim_zeit"]
 
 
 def parquet_readback_count(spark, sf_dir):

@@ -8,8 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: dd.MM.yyyy HH:mm:ss, all parts zero-padded.
-TIMESTAMP_TEXT = r"^\d{2}\.\d{2}\.\d{4} \d{2}:\d{2}:\d{2}$"
+# Dd.MM.yyyy HH:mm:ss with all parts zero-padded, as a format, as a
+# pattern over the whole cell, and its parts in ISO order. Any other cell matches
+# the second branch and leaves text that no cast accepts.
+TIMESTAMP_FORMAT = "dd.MM.yyyy HH:mm:ss"
+TIMESTAMP_TEXT = r"(?s)^(\d{2})\.(\d{2})\.(\d{4}) (\d{2}:\d{2}:\d{2})\z|^.*$"
+ISO_ORDER = "$3-$2-$1 $4"
 
 
 def parse_double(text: Column) -> Column:
@@ -22,25 +26,17 @@ def parse_int(text: Column) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Wall-clock time as written, independent of the session time zone."""
-    iso = F.concat(
-        F.substring(text, 7, 4), F.lit("-"),
-        F.substring(text, 4, 2), F.lit("-"),
-        F.substring(text, 1, 2), F.lit(" "),
-        F.substring(text, 12, 8),
-    )
-    return F.when(text.rlike(TIMESTAMP_TEXT), iso.try_cast("timestamp_ntz"))
+    """Wall-clock time as written, independent of the session time zone.
+
+    ``text`` is used once, so a filter on the result that the optimizer moves below
+    the projection does not repeat the expression behind ``text``.
+    """
+    return F.regexp_replace(text, TIMESTAMP_TEXT, ISO_ORDER).try_cast("timestamp_ntz")
 
 
 def format_timestamp(ts: Column) -> Column:
-    """``parse_timestamp`` backwards: ``dd.MM.yyyy HH:mm:ss`` text."""
-    iso = ts.cast("timestamp_ntz").cast("string")
-    return F.concat(
-        F.substring(iso, 9, 2), F.lit("."),
-        F.substring(iso, 6, 2), F.lit("."),
-        F.substring(iso, 1, 4), F.lit(" "),
-        F.substring(iso, 12, 8),
-    )
+    """``parse_timestamp`` backwards."""
+    return F.date_format(ts, TIMESTAMP_FORMAT)
 
 
 _PARSERS = {

@@ -1,10 +1,4 @@
-"""Silver rows to three dimensions and a fact table.
-
-No join carries a broadcast hint: the dimensions are stored before they are
-joined, so the planner knows their size and broadcasts only what fits. A time
-dimension beyond that limit is joined by sort-merge, where adaptive execution
-splits a hot time stamp over several tasks.
-"""
+"""Silver rows to three dimensions and a fact table."""
 
 from __future__ import annotations
 
@@ -12,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import calendar_columns, measurement_unit
+from meterlake.operators.joins import broadcast_if_small
 from meterlake.operators.keys import dense_key
 from meterlake.schema import DIM_MESSUNG, DIM_MODUL, DIM_ZEIT, FACT_MEASURES
+from meterlake.staging import stage
 
 
 def dim_modul(silver: DataFrame) -> DataFrame:
@@ -57,6 +53,7 @@ def join_messung(rows: DataFrame, messung: DataFrame) -> DataFrame:
 def faktentabelle(
     silver: DataFrame, modul: DataFrame, zeit: DataFrame, messung: DataFrame
 ) -> DataFrame:
+    """One fact row per silver row; silver is not shuffled for small dimensions."""
     joined = join_messung(join_zeit(join_modul(silver, modul), zeit), messung)
     return joined.select(
         F.col("zeit_Id").alias("FK_zeit_Id"),
@@ -67,14 +64,16 @@ def faktentabelle(
 
 
 def dimensions(silver: DataFrame) -> dict[str, DataFrame]:
+    """All three, in the order ``faktentabelle`` takes them, from two scans of silver."""
+    modules = stage(silver.select("modul", "messung_typ").distinct(), "modules")
     return {
-        "dim_modul": dim_modul(silver),
+        "dim_modul": dim_modul(modules),
         "dim_zeit": dim_zeit(silver),
-        "dim_messung": dim_messung(silver),
+        "dim_messung": dim_messung(modules),
     }
 
 
 def silver_to_gold(silver: DataFrame) -> dict[str, DataFrame]:
     dims = dimensions(silver)
-    fact = faktentabelle(silver, dims["dim_modul"], dims["dim_zeit"], dims["dim_messung"])
-    return {**dims, "faktentabelle": fact}
+    small = [broadcast_if_small(dimension) for dimension in dims.values()]
+    return {**dims, "faktentabelle": faktentabelle(silver, *small)}

@@ -1,0 +1,26 @@
+"""Size-checked broadcasts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Most rows a broadcast dimension may have: some 200 MB per executor for the
+#: widest of them, and 19 years of quarter hours in three intervals.
+BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(
+    dimension: DataFrame, rows: int | None = None, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Hint a broadcast only for a dimension counted to be small.
+
+    Spark's own limit is 10 MB of files; a time dimension of a few years passes it,
+    and the join would shuffle the whole fact table. Beyond ``max_rows`` there is
+    no hint: the join is sort-merge and adaptive execution splits hot keys.
+
+    ``rows`` is the count if the caller knows it. Otherwise it is counted, which
+    for a stored table reads file footers only.
+    """
+    counted = dimension.count() if rows is None else rows
+    return F.broadcast(dimension) if counted <= max_rows else dimension

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators import gold as star
+from meterlake.operators.joins import broadcast_if_small
 from meterlake.operators.sensor import bucket_averages
 from meterlake.operators.silver import typed, typed_raw
 from meterlake.schema import GOLD
@@ -39,10 +40,13 @@ def build_gold(silver: DataFrame, gold_dir: str) -> dict[str, int]:
     """
     spark = silver.sparkSession
     rows = {
-        table: write_parquet(dimension, gold_path(gold_dir, table), compact=True)
+        table: write_parquet(dimension, gold_path(gold_dir, table))
         for table, dimension in star.dimensions(silver).items()
     }
-    stored = [read_gold_table(spark, gold_dir, table) for table in rows]
+    stored = [
+        broadcast_if_small(read_gold_table(spark, gold_dir, table), count)
+        for table, count in rows.items()
+    ]
     fact = star.faktentabelle(silver, *stored)
     rows["faktentabelle"] = write_parquet(fact, gold_path(gold_dir, "faktentabelle"))
     return rows

@@ -36,6 +36,9 @@ SILVER_PARTITIONS = ["modul", "intervall", "mess_id", "year", "month"]
 SILVER_KEYS = ["mess_id", "comp_level", "valuedate"]
 FACT_MEASURES = ["value", "min", "max", "avg", "sum", "pvalue"]
 
+#: The silver columns that gold is built from.
+GOLD_INPUT = ["modul", "intervall", "valuedate", "messung_typ", *FACT_MEASURES]
+
 _SPARK_TYPES = {
     "int": T.IntegerType(),
     "double": T.DoubleType(),

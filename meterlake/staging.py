@@ -8,7 +8,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 @functools.cache
@@ -45,3 +46,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``stage`` and the number of rows, observed while writing."""
+    observation = Observation(label)
+    stored = stage(df.observe(observation, F.count(F.lit(1)).alias("rows")), label)
+    return stored, observation.get["rows"]

@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import sys
+from contextlib import contextmanager
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from meterlake.schema import MEASUREMENT_NAMES  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def settings(spark):
+    """``with settings(key=value)``: session settings for one block."""
+
+    @contextmanager
+    def changed(values: dict[str, str]):
+        before = {key: spark.conf.get(key, None) for key in values}
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+    return changed
+
+
+def measurement(**cells: str) -> dict[str, str]:
+    """One good measurement row as text, with some cells replaced."""
+    date = cells.get("VALUEDATE", "31.01.2022 23:00:00")
+    row = {
+        "COMP_LEVEL": "2100", "VALUEDATE": date, "MESS_ID": "180001", "VALUE": "10.5",
+        "STATE_VAL": "50", "STATE_ACQ": "0", "STATE_COR": "999", "ENTRYDATE": date,
+        "MIN": "1.5", "MINDATE": date, "MAX": "2.5", "MAXDATE": date, "AVG": "2.0",
+        "SUM": "8.0", "PVALUE": "42", "OFFSET": "1", "VERSION": "01.01.0001 00:00:00",
+        "TEXT": "",
+    }
+    return {**row, **cells}
+
+
+def write_measurements(
+    root: Path, modul: str, intervall: str, rows: list[dict], *, quoted=True, name="a.csv"
+) -> Path:
+    """One bronze file below ``modul=…/intervall=…``."""
+    folder = root / f"modul={modul}" / f"intervall={intervall}"
+    folder.mkdir(parents=True, exist_ok=True)
+    quote = '"' if quoted else ""
+    lines = [";".join(MEASUREMENT_NAMES)]
+    lines += [";".join(f"{quote}{row[c]}{quote}" for c in MEASUREMENT_NAMES) for row in rows]
+    (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    return folder / name
+
+
+@pytest.fixture
+def bronze_root(tmp_path):
+    """A small bronze tree with one row of every kind that matters."""
+    root = tmp_path / "bronze"
+    write_measurements(
+        root,
+        "Waermeabsatz_GOM_M",
+        "Monatlich",
+        [
+            measurement(),
+            measurement(MESS_ID="180002"),  # second meter, same time
+            measurement(),  # exact duplicate
+            measurement(VALUEDATE="31.12.2022 23:00:00"),
+            measurement(MESS_ID="x17"),
+            measurement(MESS_ID="9999999999"),
+            measurement(COMP_LEVEL=""),
+            measurement(VALUEDATE="kaputt"),
+            measurement(VALUEDATE="29.02.2022 10:00:00"),
+            measurement(VALUEDATE="1.2.2022 5:00:00"),
+            measurement(MESS_ID="", VALUE="-1"),  # two faults count once
+        ],
+    )
+    write_measurements(
+        root,
+        "Nutzungsgrad_GOM_M3_el",
+        "Täglich",
+        [
+            measurement(MESS_ID="17.9", VALUE="0.25"),
+            measurement(VALUE="NaN"),
+            measurement(VALUE="0"),
+            measurement(PVALUE="0"),
+            measurement(VALUE="-1"),
+            measurement(VALUE=""),
+            measurement(VALUE="abc"),
+        ],
+        quoted=False,
+    )
+    write_measurements(
+        root, "Strom_GOM_M1", "15_min", [measurement(VALUEDATE="27.03.2022 02:30:00")]
+    )
+    write_measurements(root, "007", "15_min", [measurement(VALUE="3")])
+    return str(root)
+
+
+def rows_of(df, *columns) -> list[tuple]:
+    selected = df.select(*columns) if columns else df
+    return sorted((tuple(row) for row in selected.collect()), key=repr)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,151 @@
+from datetime import datetime
+
+import pytest
+from conftest import measurement, plan_of, rows_of, write_measurements
+from pyspark.sql import functions as F
+
+from meterlake.operators import gold as star
+from meterlake.operators import silver
+from meterlake.operators.joins import broadcast_if_small
+from meterlake.operators.keys import dense_key
+from meterlake.operators.report import module_month_report
+from meterlake.schema import GOLD, SILVER
+from meterlake.sources import read_bronze
+from meterlake.staging import stage
+
+
+@pytest.fixture
+def silver_rows(spark, bronze_root):
+    return stage(silver.bronze_to_silver(read_bronze(spark, bronze_root)), "silver")
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_dense_key_by_range_equals_one_window(spark, settings, partitions, adaptive):
+    members = spark.range(5000).select(
+        F.concat(F.lit("m"), F.xxhash64("id").cast("string")).alias("name"),
+        (F.col("id") % 3).alias("part"),
+    )
+    changed = {
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.enabled": adaptive,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with settings(changed):
+        by_window = rows_of(dense_key(members, ["name", "part"], "key"))
+        by_range = rows_of(dense_key(members, ["name", "part"], "key", one_task_members=10))
+    assert by_range == by_window
+    assert [key for key, _, _ in sorted(by_window)] == list(range(5000))
+    assert [name for _, name, _ in sorted(by_window)] == sorted(n for _, n, _ in by_window)
+
+
+def test_schemas(silver_rows):
+    for table, df in star.silver_to_gold(silver_rows).items():
+        assert [(f.name, f.dataType) for f in df.schema] == [
+            (f.name, f.dataType) for f in GOLD[table]
+        ]
+
+
+def test_dimensions(silver_rows):
+    gold = star.silver_to_gold(silver_rows)
+    assert rows_of(gold["dim_modul"]) == [
+        (0, "007"), (1, "Nutzungsgrad_GOM_M3_el"), (2, "Strom_GOM_M1"), (3, "Waermeabsatz_GOM_M")
+    ]
+    assert rows_of(gold["dim_messung"]) == [
+        ("007", 0, "kWh"), ("Nutzungsgrad", 1, "%"), ("Strom", 2, "kWh"), ("Waermeabsatz", 3, "kWh")
+    ]
+    january = datetime(2022, 1, 31, 23)
+    assert rows_of(gold["dim_zeit"], "zeit_Id", "timestamp", "intervall", "stunde") == [
+        (0, january, "15_min", 23),
+        (1, january, "Monatlich", 23),
+        (2, january, "Täglich", 23),
+        (3, datetime(2022, 3, 27, 2, 30), "15_min", 2),
+        (4, datetime(2022, 12, 31, 23), "Monatlich", 23),
+    ]
+
+
+def test_each_silver_row_is_one_fact_row(silver_rows):
+    """Three intervals share a time stamp: joining on time alone would give more rows."""
+    gold = star.silver_to_gold(silver_rows)
+    facts = gold["faktentabelle"]
+    assert facts.count() == silver_rows.count() == 8
+    names = (
+        facts.join(gold["dim_modul"], facts["FK_modul_Id"] == F.col("modul_Id"))
+        .join(gold["dim_zeit"], facts["FK_zeit_Id"] == F.col("zeit_Id"))
+        .join(gold["dim_messung"], facts["FK_messung_Id"] == F.col("messung_Id"))
+    )
+    assert rows_of(names, "modul_name", "timestamp", "intervall", "messung_bezeichnung", "pvalue") == rows_of(
+        silver_rows, "modul", "valuedate", "intervall", "messung_typ", "pvalue"
+    )
+
+
+def test_result_does_not_depend_on_settings(spark, settings, silver_rows):
+    def build():
+        return {name: rows_of(df) for name, df in star.silver_to_gold(silver_rows).items()}
+
+    # NaN is not equal to itself, so compare as text
+    expected = repr(build())
+    for changed in (
+        {"spark.sql.shuffle.partitions": "1"},
+        {"spark.sql.shuffle.partitions": "13"},
+        {"spark.sql.adaptive.enabled": "false"},
+        {"spark.sql.session.timeZone": "Europe/Berlin"},
+        {"spark.sql.autoBroadcastJoinThreshold": "-1"},
+    ):
+        with settings(changed):
+            assert repr(build()) == expected
+
+
+def test_small_dimensions_are_broadcast_and_silver_is_not_shuffled(spark, settings, silver_rows):
+    with settings({"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        dims = [broadcast_if_small(df) for df in star.dimensions(silver_rows).values()]
+        plan = plan_of(star.faktentabelle(silver_rows, *dims))
+        assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
+        beyond = [broadcast_if_small(df, max_rows=1) for df in star.dimensions(silver_rows).values()]
+        assert "BroadcastHashJoin" not in plan_of(star.faktentabelle(silver_rows, *beyond))
+
+
+def test_hot_time_stamp_is_split_in_a_sort_merge_join(spark, settings):
+    """A third of the rows share one time stamp and the dimension is not broadcast."""
+    rows = stage(
+        spark.range(0, 60_000, 1, 8).select(
+            F.lit("15_min").alias("intervall"),
+            F.timestamp_seconds(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
+            .cast("timestamp_ntz")
+            .alias("valuedate"),
+            F.randn(1).alias("value"),
+        ),
+        "hot",
+    )
+    zeit = stage(star.dim_zeit(rows), "zeit")
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.files.maxPartitionBytes": "128KB",
+        "spark.sql.files.openCostInBytes": "1KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    with settings(changed):
+        joined = star.join_zeit(rows, broadcast_if_small(zeit, max_rows=1))
+        assert len(joined.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
+
+
+def test_module_month_report(spark, tmp_path):
+    root = tmp_path / "bronze"
+    write_measurements(
+        root,
+        "Strom_M1",
+        "15_min",
+        [measurement(VALUE="1.25"), measurement(VALUE="2.5", VALUEDATE="01.02.2022 00:00:00"),
+         measurement(VALUE="3.25", MESS_ID="180009")],
+    )
+    write_measurements(root, "Nutzungsgrad_M1", "Täglich", [measurement(VALUE="0.5")])
+    rows = stage(silver.bronze_to_silver(read_bronze(spark, str(root))).select(*SILVER.names), "s")
+    assert rows_of(module_month_report(star.silver_to_gold(rows))) == [
+        ("Nutzungsgrad_M1", "%", 2022, 1, 1, 0.5, 0.5),
+        ("Strom_M1", "kWh", 2022, 1, 2, 4.5, 2.25),
+        ("Strom_M1", "kWh", 2022, 2, 1, 2.5, 2.5),
+    ]
