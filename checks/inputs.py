@@ -36,7 +36,8 @@ def _lookup(column: Column, values: dict) -> Column:
 
 
 def _quarter_hour_text(ts: Column) -> Column:
-    return format_timestamp(F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / 900) * 900))
+    seconds = F.unix_timestamp(ts.cast("timestamp"))
+    return format_timestamp(F.timestamp_seconds(F.floor(seconds / 900) * 900))
 
 
 def _measurements(

@@ -117,8 +117,10 @@ def bronze_root(tmp_path):
 
 
 def rows_of(df, *columns) -> list[tuple]:
+    """Rows in a fixed order; NaN, which is not equal to itself, as text."""
     selected = df.select(*columns) if columns else df
-    return sorted((tuple(row) for row in selected.collect()), key=repr)
+    rows = [tuple("NaN" if cell != cell else cell for cell in row) for row in selected.collect()]
+    return sorted(rows, key=repr)
 
 
 def plan_of(df) -> str:

@@ -1,0 +1,83 @@
+from datetime import datetime
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from meterlake.operators.explore import explore
+from meterlake.operators.sensor import bucket_averages
+
+
+@pytest.fixture
+def readings(spark):
+    return spark.createDataFrame(
+        [
+            ("a", 1.0, datetime(2022, 3, 27, 2, 30)),
+            ("a", 2.0, datetime(2022, 3, 27, 23, 59)),
+            ("b", 3.0, datetime(2022, 3, 28)),
+            ("b", 3.0, datetime(2022, 3, 28)),
+            (None, 4.0, None),
+        ],
+        "name string, value double, at timestamp_ntz",
+    )
+
+
+def test_groups_without_metrics_are_distinct_rows(readings):
+    result = explore(readings, ["name", "value"])
+    assert [tuple(row) for row in result.collect()] == [
+        (None, 4.0), ("a", 1.0), ("a", 2.0), ("b", 3.0)
+    ]
+    assert [tuple(row) for row in explore(readings, ["name"], row_limit=2).collect()] == [
+        (None,), ("a",)
+    ]
+
+
+def test_metrics_filters_and_order(readings):
+    result = explore(
+        readings,
+        ["name"],
+        metrics={"count": "COUNT(*)", "largest": F.max("value")},
+        filters=["value > 1", F.col("name").isNotNull()],
+        order_by_metric="count",
+    )
+    assert [tuple(row) for row in result.collect()] == [("b", 2, 3.0), ("a", 1, 2.0)]
+    assert explore(readings, metrics={"count": "COUNT(*)"}).first()[0] == 5
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_day_grain_is_a_calendar_day(settings, readings, zone):
+    with settings({"spark.sql.session.timeZone": zone}):
+        result = explore(
+            readings, ["at"], metrics={"count": "COUNT(*)"}, time_column="at", grain="P1D"
+        )
+        assert [tuple(row) for row in result.collect()] == [
+            (None, 1), (datetime(2022, 3, 27), 2), (datetime(2022, 3, 28), 2)
+        ]
+
+
+def test_wrong_requests(readings):
+    with pytest.raises(ValueError):
+        explore(readings)
+    with pytest.raises(ValueError, match="grain"):
+        explore(readings, ["at"], time_column="at", grain="PT5M")
+    with pytest.raises(ValueError, match="time_column"):
+        explore(readings, ["name"], time_column="at", grain="P1D")
+
+
+def test_bucket_averages(spark):
+    sensor = spark.createDataFrame(
+        [
+            ("0", "1.01", "10", "1"),
+            ("59.9", "1.02", "bad", "2"),
+            ("60", "5", "20", None),
+            ("x", "7", "30", "3"),
+        ],
+        "timesecs string, humidity string, temperature string, flowrate string",
+    )
+    result = bucket_averages(sensor)
+    assert [tuple(row) for row in result.collect()] == [
+        (None, 7.0, 30.0, 3.0), (1, 1.02, 10.0, 1.5), (2, 5.0, 20.0, None)
+    ]
+    assert rows_of(bucket_averages(sensor, width=120, values=["humidity"])) == [
+        (1, 2.34), (None, 7.0)
+    ]

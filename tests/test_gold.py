@@ -83,8 +83,7 @@ def test_result_does_not_depend_on_settings(spark, settings, silver_rows):
     def build():
         return {name: rows_of(df) for name, df in star.silver_to_gold(silver_rows).items()}
 
-    # NaN is not equal to itself, so compare as text
-    expected = repr(build())
+    expected = build()
     for changed in (
         {"spark.sql.shuffle.partitions": "1"},
         {"spark.sql.shuffle.partitions": "13"},
@@ -93,7 +92,7 @@ def test_result_does_not_depend_on_settings(spark, settings, silver_rows):
         {"spark.sql.autoBroadcastJoinThreshold": "-1"},
     ):
         with settings(changed):
-            assert repr(build()) == expected
+            assert build() == expected
 
 
 def test_small_dimensions_are_broadcast_and_silver_is_not_shuffled(spark, settings, silver_rows):
