@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Time grain of the saved chart, and its row cap.
 TIME_GRAINS = {"P1D": "day"}
 CHART_ROW_LIMIT = 1000
+#: Largest row cap of an interactive query.
+LARGEST_ROW_LIMIT = 10_000
 
 
 def _expression(given: Column | str) -> Column:
@@ -24,6 +26,20 @@ def _grain_column(column: str, grain: str) -> Column:
     return F.to_date(column).cast("timestamp_ntz")
 
 
+def _rows_within_cap(df: DataFrame, column: str, row_limit: int) -> DataFrame:
+    """Rows that can be among the first ``row_limit`` groups ordered by ``column`` first.
+
+    Every group is one row of the result, so the capped result holds none but the
+    ``row_limit`` smallest values of its first column. Finding those reads one
+    column; the other rows are dropped before the wide grouping shuffles them. At
+    most ``row_limit`` values are broadcast.
+    """
+    smallest = df.select(F.col(column).alias("_smallest")).distinct()
+    smallest = smallest.orderBy("_smallest").limit(row_limit)
+    within = F.col(column).eqNullSafe(F.col("_smallest"))
+    return df.join(F.broadcast(smallest), within, "left_semi")
+
+
 def explore(
     df: DataFrame,
     groupby: Sequence[str] = (),
@@ -49,6 +65,8 @@ def explore(
         if time_column not in groupby:
             raise ValueError("time_column must be one of the group columns")
         df = df.withColumn(time_column, _grain_column(time_column, grain))
+    if groupby and not order_by_metric and row_limit and row_limit <= LARGEST_ROW_LIMIT:
+        df = _rows_within_cap(df, groupby[0], row_limit)
     if metrics:
         named = [_expression(metric).alias(name) for name, metric in metrics.items()]
         result = df.groupBy(*groupby).agg(*named)

@@ -32,6 +32,19 @@ def test_groups_without_metrics_are_distinct_rows(readings):
     ]
 
 
+def test_the_cap_keeps_the_first_groups_whole(spark):
+    """Against all groups ordered and cut, for caps below and above the distinct values."""
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 40).alias("a"),
+        F.when(F.col("id") % 5 > 0, F.pmod(F.xxhash64("id"), F.lit(60))).alias("b"),
+    )
+    groups = df.groupBy("a", "b").agg(F.count("*").alias("n")).collect()
+    expected = sorted(map(tuple, groups), key=lambda g: [(v is not None, v) for v in g[:2]])
+    for cap in (1, 5, 39, 40, 41, 500, 10_000, 20_000):
+        result = explore(df, ["a", "b"], metrics={"n": "COUNT(*)"}, row_limit=cap)
+        assert [tuple(row) for row in result.collect()] == expected[:cap]
+
+
 def test_metrics_filters_and_order(readings):
     result = explore(
         readings,

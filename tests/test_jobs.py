@@ -28,6 +28,15 @@ def test_a_failing_stage_stops_the_chain(spark, bronze_root, tmp_path):
     assert not (tmp_path / "gold").exists()
 
 
+def test_no_good_row_gives_empty_tables(spark, tmp_path):
+    write_measurements(tmp_path / "bronze", "M", "15_min", [measurement(MESS_ID="x")])
+    gold_dir = str(tmp_path / "gold")
+    done = jobs.run_chain(spark, str(tmp_path / "bronze"), str(tmp_path / "silver"), gold_dir)
+    assert done["silver"]["rows_in"] == done["silver"]["null_key_rows"] == 1
+    assert set(done["gold"].values()) == {0}
+    assert [df.count() for df in read_gold(spark, gold_dir).values()] == [0, 0, 0, 0]
+
+
 def test_no_job_overwrites_its_input(spark, bronze_root, tmp_path):
     with pytest.raises(ValueError, match="overlap"):
         jobs.bronze_to_silver_job(spark, bronze_root, bronze_root + "/silver")
