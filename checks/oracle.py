@@ -253,12 +253,34 @@ ORACLE_SQL: dict[str, str] = {
     "dim_modul": _events("SELECT * FROM dim_modul", _GOLD),
     "dim_zeit": _events("SELECT * FROM dim_zeit", _GOLD),
     "dim_messung": _events("SELECT * FROM dim_messung", _GOLD),
+    "join_modul": _events(
+        'SELECT m."modul_Id", s.modul, s.valuedate, s.value FROM silver s '
+        "JOIN dim_modul m ON s.modul = m.modul_name",
+        _GOLD,
+    ),
+    "join_zeit": _events(
+        'SELECT z."zeit_Id", s.valuedate, s.intervall, s.value FROM silver s '
+        'JOIN dim_zeit z ON s.valuedate = z."timestamp" AND s.intervall = z.intervall',
+        _GOLD,
+    ),
+    "join_messung": _events(
+        'SELECT t."messung_Id", t.messung_einheit, s.messung_typ, s.value FROM silver s '
+        "JOIN dim_messung t ON s.messung_typ = t.messung_bezeichnung",
+        _GOLD,
+    ),
     "fact_star_join": _events(_ALL_FACTS, _GOLD),
     "fact_star_join_lineitem": _lineitems(_ALL_FACTS, _GOLD),
     "fact_no_fanout": _events(
         'SELECT intervall, count(*) AS silver_rows, count(*) AS fact_rows FROM silver GROUP BY 1'
     ),
     "gold_verify": _events(_VERIFY, _GOLD),
+    "gold_table_counts": _events(
+        " UNION ALL ".join(
+            f"SELECT '{table}' AS table_name, count(*) AS \"rows\" FROM {table}"
+            for table in ("dim_modul", "dim_zeit", "dim_messung", "faktentabelle")
+        ),
+        _GOLD,
+    ),
     "gold_preview_faktentabelle": _events(
         f"SELECT * FROM faktentabelle ORDER BY {_FACT_ORDER} LIMIT 10", _GOLD
     ),
@@ -283,12 +305,22 @@ ORACLE_SQL: dict[str, str] = {
         'count(*) AS "count" FROM silver GROUP BY 1, 2'
     ),
     "sensor_bucket_avg": _SENSOR_AVERAGES,
+    "sensor_buckets": _with(
+        _SENSOR,
+        select='SELECT *, CAST(floor(TRY_CAST(timesecs AS DOUBLE) / 60) + 1 AS BIGINT) AS "hour" '
+        "FROM sensor",
+    ),
+    "sensor_first_buckets": f'{_SENSOR_AVERAGES} ORDER BY "hour" NULLS FIRST LIMIT 10',
     "sensor_job": _SENSOR_AVERAGES,
     "csv_tree_roundtrip": _events(_ALL_TYPED),
     "csv_file_scan": _event_dataset(_ALL_DATASET),
     "config_read": _event_dataset(_ALL_DATASET),
     "config_write": _events(_ALL_SILVER),
     "parquet_partition_roundtrip": _events(_ALL_SILVER),
+    "silver_dynamic_overwrite": _events(
+        "SELECT * REPLACE (CASE WHEN intervall = 'Täglich' THEN value * 2 ELSE value END AS value) "
+        f"FROM ({_ALL_SILVER})"
+    ),
     "parquet_flat_roundtrip": _events("SELECT * FROM dim_zeit", _GOLD),
     "parquet_readback_count": _events('SELECT count(*) AS "rows" FROM typed'),
     "csv_roundtrip": _with(_SENSOR, select="SELECT * FROM sensor"),

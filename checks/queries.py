@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from checks.inputs import event_measurements, event_sensor, lineitem_measurement
 from meterlake.operators import gold as star
 from meterlake.operators import quality, silver
 from meterlake.operators.explore import explore
+from meterlake.operators.joins import broadcast_if_small
 from meterlake.operators.report import module_month_report
-from meterlake.operators.sensor import bucket_averages
+from meterlake.operators.sensor import add_bucket, bucket_averages
 from meterlake.plans import jobs
 from meterlake.schema import GOLD_INPUT, MEASUREMENT_NAMES, SILVER
 from meterlake.sinks import (
@@ -120,6 +122,24 @@ def dim_messung(spark, sf_dir):
     return star.dim_messung(event_silver(spark, sf_dir))
 
 
+def join_modul(spark, sf_dir):
+    rows = stored_silver(event_silver(spark, sf_dir))
+    joined = star.join_modul(rows, broadcast_if_small(star.dim_modul(rows)))
+    return joined.select("modul_Id", "modul", "valuedate", "value")
+
+
+def join_zeit(spark, sf_dir):
+    rows = stored_silver(event_silver(spark, sf_dir))
+    joined = star.join_zeit(rows, broadcast_if_small(star.dim_zeit(rows)))
+    return joined.select("zeit_Id", "valuedate", "intervall", "value")
+
+
+def join_messung(spark, sf_dir):
+    rows = stored_silver(event_silver(spark, sf_dir))
+    joined = star.join_messung(rows, broadcast_if_small(star.dim_messung(rows)))
+    return joined.select("messung_Id", "messung_einheit", "messung_typ", "value")
+
+
 def fact_star_join(spark, sf_dir):
     return star.silver_to_gold(stored_silver(event_silver(spark, sf_dir)))["faktentabelle"]
 
@@ -154,6 +174,15 @@ def gold_preview_faktentabelle(spark, sf_dir):
     return quality.preview(stored_gold(rows)["faktentabelle"])
 
 
+def gold_table_counts(spark, sf_dir):
+    gold = stored_gold(stored_silver(event_silver(spark, sf_dir)))
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        for name, df in gold.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def module_month(spark, sf_dir):
     rows = stored_silver(event_silver(spark, sf_dir))
     return module_month_report(stored_gold(rows))
@@ -211,6 +240,14 @@ def sensor_bucket_avg(spark, sf_dir):
     return bucket_averages(event_sensor(spark, sf_dir))
 
 
+def sensor_buckets(spark, sf_dir):
+    return add_bucket(event_sensor(spark, sf_dir))
+
+
+def sensor_first_buckets(spark, sf_dir):
+    return quality.preview(bucket_averages(event_sensor(spark, sf_dir)), 10)
+
+
 def sensor_job(spark, sf_dir):
     source = new_path(spark, "sensor")
     write_csv(event_sensor(spark, sf_dir), source, header="true")
@@ -258,6 +295,17 @@ def parquet_partition_roundtrip(spark, sf_dir):
     return read_silver(spark, path)
 
 
+def silver_dynamic_overwrite(spark, sf_dir):
+    """Only the partitions of the daily interval are replaced, with doubled values."""
+    path = new_path(spark, "silver")
+    rows = silver.typed(event_measurements(spark, sf_dir))
+    write_silver(rows, path)
+    daily = rows.filter(F.col("intervall") == "Täglich")
+    doubled = daily.withColumn("value", F.col("value") * 2)
+    write_silver(doubled, path, partition_overwrite="dynamic")
+    return read_silver(spark, path)
+
+
 def parquet_flat_roundtrip(spark, sf_dir):
     return stored_gold(stored_silver(event_silver(spark, sf_dir)))["dim_zeit"]
 
@@ -317,10 +365,14 @@ QUERIES: dict[str, Query] = {
     "dim_modul": dim_modul,
     "dim_zeit": dim_zeit,
     "dim_messung": dim_messung,
+    "join_modul": join_modul,
+    "join_zeit": join_zeit,
+    "join_messung": join_messung,
     "fact_star_join": fact_star_join,
     "fact_star_join_lineitem": fact_star_join_lineitem,
     "fact_no_fanout": fact_no_fanout,
     "gold_verify": gold_verify,
+    "gold_table_counts": gold_table_counts,
     "gold_preview_faktentabelle": gold_preview_faktentabelle,
     "module_month_report": module_month,
     "module_month_report_lineitem": module_month_lineitem,
@@ -330,12 +382,15 @@ QUERIES: dict[str, Query] = {
     "explore_filtered": explore_filtered,
     "explore_day_grain": explore_day_grain,
     "sensor_bucket_avg": sensor_bucket_avg,
+    "sensor_buckets": sensor_buckets,
+    "sensor_first_buckets": sensor_first_buckets,
     "sensor_job": sensor_job,
     "csv_tree_roundtrip": csv_tree_roundtrip,
     "csv_file_scan": csv_file_scan,
     "config_read": config_read,
     "config_write": config_write,
     "parquet_partition_roundtrip": parquet_partition_roundtrip,
+    "silver_dynamic_overwrite": silver_dynamic_overwrite,
     "parquet_flat_roundtrip": parquet_flat_roundtrip,
     "parquet_readback_count": parquet_readback_count,
     "csv_roundtrip": csv_roundtrip,

@@ -24,12 +24,19 @@ from meterlake.sources.configured import check_config, check_options
 SPREAD = 32
 
 
-def spread_for_partitions(df: DataFrame, columns: list[str]) -> DataFrame:
+def spread_for_partitions(
+    df: DataFrame, columns: list[str], partitions: int | None = None
+) -> DataFrame:
+    """Bring rows of one partition value together, but not all into one task.
+
+    ``partitions`` replaces the session's number of shuffle partitions.
+    """
+    number = [] if partitions is None else [partitions]
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", *columns)
+        return df.hint("rebalance", *number, *columns)
     # without adaptive execution nothing splits a hot partition value later on
     salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in columns]), F.lit(SPREAD))
-    return df.repartition(*columns, salt)
+    return df.repartition(*number, *columns, salt)
 
 
 def write_silver(
@@ -38,6 +45,8 @@ def write_silver(
     *,
     mode: str = "overwrite",
     partition_overwrite: str = "static",
+    rebalance: bool = True,
+    partitions: int | None = None,
     max_records_per_file: int = 0,
 ) -> dict[str, int]:
     """Clean ``typed`` rows and write them; returns the cleaning counts.
@@ -46,14 +55,19 @@ def write_silver(
     the shuffle, where Spark counts each partition once even if a lost executor
     makes it repeat tasks. The few rejected rows travel that far for this.
 
+    ``rebalance=False`` writes without a shuffle. It suits input whose files hold one
+    meter each: a silver partition then comes from one file anyway. With many meters
+    per file it would leave one small file per meter, month and task.
+
     ``partition_overwrite="static"`` replaces the whole table, ``"dynamic"`` only
     the partitions that occur in ``typed``.
     """
     rows = add_partition_columns(typed.withColumn("_status", row_status()))
+    if rebalance:
+        rows = spread_for_partitions(rows, SILVER_PARTITIONS, partitions)
     observation = Observation("cleaning")
     (
-        spread_for_partitions(rows, SILVER_PARTITIONS)
-        .observe(observation, *cleaning_counts(F.col("_status")))
+        rows.observe(observation, *cleaning_counts(F.col("_status")))
         .filter(F.col("_status") == KEPT)
         .select(*SILVER.names)
         .write.mode(mode)
@@ -91,7 +105,9 @@ def write_csv(
     partition_by: list[str] | None = None,
     **options: str,
 ) -> None:
-    df.write.mode(mode).partitionBy(*(partition_by or [])).options(**options).csv(path)
+    columns = partition_by or []
+    rows = spread_for_partitions(df, columns) if columns else df
+    rows.write.mode(mode).partitionBy(*columns).options(**options).csv(path)
 
 
 def write_data(df: DataFrame, config: dict, *, mode: str = "overwrite") -> None:

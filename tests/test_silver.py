@@ -54,12 +54,13 @@ def test_empty_input(spark, bronze_root):
     assert silver.duplicate_rows(silver.clean(typed)).first()[0] == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"rebalance": False}, {"partitions": 3}])
 @pytest.mark.parametrize("adaptive", ["true", "false"])
-def test_write_reports_what_it_wrote(spark, settings, bronze_root, tmp_path, adaptive):
+def test_write_reports_what_it_wrote(spark, settings, bronze_root, tmp_path, adaptive, options):
     typed = silver.typed(read_bronze(spark, bronze_root))
     path = str(tmp_path / "silver")
     with settings({"spark.sql.adaptive.enabled": adaptive}):
-        assert write_silver(typed, path) == COUNTS
+        assert write_silver(typed, path, **options) == COUNTS
         expected = silver.bronze_to_silver(read_bronze(spark, bronze_root))
         assert rows_of(read_silver(spark, path)) == rows_of(expected, *SILVER.names)
     assert (tmp_path / "silver/modul=007/intervall=15_min/mess_id=180001/year=2022/month=1").is_dir()
