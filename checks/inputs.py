@@ -29,9 +29,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lookup(column: Column, values: dict) -> Column:
-    result = F.when(column == F.lit(None), F.lit(None))
-    for key, value in values.items():
-        result = result.when(column == key, value)
+    (first, value), *others = values.items()
+    result = F.when(column == first, value)
+    for key, other in others:
+        result = result.when(column == key, other)
     return result
 
 

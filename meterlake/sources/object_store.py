@@ -15,6 +15,7 @@ def s3a_settings(
     """Settings to pass to the session builder. The caller owns the secrets."""
     if not access_key or not secret_key:
         raise ValueError("object store credentials are missing")
+    # Names of the Hadoop settings.
     prefix = "spark.hadoop.fs.s3a"
     settings = {
         f"{prefix}.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",

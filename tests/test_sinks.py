@@ -142,6 +142,35 @@ def test_file_load_leaves_a_record(spark, bronze_root, tmp_path, database_calls)
     ]
 
 
+def test_rows_are_counted_in_the_database(spark, monkeypatch):
+    given = {}
+
+    class Reader:
+        def format(self, name):
+            given["format"] = name
+            return self
+
+        def options(self, **options):
+            given.update(options)
+            return self
+
+        def option(self, key, value):
+            given[key] = value
+            return self
+
+        def load(self):
+            return answer
+
+    answer = spark.sql("select cast(5 as decimal(20, 0)) as row_count")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark), "read", property(lambda session: Reader()))
+        assert database.count_table(spark, "jdbc:x", "public.t", {"user": "u"}) == 5
+    assert given == {
+        "format": "jdbc", "url": "jdbc:x", "user": "u",
+        "query": "SELECT COUNT(*) AS row_count FROM public.t",
+    }
+
+
 def test_lost_or_doubled_rows_are_an_error(spark, database_calls, monkeypatch):
     monkeypatch.setattr(database, "count_table", lambda *args: 4)
     with pytest.raises(RuntimeError, match="3 rows sent, 4 rows found"):
