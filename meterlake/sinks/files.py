@@ -34,9 +34,9 @@ def spread_for_partitions(
     number = [] if partitions is None else [partitions]
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", *number, *columns)
-    # without adaptive execution nothing splits a hot partition value later on
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c not in columns]), F.lit(SPREAD))
-    return df.repartition(*number, *columns, salt)
+    # without adaptive execution nothing splits a hot partition value later on; the
+    # task number also separates copies of one row, and is the same when a task repeats
+    return df.repartition(*number, *columns, F.spark_partition_id() % SPREAD)
 
 
 def write_silver(
