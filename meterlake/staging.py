@@ -1,34 +1,24 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Intermediate tables in the folder that driver and executors share."""
 
 from __future__ import annotations
 
-import atexit
-import functools
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-@functools.cache
-def _local_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="meterlake-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only in local mode."""
+    """``spark.checkpoint.dir``; where it is unset, a folder of the warehouse.
+
+    Either is a place that all executors see, never one machine's temporary folder.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(
-            "set spark.checkpoint.dir to a folder that driver and executors share"
-        )
-    return _local_folder()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -36,6 +26,23 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/meterlake-{uuid.uuid4().hex}/{label}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library staged, with the folder made for it."""
+    folder = path[: path.index("/", path.index("/meterlake-") + 1)]
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A path for the time of a job; what lies there is deleted when it ends."""
+    path = new_path(spark, label)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
