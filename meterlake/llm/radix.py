@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import SPACES, id_and_text, stage
 
 FIRST_BYTES = 64
-GROWTH = 4
+#: Few rounds keep the text moved small: each round carries what is left of open texts.
+GROWTH = 64
 
 
 def exact_groups(
@@ -71,7 +72,8 @@ def _split(active: DataFrame, width: int) -> DataFrame:
         "radix_parts",
     )
     done = F.col("group_size").isNull() | F.col("ended")
-    joined = rows.join(shared, keys, "left").select(
+    # A merge join at any size: a hot part is split among tasks, and the plan stays the same.
+    joined = rows.join(shared.hint("merge"), keys, "left").select(
         "doc_id",
         "sha",
         F.coalesce("keep_id", F.when(F.col("group_size").isNull(), F.col("doc_id"))).alias(
