@@ -6,18 +6,54 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterlake.llm.bpe import round_trip
 from meterlake.llm.common import table
+from meterlake.llm.fingerprint import compare_with_next
+from meterlake.llm.hilbert import pack_documents
 from meterlake.llm.radix import exact_groups
+from meterlake.llm.secrets import find_secrets
+from meterlake.llm.sharding import shard_documents
+from meterlake.llm.substrings import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op5_label_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_debruijn_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quartile_digest": op1_quartile_digest,
+    "op4_linked_secrets": op4_linked_secrets,
+    "op5_label_shards": op5_label_shards,
+    "op6_debruijn_repeats": op6_debruijn_repeats,
     "op7_radix_dedup": op7_radix_dedup,
+    "op9_hilbert_packing": op9_hilbert_packing,
+    "op10_bpe_replay": op10_bpe_replay,
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -34,4 +70,24 @@ ORACLE_SQL: dict[str, str] = {
                sha256(body) AS text_sha256
         FROM normal
         WINDOW same AS (PARTITION BY body)""",
+    "op6_debruijn_repeats": f"""
+        WITH words AS (
+            SELECT doc_id, list_filter(
+                string_split_regex(coalesce(text, ''), '{_SPACES}'), lambda w: w <> '') AS words
+            FROM documents),
+        windows AS (
+            SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS body
+            FROM words, unnest(range(1, len(words) - 48)) AS t(i)),
+        found AS (
+            SELECT doc_id, i, min(doc_id) OVER (PARTITION BY body) < doc_id AS again
+            FROM windows),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM found WHERE again),
+        places AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id)
+        SELECT doc_id,
+               len(words) AS n_words,
+               coalesce(len(places), 0) AS n_removed,
+               sha256(array_to_string(CASE WHEN places IS NULL THEN words ELSE list_filter(
+                   words, lambda w, i: NOT list_contains(places, i)) END, ' ')) AS kept_sha256
+        FROM words LEFT JOIN places USING (doc_id)""",
 }
