@@ -10,10 +10,13 @@ from meterlake.llm.bpe import round_trip
 from meterlake.llm.common import table
 from meterlake.llm.fingerprint import compare_with_next
 from meterlake.llm.hilbert import pack_documents
+from meterlake.llm.neardup import near_duplicates
+from meterlake.llm.quality import classify
 from meterlake.llm.radix import exact_groups
 from meterlake.llm.secrets import find_secrets
 from meterlake.llm.sharding import shard_documents
 from meterlake.llm.substrings import remove_repeats
+from meterlake.llm.wrappers import extract_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +25,14 @@ def op1_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op2_dart_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
@@ -38,6 +49,10 @@ def op7_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_page_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op9_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -48,10 +63,13 @@ def op10_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quartile_digest": op1_quartile_digest,
+    "op2_dart_neardup": op2_dart_neardup,
+    "op3_site_quality": op3_site_quality,
     "op4_linked_secrets": op4_linked_secrets,
     "op5_label_shards": op5_label_shards,
     "op6_debruijn_repeats": op6_debruijn_repeats,
     "op7_radix_dedup": op7_radix_dedup,
+    "op8_page_wrappers": op8_page_wrappers,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_bpe_replay": op10_bpe_replay,
 }
