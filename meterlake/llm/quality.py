@@ -22,6 +22,9 @@ LEAST_STRENGTH = 2.0
 #: How strongly the log odds of a site count beside those of the document.
 SITE_WEIGHT = 0.5
 
+#: The look of a text alone gives no more log odds than this, either way.
+MOST_ODDS = 10.0
+
 RIDGE, ROUNDS = 1.0, 25
 
 _SIGNS = np.frombuffer(b"!#$%&*|<>{}[]()@=+_/\\~^", np.uint8)
@@ -130,7 +133,8 @@ def _evidence(rows: DataFrame, labels: DataFrame, label_column: str, sample: int
     for i in range(count):
         x = (F.col("features")[i] - float(middle[i])) / float(scale[i])
         odds = odds + float(weights[i]) * x + float(weights[count + i]) * x * x
-    return rows.withColumn("odds", odds).drop("features")
+    bounded = F.greatest(F.lit(-MOST_ODDS), F.least(F.lit(MOST_ODDS), odds))
+    return rows.withColumn("odds", bounded).drop("features")
 
 
 def _strength(sites: DataFrame, prior: Column) -> Column:

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import id_and_text, parallelism, stage
 
-ROUNDS = 8
 #: Share by which a shard may be too large while documents still move.
-SLACK = 0.05
-#: Movers are admitted in this many steps per shard.
+SLACK = 0.02
+#: Movers to a shard are admitted in this many steps.
 STEPS = 64
-#: A group larger than this share of a shard is split, so that its parts can be placed.
-PART = 0.25
+#: The documents of a group move in parts of this share of a shard.
+PART = 1 / 16
 
 
 def shard_documents(
@@ -24,15 +24,18 @@ def shard_documents(
     shards: int = 16,
     id_column: str = "doc_id",
     text_column: str = "text",
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
 ) -> DataFrame:
     """Every document in one of ``shards``, counts at most one apart, equal texts together.
 
     Documents start in a shard drawn from their id. In each round the documents linked by
-    an equal text move towards the shard where most of them already are, as far as quotas
-    admit them; quotas come from counts per shard and step, a table of fixed size. Whatever
-    is left over in a shard at the end, unlinked documents first, fills shards that have
-    room, so that counts differ by one at most.
+    an equal text move towards the open shard where most of them already are, as far as
+    quotas admit them; quotas come from counts per shard and step, a table of fixed size. A
+    shard that had to refuse some is closed to later rounds, so a group larger than a shard
+    fills one after another. Documents without links may always make room: what exceeds a
+    shard's share in the end, those first, fills shards that have room, so that counts
+    differ by one at most. ``rounds`` end early when nothing moves any more; there are as
+    many as shards, and a few, unless given.
 
     Columns: doc_id, size (UTF-8 bytes of the text plus one), text_crc32, law (``rows``),
     shard, slot (gapless from 0 in each shard), grown_shard (null under this law),
@@ -53,87 +56,92 @@ def shard_documents(
     linked, single = _links(nodes, max(1, int(room * PART)))
     start = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(shards)).cast("int")
     single = single.withColumn("shard", start)
-    fixed = _counts(single, shards)
     linked = stage(linked.withColumn("shard", start), "shard_labels")
-    for number in range(rounds):
-        moved, linked = _propagate(linked, fixed, room, shards, number)
+    closed: set[int] = set()
+    for number in range(shards + 4 if rounds is None else rounds):
+        moved, linked = _propagate(linked, closed, room, shards, number)
         if not moved:
             break
     return _level(linked.unionByName(single), total, shards)
 
 
 def _links(nodes: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """Documents with an equal partner, by unit; and the others.
+    """Documents with an equal partner, by group and part of it; and the others.
 
-    A unit stands for the links of its members with each other. Groups of more than
-    ``most`` documents are dealt into several units by id.
+    A group stands for the links of its members with each other. Parts have about ``most``
+    documents.
     """
     groups = stage(
         nodes.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"),
         "shard_groups",
     )
-    rows = nodes.join(groups, "sha", "left")
     parts = F.ceil(F.col("group_size") / most)
-    unit = F.xxhash64("sha", F.pmod(F.xxhash64("doc_id"), parts))
-    rows = rows.withColumn("unit", F.when(F.col("group_size").isNotNull(), unit)).drop("sha")
+    group = F.when(F.col("group_size").isNotNull(), F.xxhash64("sha"))
+    rows = (
+        nodes.join(groups, "sha", "left")
+        .withColumn("group", group)
+        .withColumn("unit", F.xxhash64("group", F.pmod(F.xxhash64("doc_id"), parts)))
+        .drop("sha")
+    )
     rows = stage(rows, "shard_units")
-    return rows.filter("unit IS NOT NULL"), rows.filter("unit IS NULL")
-
-
-def _counts(rows: DataFrame, shards: int) -> list[int]:
-    counts = [0] * shards
-    for row in rows.groupBy("shard").count().collect():
-        counts[row["shard"]] = row["count"]
-    return counts
+    return rows.filter("group IS NOT NULL"), rows.filter("group IS NULL")
 
 
 def _propagate(
-    linked: DataFrame, fixed: list[int], room: int, shards: int, number: int
+    linked: DataFrame, closed: set[int], room: int, shards: int, number: int
 ) -> tuple[int, DataFrame]:
-    """One round: moves made, and the new labels."""
-    per_shard = linked.groupBy("unit", "shard").agg(F.count(F.lit(1)).alias("members"))
-    wishes = per_shard.groupBy("unit").agg(
-        F.max_by(
-            "shard",
-            F.struct("members", F.xxhash64("unit", "shard", F.lit(number // 2))),
-        ).alias("wish")
+    """One round: moves made, and the new labels; shards that refuse some are closed."""
+    is_open = ~F.col("shard").isin(sorted(closed)) if closed else F.lit(True)
+    wishes = (
+        linked.filter(is_open)
+        .groupBy("group", "shard")
+        .agg(F.count(F.lit(1)).alias("members"))
+        .groupBy("group")
+        .agg(F.max_by("shard", F.struct("members", F.xxhash64("group", "shard"))).alias("wish"))
     )
+    stays = F.col("wish").isNull() | ((F.col("group_size") > room) & ~is_open)
     step = F.pmod(F.xxhash64("unit", F.lit(number)), F.lit(STEPS)).cast("int")
     wanted = stage(
-        linked.join(wishes, "unit").withColumn("step", step), "shard_wishes"
+        linked.join(wishes, "group", "left")
+        .withColumn("wish", F.when(stays, F.col("shard")).otherwise(F.col("wish")))
+        .withColumn("step", step),
+        "shard_wishes",
     )
-    flows = (
-        wanted.groupBy("shard", "wish", "step").agg(F.count(F.lit(1)).alias("rows")).collect()
-    )  # at most shards * shards * STEPS rows
-    admitted = _quotas(flows, fixed, int(room * (1 + SLACK)), shards)
-    limit = F.element_at(F.lit(admitted), F.col("wish") + 1)
-    moves = F.col("step") < limit
+    flows = np.zeros((shards, shards, STEPS), np.int64)
+    for row in wanted.groupBy("shard", "wish", "step").count().collect():  # flows.size at most
+        flows[row["shard"], row["wish"], row["step"]] = row["count"]
+    admitted = _quotas(flows, int(room * (1 + SLACK)))
+    closed.update(shard for shard in range(shards) if admitted[shard] < STEPS)
     moved = sum(
-        f["rows"] for f in flows if f["shard"] != f["wish"] and f["step"] < admitted[f["wish"]]
+        int(flows[:, to, : admitted[to]].sum() - flows[to, to, : admitted[to]].sum())
+        for to in range(shards)
     )
-    labels = F.when(moves, F.col("wish")).otherwise(F.col("shard"))
+    limit = F.element_at(F.lit(admitted), F.col("wish") + 1)
+    labels = F.when(F.col("step") < limit, F.col("wish")).otherwise(F.col("shard"))
     return moved, wanted.withColumn("shard", labels).drop("wish", "step")
 
 
-def _quotas(flows: list, fixed: list[int], most: int, shards: int) -> list[int]:
+def _quotas(flows: np.ndarray, most: int) -> list[int]:
     """Per shard, the steps whose movers it admits, so that none grows beyond ``most``."""
+    shards = len(flows)
     admitted = [STEPS] * shards
+    steps = np.arange(STEPS)
     while True:
-        sizes, coming = list(fixed), [0] * shards
-        for flow in flows:
-            goes = flow["step"] < admitted[flow["wish"]]
-            sizes[flow["wish"] if goes else flow["shard"]] += flow["rows"]
-            coming[flow["wish"]] += flow["rows"] if goes and flow["wish"] != flow["shard"] else 0
-        over = [s for s in range(shards) if sizes[s] > most and coming[s]]
-        if not over:
+        goes = steps[None, :] < np.array(admitted)[:, None]
+        coming = (flows * goes[None]).sum(axis=2)
+        staying = (flows * ~goes[None]).sum(axis=(1, 2))
+        sizes = coming.sum(axis=0) + staying
+        new = coming.sum(axis=0) - coming.diagonal()
+        over = np.where(new > 0, sizes - most, 0)
+        if over.max() <= 0:
             return admitted
-        admitted[max(over, key=lambda s: sizes[s])] -= 1
+        admitted[int(over.argmax())] -= 1
 
 
 def _level(rows: DataFrame, total: int, shards: int) -> DataFrame:
     """Exact counts and gapless slots; what exceeds a shard's target fills the others."""
     place = F.when(
-        F.col("unit").isNotNull(), F.pmod(F.col("unit"), F.lit(1 << 20)) / (1 << 20)
+        F.col("group").isNotNull(), F.pmod(F.col("unit"), F.lit(1 << 20)) / (1 << 20)
     ).otherwise(1 + F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(1 << 20)) / (1 << 20))
     stretches = max(2, parallelism(rows.sparkSession))
     rows = rows.withColumn("place", place).withColumn(

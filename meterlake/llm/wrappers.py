@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -61,8 +62,8 @@ _INSIDE = frozenset({"article", "main"})
 class Node:
     """An element of a page, or of a wrapper that stands for it on many pages.
 
-    ``weight`` counts the characters of its own text slots, ``text`` is the text where it is
-    the same on all ``pages``, None where it differs.
+    ``weight`` counts the characters of its own text slots, ``text`` is a digest of the text
+    where that is the same on all ``pages``, None where it differs.
     """
 
     label: str
@@ -85,36 +86,44 @@ class Node:
         return cls(label, children, bool(flags & 1), bool(flags & 2), weight, text, pages)
 
 
-def align(one: Node, other: Node, pages: int) -> Node:
+def align(one: Node, other: Node, *, within_page: bool = False) -> Node:
     """The wrapper of two elements with the same label.
 
     Children are aligned by label; those that one side lacks become optional, texts that
-    differ become slots.
+    differ become slots. Neighbours within a page become one repeated element instead, whose
+    text is that of both.
     """
     left, right = one.children, other.children
     children: list[Node] = []
-    if [c.label for c in left] == [c.label for c in right]:
-        children = [align(a, b, a.pages + b.pages if pages else a.pages) for a, b in zip(left, right)]
+    i = j = 0
+    for a, b in _common([c.label for c in left], [c.label for c in right]):
+        children += map(_optional, [*left[i:a], *right[j:b]])
+        children.append(align(left[a], right[b], within_page=within_page))
+        i, j = a + 1, b + 1
+    children += map(_optional, [*left[i:], *right[j:]])
+    if within_page:
+        text = _both_texts(one.text, other.text)
     else:
-        i = j = 0
-        for a, b in _common([c.label for c in left], [c.label for c in right]):
-            children += map(_optional, [*left[i:a], *right[j:b]])
-            children.append(
-                align(left[a], right[b], left[a].pages + right[b].pages if pages else left[a].pages)
-            )
-            i, j = a + 1, b + 1
-        children += map(_optional, [*left[i:], *right[j:]])
+        text = one.text if one.text == other.text else None
     return Node(
         one.label,
         _squash(children),
         one.repeated or other.repeated,
         one.optional or other.optional,
         one.weight + other.weight,
-        one.text if one.text == other.text else None,
-        pages or one.pages,
+        text,
+        one.pages if within_page else one.pages + other.pages,
     )
 
 
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode(), digest_size=8).hexdigest()
+
+
+def _both_texts(one: str | None, other: str | None) -> str | None:
+    return None if one is None or other is None else _digest(one + other)
+
+
 def _optional(node: Node) -> Node:
     node.optional = True
     return node
@@ -122,6 +131,8 @@ def _optional(node: Node) -> Node:
 
 def _common(left: list[str], right: list[str]) -> list[tuple[int, int]]:
     """Places of a longest common subsequence."""
+    if left == right:
+        return [(i, i) for i in range(len(left))]
     rows = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
     for i in range(len(left) - 1, -1, -1):
         below, row = rows[i + 1], rows[i]
@@ -145,7 +156,7 @@ def _squash(children: list[Node]) -> list[Node]:
     for child in children:
         if result and result[-1].label == child.label:
             optional = result[-1].optional and child.optional
-            result[-1] = align(result[-1], child, 0)
+            result[-1] = align(result[-1], child, within_page=True)
             result[-1].repeated, result[-1].optional = True, optional
         else:
             result.append(child)
@@ -229,11 +240,8 @@ class Page:
                 if not node.children or node.children[-1].label != label:
                     node.children.append(Node(label))
                 node = node.children[-1]
-            if node.weight:
-                node.text = node.text if node.text == text else None
-                node.repeated = True
-            else:
-                node.text = text if len(text) <= 200 else None
+            node.repeated = node.repeated or node.weight > 0
+            node.text = _digest((node.text or "") + text)
             node.weight += len(text)
         return root
 
@@ -253,13 +261,16 @@ def region(wrapper: Node) -> list[tuple[str, ...]]:
     that differs from page to page.
     """
     found: dict[str, list[tuple[str, ...]]] = {name: [] for name in _INSIDE}
-    best: tuple[int, tuple[str, ...]] = (0, ())
+    best: tuple[int, tuple[str, ...]] | None = None
+    loose: tuple[int, tuple[str, ...]] | None = None
 
     def visit(node: Node, path: tuple[str, ...]) -> int:
-        nonlocal best
-        constant = wrapper.pages > 2 and node.pages > 2 and node.text and not node.repeated
+        nonlocal best, loose
+        constant = node.pages > 2 and node.text
         total = 0 if constant else node.weight
-        direct = total if node.label.split(".")[0] != "body" else 0
+        direct = total if path and node.label.split(".")[0] != "body" else 0
+        if total and (loose is None or total > loose[0]):
+            loose = (total, path)
         for child in node.children:
             name = child.label.split(".")[0]
             inside = any(label.split(".")[0] in _INSIDE for label in path)
@@ -271,7 +282,7 @@ def region(wrapper: Node) -> list[tuple[str, ...]]:
             total += weight
             if name in ("p", "blockquote", "pre", "li", "h1", "h2", "h3", "h4"):
                 direct += weight
-        if path and direct > best[0]:
+        if direct and (best is None or direct > best[0]):
             best = (direct, path)
         return total
 
@@ -279,7 +290,8 @@ def region(wrapper: Node) -> list[tuple[str, ...]]:
     for name in ("article", "main"):
         if found[name]:
             return list(dict.fromkeys(found[name]))
-    return [best[1]] if best[1] else []
+    chosen = best or loose
+    return [chosen[1]] if chosen else []
 
 
 def main_text(page: Page, regions: list[tuple[str, ...]]) -> str:
@@ -318,7 +330,7 @@ def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _both(one: Node, other: Node) -> Node:
-    return align(one, other, one.pages + other.pages)
+    return align(one, other)
 
 
 def _wrappers(held: dict[str, Node]) -> pa.RecordBatch:

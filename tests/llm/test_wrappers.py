@@ -1,0 +1,117 @@
+"""Main texts: markup of many kinds, wrappers, and the given pages against plain cutting."""
+
+from __future__ import annotations
+
+import html
+import re
+
+import pytest
+
+from meterlake.llm.wrappers import Page, align, extract_text, region, tokens
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def pages(spark):
+    def make(rows):
+        schema = "page_id long, url string, html string, text string, host string, regions int"
+        return spark.createDataFrame([(*row, "t", "h", 1) for row in rows], schema)
+
+    return make
+
+
+def texts(frame):
+    return {r.page_id: r.text for r in extract_text(frame).collect()}
+
+
+def test_given_pages_against_cutting_by_hand(spark):
+    frame = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    got = texts(frame)
+    rows = frame.collect()
+    assert len(got) == len(rows)
+    for row in rows:
+        inner = row.html.split("<article>")[1].split("</article>")[0]
+        blocks = re.split(r"</?(?:p|h1)>", inner)
+        plain = [re.sub(r"<[^>]*>", "", b.replace("<br>", " ")) for b in blocks]
+        clean = [" ".join(html.unescape(b).split()) for b in plain]
+        assert got[row.page_id] == "\n\n".join(b for b in clean if b)
+
+
+ARTICLE = """<html><head><title>T</title><script>if (a < b) { x = "</p>"; }</script></head><body>
+<header class=site-header><p>Site</p></header><nav><ul><li>a<li>b</ul></nav>
+<div class="cookie-notice">We use cookies</div>
+<main><article><header><h1>Head &amp; line</h1></header>
+<p>One   two<br>three <b>four</b><!-- no --> &eacute;&#33;&nbsp;x
+<p>Five<aside>Side</aside><div class="ad-slot">Buy</div>
+<ul><li>Item 1<li>Item 2</ul><form><input><p>Sign up</p></form>
+<table><tr><td>c1<td>c2</table><blockquote>Quote</blockquote>
+<style>p { x }</style></article>
+<section id="comments"><p>First!</p></section></main><footer>&copy; f</footer></body></html>"""
+MAIN = "Head & line\n\nOne two three four é! x\n\nFive\n\nItem 1\n\nItem 2\n\nc1\n\nc2\n\nQuote"
+
+
+def test_markup_of_many_kinds(pages):
+    assert texts(pages([(1, "https://a.example/x", ARTICLE)])) == {1: MAIN}
+
+
+def test_every_case(pages):
+    rows = [
+        (None, None, None),
+        (1, None, ""),
+        (2, "not a url", "plain text, no markup"),
+        (3, "http://u:p@HOST.example:80/x", "<p>a<p>b"),
+        (3, "http://host.example/x", "<p>a<p>b"),
+        (4, "https://b.example/", "<div" * 500),
+        (5, "https://b.example/", "<div>" * 5_000 + "deep" + "</div>" * 5_000),
+        (6, "https://b.example/", "<p>" + "long word " * 60_000 + "</p>"),
+        (7, "https://b.example/", "<article>cut <b>off in a ta<a href='x"),
+        (8, "https://b.example/", "a < b and c > d &am &amp &lt;p&gt; <3"),
+        (9, "https://b.example/", "</p></div></article><nav>menu</nav>"),
+        (10, "https://b.example/", "<script>never closed <p>x</p>"),
+    ]
+    result = extract_text(pages(rows)).collect()
+    assert len(result) == len(rows)
+    got = {(r.page_id, r.url): r.text for r in result}
+    assert got[None, None] == got[1, None] == ""
+    assert got[2, "not a url"] == "plain text, no markup"
+    assert got[3, "http://host.example/x"] == got[3, "http://u:p@HOST.example:80/x"] == "a\n\nb"
+    assert got[4, "https://b.example/"] == ""
+    assert got[6, "https://b.example/"] == ("long word " * 60_000).strip()
+    assert got[7, "https://b.example/"] == "cut off in a ta"
+    assert got[9, "https://b.example/"] == got[10, "https://b.example/"] == ""
+    assert all(r.n_chars == len(r.text) for r in result)
+    assert extract_text(pages([])).collect() == []
+
+
+def test_host_wrapper_finds_the_article_without_article_elements(pages):
+    """What is the same on all pages of a host is not its main text."""
+    same = "<div class=box>" + "".join(f"<p>The same long line {i} on every page</p>" for i in range(9))
+    rows = [
+        (i, f"https://c.example/{i}", f"<body>{same}</div><div class=body>"
+         + "".join(f"<p>Page {i} says {j}</p>" for j in range(1 + i % 3)) + "</div></body>")
+        for i in range(12)
+    ]
+    got = texts(pages(rows))
+    for i in range(12):
+        assert got[i] == "\n\n".join(f"Page {i} says {j}" for j in range(1 + i % 3))
+
+
+def test_alignment_makes_optional_and_repeated_parts():
+    one = Page("<article><h1>A</h1><p>1</p><p>2</p></article>").wrapper()
+    other = Page("<article><h1>B</h1><blockquote>q</blockquote><p>3</p></article>").wrapper()
+    both = align(one, other)
+    inner = both.children[0].children
+    assert [(c.label, c.optional, c.repeated) for c in inner] == [
+        ("h1", False, False), ("blockquote", True, False), ("p", False, True)
+    ]
+    assert inner[0].text is None
+    assert region(both) == [("article",)]
+
+
+def test_token_stream():
+    found = list(tokens("a<b c='>'>d</b><!-- <p> --><br/>e<script>'<p>'</script>f"))
+    assert [t[:2] for t in found] == [
+        ("text", ""), ("open", "b"), ("text", ""), ("close", "b"), ("open", "br"), ("text", ""),
+        ("text", ""),
+    ]
