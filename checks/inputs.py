@@ -37,8 +37,11 @@ def _lookup(column: Column, values: dict) -> Column:
 
 
 def _quarter_hour_text(ts: Column) -> Column:
-    seconds = F.unix_timestamp(ts.cast("timestamp"))
-    return format_timestamp(F.timestamp_seconds(F.floor(seconds / 900) * 900))
+    quarter = F.floor(F.minute(ts) / 15) * 15
+    start = F.make_timestamp_ntz(
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), quarter.cast("int"), F.lit(0)
+    )
+    return format_timestamp(start)
 
 
 def _measurements(
@@ -73,7 +76,7 @@ def _measurements(
 
 
 def event_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze rows from ``events``: 15 modules with 2 meters each, 3 intervals."""
+    """Bronze rows from ``events``: 15 modules, 3 intervals, a meter for each user."""
     number, user = F.col("event_id"), F.col("user_id")
     value = (
         F.when(number % 83 == 0, "0")
@@ -90,7 +93,7 @@ def event_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
         intervall=_lookup(number % 3, INTERVALS),
         comp_level=F.when(number % 101 != 0, "2100"),
         valuedate=F.when(number % 89 == 0, "kaputt").otherwise(_quarter_hour_text(F.col("ts"))),
-        mess_id=F.when(number % 97 == 0, "x17").otherwise((user % 6 + 180000).cast("string")),
+        mess_id=F.when(number % 97 == 0, "x17").otherwise((user + 180000).cast("string")),
         value=value,
         pvalue=value,
     )

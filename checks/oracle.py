@@ -5,13 +5,30 @@ Each statement starts from the same rule that ``inputs.py`` states for Spark.
 
 from __future__ import annotations
 
-from meterlake.schema import (
-    BRONZE_PARTITIONS,
-    FACT_MEASURES,
-    MEASUREMENT_COLUMNS,
-    MEASUREMENT_NAMES,
-    SILVER,
-)
+# The layout as the tables are described, stated here a second time so that
+# a wrong kind in the library shows.
+_INTS = ("COMP_LEVEL", "MESS_ID", "STATE_VAL", "STATE_ACQ", "STATE_COR", "OFFSET")
+_TIMES = ("VALUEDATE", "ENTRYDATE", "MINDATE", "MAXDATE")
+_TEXTS = ("VERSION", "TEXT")
+MEASUREMENT_NAMES = (
+    "COMP_LEVEL", "VALUEDATE", "MESS_ID", "VALUE", "STATE_VAL", "STATE_ACQ", "STATE_COR",
+    "ENTRYDATE", "MIN", "MINDATE", "MAX", "MAXDATE", "AVG", "SUM", "PVALUE", "OFFSET", "VERSION",
+    "TEXT",
+)
+BRONZE_PARTITIONS = ("modul", "intervall")
+FACT_MEASURES = ("value", "min", "max", "avg", "sum", "pvalue")
+
+
+def _kind(name: str) -> str:
+    if name in _INTS:
+        return "int"
+    return "timestamp" if name in _TIMES else "string" if name in _TEXTS else "double"
+
+
+MEASUREMENT_COLUMNS = [(name, name.lower(), _kind(name)) for name in MEASUREMENT_NAMES]
+SILVER_NAMES = [
+    *BRONZE_PARTITIONS, *[name.lower() for name in MEASUREMENT_NAMES], "messung_typ", "year", "month"
+]
 
 
 def _names(names) -> str:
@@ -43,7 +60,7 @@ bronze AS (
     CASE event_id % 3 WHEN 0 THEN '15_min' WHEN 1 THEN 'Täglich' ELSE 'Monatlich' END
       AS "intervall",
     CASE WHEN event_id % 101 <> 0 THEN '2100' END AS "COMP_LEVEL",
-    CASE WHEN event_id % 97 = 0 THEN 'x17' ELSE CAST(user_id % 6 + 180000 AS VARCHAR) END
+    CASE WHEN event_id % 97 = 0 THEN 'x17' ELSE CAST(user_id + 180000 AS VARCHAR) END
       AS "MESS_ID",
     value_text AS "PVALUE", {_CONSTANTS}
   FROM given)"""
@@ -160,7 +177,7 @@ def _event_dataset(select: str) -> str:
     return _with(_EVENT_BRONZE, _DATASET, select=select)
 
 
-_ALL_SILVER = f"SELECT {_names(SILVER.names)} FROM silver"
+_ALL_SILVER = f"SELECT {_names(SILVER_NAMES)} FROM silver"
 _ALL_DATASET = f"SELECT {_names(MEASUREMENT_NAMES)} FROM dataset"
 _ALL_TYPED = "SELECT * FROM typed"
 _ALL_FACTS = "SELECT * FROM faktentabelle"
@@ -205,6 +222,19 @@ _VERIFY = "SELECT *, expected = found AS passed FROM (" + " UNION ALL ".join(
             "SELECT count(*) FROM silver",
             "SELECT count(*) FROM faktentabelle",
         ),
+        _check(
+            "faktentabelle members",
+            "SELECT count(*) FROM silver",
+            f"""SELECT count(*) FROM (
+                SELECT modul, valuedate, intervall, messung_typ, {_names(FACT_MEASURES)} FROM silver
+                INTERSECT ALL
+                SELECT modul_name, "timestamp", intervall, messung_bezeichnung,
+                  {_names(FACT_MEASURES)}
+                FROM faktentabelle f
+                JOIN dim_modul m ON f."FK_modul_Id" = m."modul_Id"
+                JOIN dim_zeit z ON f."FK_zeit_Id" = z."zeit_Id"
+                JOIN dim_messung t ON f."FK_messung_Id" = t."messung_Id")""",
+        ),
         _key_check("dim_modul", "key", '"modul_Id"'),
         _key_check("dim_modul", "natural key", "modul_name"),
         _key_check("dim_zeit", "key", '"zeit_Id"'),
@@ -223,6 +253,9 @@ _FACT_ORDER = ", ".join(
 )
 
 
+_cells = ", ".join(f"""coalesce("{name}", '')""" for name in MEASUREMENT_NAMES)
+
+
 def _rounded_average(column: str) -> str:
     # half up on the printed digits of the average, as Spark rounds a double
     return (
@@ -281,6 +314,13 @@ ORACLE_SQL: dict[str, str] = {
         ),
         _GOLD,
     ),
+    "gold_preview_dim_modul": _events(
+        'SELECT * FROM dim_modul ORDER BY "modul_Id" LIMIT 10', _GOLD
+    ),
+    "gold_preview_dim_zeit": _events('SELECT * FROM dim_zeit ORDER BY "zeit_Id" LIMIT 10', _GOLD),
+    "gold_preview_dim_messung": _events(
+        "SELECT * FROM dim_messung ORDER BY messung_bezeichnung LIMIT 10", _GOLD
+    ),
     "gold_preview_faktentabelle": _events(
         f"SELECT * FROM faktentabelle ORDER BY {_FACT_ORDER} LIMIT 10", _GOLD
     ),
@@ -294,11 +334,14 @@ ORACLE_SQL: dict[str, str] = {
     "explore_count": _event_dataset(
         'SELECT "MESS_ID", count(*) AS "count" FROM dataset GROUP BY 1'
     ),
+    "explore_all_groups": _event_dataset(
+        'SELECT "VALUEDATE", "VALUE", count(*) AS "count" FROM dataset GROUP BY 1, 2'
+    ),
     "explore_total": _event_dataset('SELECT count(*) AS "count" FROM dataset'),
     "explore_filtered": _events(
         'SELECT modul, intervall, count(*) AS "count", max(value) AS max_value FROM silver '
         "WHERE value > 50 AND messung_typ <> 'Gas' GROUP BY 1, 2 "
-        'ORDER BY "count" DESC, modul, intervall LIMIT 1000'
+        'ORDER BY "count" DESC, modul, intervall'
     ),
     "explore_day_grain": _events(
         "SELECT CAST(CAST(valuedate AS DATE) AS TIMESTAMP) AS valuedate, messung_typ, "
@@ -316,18 +359,27 @@ ORACLE_SQL: dict[str, str] = {
     "csv_file_scan": _event_dataset(_ALL_DATASET),
     "config_read": _event_dataset(_ALL_DATASET),
     "config_write": _events(_ALL_SILVER),
+    "config_options": _events(_ALL_TYPED),
     "parquet_partition_roundtrip": _events(_ALL_SILVER),
+    "parquet_partition_lineitem": _lineitems(_ALL_SILVER),
     "silver_dynamic_overwrite": _events(
         "SELECT * REPLACE (CASE WHEN intervall = 'Täglich' THEN value * 2 ELSE value END AS value) "
         f"FROM ({_ALL_SILVER})"
     ),
     "parquet_flat_roundtrip": _events("SELECT * FROM dim_zeit", _GOLD),
     "parquet_readback_count": _events('SELECT count(*) AS "rows" FROM typed'),
+    "parquet_compact": _events('SELECT count(*) AS "rows", true AS few_files FROM typed'),
     "csv_roundtrip": _with(_SENSOR, select="SELECT * FROM sensor"),
-    "file_inventory": _events("SELECT DISTINCT modul, intervall FROM bronze"),
+    "file_inventory": _events(
+        "SELECT modul, intervall, 'csv' AS file_type, "
+        f"CAST(sum(strlen(concat_ws(';', {_cells})) + 1) AS BIGINT) AS bytes "
+        "FROM bronze GROUP BY 1, 2"
+    ),
     "load_record": _event_dataset(
         "SELECT 'testdaten' AS table_name, count(*) AS row_count FROM dataset"
     ),
     "job_chain": _events(_REPORT),
+    "job_chain_lineitem": _lineitems(_REPORT),
     "landing_stream": _events(_ALL_SILVER),
+    "stream_and_batch": _events(_ALL_SILVER),
 }

@@ -12,11 +12,10 @@ from checks.inputs import event_measurements, event_sensor, lineitem_measurement
 from meterlake.operators import gold as star
 from meterlake.operators import quality, silver
 from meterlake.operators.explore import explore
-from meterlake.operators.joins import broadcast_if_small
 from meterlake.operators.report import module_month_report
 from meterlake.operators.sensor import add_bucket, bucket_averages
 from meterlake.plans import jobs
-from meterlake.schema import GOLD_INPUT, MEASUREMENT_NAMES, SILVER
+from meterlake.schema import BRONZE_PARTITIONS, MEASUREMENT_NAMES, SILVER
 from meterlake.sinks import (
     append_load_record,
     read_load_records,
@@ -34,11 +33,14 @@ from meterlake.sources import (
     read_measurement_file,
     read_silver,
 )
-from meterlake.staging import new_path, stage
+from meterlake.staging import new_path
 from meterlake.streaming import start_silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Directory columns that keep files large where meters have few readings a month.
+MONTHLY = ["modul", "intervall", "year", "month"]
+
 
 # --- inputs shared by several queries ---------------------------------------
 
@@ -47,15 +49,11 @@ def event_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.bronze_to_silver(event_measurements(spark, sf_dir)).select(*SILVER.names)
 
 
-def lineitem_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.bronze_to_silver(lineitem_measurements(spark, sf_dir)).select(*SILVER.names)
-
-
-def event_tree(spark: SparkSession, sf_dir: str) -> str:
-    """The bronze tree on disk, written from ``events``."""
-    root = new_path(spark, "bronze")
+def bronze_tree(measurements: DataFrame) -> str:
+    """The bronze tree on disk."""
+    root = new_path(measurements.sparkSession, "bronze")
     write_csv(
-        event_measurements(spark, sf_dir),
+        measurements,
         root,
         partition_by=["modul", "intervall"],
         header="true",
@@ -64,6 +62,10 @@ def event_tree(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def event_tree(spark: SparkSession, sf_dir: str) -> str:
+    return bronze_tree(event_measurements(spark, sf_dir))
+
+
 def event_file(spark: SparkSession, sf_dir: str) -> str:
     """Measurement files without directory columns, written from ``events``."""
     path = new_path(spark, "measurements")
@@ -72,15 +74,25 @@ def event_file(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def stored_silver(rows: DataFrame) -> DataFrame:
-    """Silver as a table, as far as gold needs it: text is parsed once."""
-    return stage(rows.select(*GOLD_INPUT), "silver")
+def stored_silver(typed: DataFrame) -> DataFrame:
+    """The silver table, written as by the job, in directories of few columns."""
+    path = new_path(typed.sparkSession, "silver")
+    write_silver(typed, path, partition_by=BRONZE_PARTITIONS)
+    return read_silver(typed.sparkSession, path)
+
+
+def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_silver(silver.typed(event_measurements(spark, sf_dir)))
+
+
+def lineitem_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_silver(silver.typed(lineitem_measurements(spark, sf_dir)))
 
 
 def stored_gold(silver_table: DataFrame) -> dict[str, DataFrame]:
     spark = silver_table.sparkSession
     gold_dir = new_path(spark, "gold")
-    jobs.build_gold(silver_table, gold_dir)
+    jobs.build_gold(silver_table, gold_dir, verify=False)  # a query of its own does that
     return read_gold(spark, gold_dir)
 
 
@@ -123,34 +135,34 @@ def dim_messung(spark, sf_dir):
 
 
 def join_modul(spark, sf_dir):
-    rows = stored_silver(event_silver(spark, sf_dir))
-    joined = star.join_modul(rows, broadcast_if_small(star.dim_modul(rows)))
+    rows = event_table(spark, sf_dir)
+    joined = star.join_modul(rows, star.dim_modul(rows))
     return joined.select("modul_Id", "modul", "valuedate", "value")
 
 
 def join_zeit(spark, sf_dir):
-    rows = stored_silver(event_silver(spark, sf_dir))
-    joined = star.join_zeit(rows, broadcast_if_small(star.dim_zeit(rows)))
+    rows = event_table(spark, sf_dir)
+    joined = star.join_zeit(rows, star.dim_zeit(rows))
     return joined.select("zeit_Id", "valuedate", "intervall", "value")
 
 
 def join_messung(spark, sf_dir):
-    rows = stored_silver(event_silver(spark, sf_dir))
-    joined = star.join_messung(rows, broadcast_if_small(star.dim_messung(rows)))
+    rows = event_table(spark, sf_dir)
+    joined = star.join_messung(rows, star.dim_messung(rows))
     return joined.select("messung_Id", "messung_einheit", "messung_typ", "value")
 
 
 def fact_star_join(spark, sf_dir):
-    return star.silver_to_gold(stored_silver(event_silver(spark, sf_dir)))["faktentabelle"]
+    return star.silver_to_gold(event_table(spark, sf_dir))["faktentabelle"]
 
 
 def fact_star_join_lineitem(spark, sf_dir):
-    return star.silver_to_gold(stored_silver(lineitem_silver(spark, sf_dir)))["faktentabelle"]
+    return star.silver_to_gold(lineitem_table(spark, sf_dir))["faktentabelle"]
 
 
 def fact_no_fanout(spark, sf_dir):
     """Fact rows per interval equal silver rows per interval, shared times or not."""
-    rows = stored_silver(event_silver(spark, sf_dir))
+    rows = event_table(spark, sf_dir)
     gold = star.silver_to_gold(rows)
     times = gold["dim_zeit"].select(F.col("zeit_Id").alias("FK_zeit_Id"), "intervall")
     facts = (
@@ -165,17 +177,19 @@ def fact_no_fanout(spark, sf_dir):
 
 
 def gold_verify(spark, sf_dir):
-    rows = stored_silver(event_silver(spark, sf_dir))
+    rows = event_table(spark, sf_dir)
     return quality.verify_gold(stored_gold(rows), rows)
 
 
-def gold_preview_faktentabelle(spark, sf_dir):
-    rows = stored_silver(event_silver(spark, sf_dir))
-    return quality.preview(stored_gold(rows)["faktentabelle"])
+def gold_preview(table: str) -> Query:
+    def first_rows(spark, sf_dir):
+        return quality.preview(stored_gold(event_table(spark, sf_dir))[table])
+
+    return first_rows
 
 
 def gold_table_counts(spark, sf_dir):
-    gold = stored_gold(stored_silver(event_silver(spark, sf_dir)))
+    gold = stored_gold(event_table(spark, sf_dir))
     counts = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
         for name, df in gold.items()
@@ -184,12 +198,12 @@ def gold_table_counts(spark, sf_dir):
 
 
 def module_month(spark, sf_dir):
-    rows = stored_silver(event_silver(spark, sf_dir))
+    rows = event_table(spark, sf_dir)
     return module_month_report(stored_gold(rows))
 
 
 def module_month_lineitem(spark, sf_dir):
-    rows = stored_silver(lineitem_silver(spark, sf_dir))
+    rows = lineitem_table(spark, sf_dir)
     return module_month_report(stored_gold(rows))
 
 
@@ -206,8 +220,13 @@ def explore_groups_1000(spark, sf_dir):
 
 
 def explore_count(spark, sf_dir):
+    return explore(_dataset(spark, sf_dir), ["MESS_ID"], metrics={"count": "COUNT(*)"})
+
+
+def explore_all_groups(spark, sf_dir):
+    """Every group of many: the counts add up to all rows."""
     return explore(
-        _dataset(spark, sf_dir), ["MESS_ID"], metrics={"count": "COUNT(*)"}, row_limit=None
+        _dataset(spark, sf_dir), ["VALUEDATE", "VALUE"], metrics={"count": "COUNT(*)"}
     )
 
 
@@ -232,7 +251,6 @@ def explore_day_grain(spark, sf_dir):
         metrics={"count": "COUNT(*)"},
         time_column="valuedate",
         grain="P1D",
-        row_limit=None,
     )
 
 
@@ -295,6 +313,14 @@ def parquet_partition_roundtrip(spark, sf_dir):
     return read_silver(spark, path)
 
 
+def parquet_partition_lineitem(spark, sf_dir):
+    """Silver of the larger table, in directories by module, interval and month."""
+    path = new_path(spark, "silver")
+    typed = silver.typed(lineitem_measurements(spark, sf_dir))
+    write_silver(typed, path, partition_by=MONTHLY)
+    return read_silver(spark, path)
+
+
 def silver_dynamic_overwrite(spark, sf_dir):
     """Only the partitions of the daily interval are replaced, with doubled values."""
     path = new_path(spark, "silver")
@@ -307,7 +333,7 @@ def silver_dynamic_overwrite(spark, sf_dir):
 
 
 def parquet_flat_roundtrip(spark, sf_dir):
-    return stored_gold(stored_silver(event_silver(spark, sf_dir)))["dim_zeit"]
+    return stored_gold(event_table(spark, sf_dir))["dim_zeit"]
 
 
 def parquet_readback_count(spark, sf_dir):
@@ -316,6 +342,22 @@ def parquet_readback_count(spark, sf_dir):
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def parquet_compact(spark, sf_dir):
+    """Many small tasks write few files; how many follows from bytes, not from a number."""
+    path = new_path(spark, "compact")
+    rows = silver.typed(event_measurements(spark, sf_dir)).repartition(200)
+    write_parquet(rows, path, compact=True)
+    files = file_inventory(spark, path).filter(F.col("path").endswith(".parquet"))
+    advisory = 64 * 1024 * 1024
+    few = F.count(F.lit(1)) <= 1 + F.ceil(F.sum("length") / F.lit(advisory)) * 4
+    written = files.agg(few.alias("few_files"))
+    return (
+        spark.read.parquet(path)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("few_files", F.lit(written.first()[0]))
+    )
+
+
 def csv_roundtrip(spark, sf_dir):
     path = new_path(spark, "sensor")
     write_csv(event_sensor(spark, sf_dir), path, header="true")
@@ -323,13 +365,15 @@ def csv_roundtrip(spark, sf_dir):
 
 
 def file_inventory_query(spark, sf_dir):
-    """Directories of the bronze tree, found by listing its files."""
+    """The bronze tree by listing its files: directories, file types, bytes without headers."""
     files = file_inventory(spark, event_tree(spark, sf_dir)).filter(F.col("length") > 0)
     decoded = F.url_decode(F.regexp_replace("path", r"\+", "%2B"))
-    return files.select(
+    header = len(";".join(MEASUREMENT_NAMES)) + 1
+    return files.groupBy(
         F.regexp_extract(decoded, "modul=([^/]+)/", 1).alias("modul"),
         F.regexp_extract(decoded, "intervall=([^/]+)/", 1).alias("intervall"),
-    ).distinct()
+        F.regexp_extract("path", r"/part-[^/]*\.(\w+)$", 1).alias("file_type"),
+    ).agg((F.sum("length") - header * F.count(F.lit(1))).alias("bytes"))
 
 
 def load_record(spark, sf_dir):
@@ -346,6 +390,47 @@ def job_chain(spark, sf_dir):
     return module_month_report(read_gold(spark, gold_dir))
 
 
+def job_chain_lineitem(spark, sf_dir):
+    """The chain on the larger table, silver in directories by module, interval and month."""
+    gold_dir = new_path(spark, "gold")
+    root = bronze_tree(lineitem_measurements(spark, sf_dir))
+    jobs.run_chain(spark, root, new_path(spark, "silver"), gold_dir, partition_by=MONTHLY)
+    return module_month_report(read_gold(spark, gold_dir))
+
+
+def stream_and_batch(spark, sf_dir):
+    """Two intervals come by stream, the third by a batch write into the same table."""
+    path = new_path(spark, "silver")
+    rows = event_measurements(spark, sf_dir)
+    daily = F.col("intervall") == "Täglich"
+    stream = start_silver_stream(
+        spark, bronze_tree(rows.filter(~daily)), path, new_path(spark, "progress")
+    )
+    stream.awaitTermination()
+    write_silver(silver.typed(rows.filter(daily)), path, partition_overwrite="dynamic")
+    return read_silver(spark, path)
+
+
+def config_options(spark, sf_dir):
+    """Valid options of source and destination that belong to no one format."""
+    root, path = event_tree(spark, sf_dir), new_path(spark, "configured")
+    config = {
+        "source": {
+            "path": root,
+            "format": "csv",
+            "options": {"header": "true", "sep": ";", "basePath": root},
+        },
+        "schema": {name: "string" for name in [*MEASUREMENT_NAMES, *BRONZE_PARTITIONS]},
+        "destination": {
+            "path": path,
+            "format": "parquet",
+            "options": {"maxRecordsPerFile": "1000", "parquet.block.size": "1048576"},
+        },
+    }
+    write_data(silver.typed(read_data(spark, config)), config)
+    return spark.read.parquet(path)
+
+
 def landing_stream(spark, sf_dir):
     path = new_path(spark, "silver")
     stream = start_silver_stream(
@@ -373,11 +458,15 @@ QUERIES: dict[str, Query] = {
     "fact_no_fanout": fact_no_fanout,
     "gold_verify": gold_verify,
     "gold_table_counts": gold_table_counts,
-    "gold_preview_faktentabelle": gold_preview_faktentabelle,
+    "gold_preview_dim_modul": gold_preview("dim_modul"),
+    "gold_preview_dim_zeit": gold_preview("dim_zeit"),
+    "gold_preview_dim_messung": gold_preview("dim_messung"),
+    "gold_preview_faktentabelle": gold_preview("faktentabelle"),
     "module_month_report": module_month,
     "module_month_report_lineitem": module_month_lineitem,
     "explore_groups_1000": explore_groups_1000,
     "explore_count": explore_count,
+    "explore_all_groups": explore_all_groups,
     "explore_total": explore_total,
     "explore_filtered": explore_filtered,
     "explore_day_grain": explore_day_grain,
@@ -389,13 +478,18 @@ QUERIES: dict[str, Query] = {
     "csv_file_scan": csv_file_scan,
     "config_read": config_read,
     "config_write": config_write,
+    "config_options": config_options,
     "parquet_partition_roundtrip": parquet_partition_roundtrip,
+    "parquet_partition_lineitem": parquet_partition_lineitem,
     "silver_dynamic_overwrite": silver_dynamic_overwrite,
     "parquet_flat_roundtrip": parquet_flat_roundtrip,
     "parquet_readback_count": parquet_readback_count,
+    "parquet_compact": parquet_compact,
     "csv_roundtrip": csv_roundtrip,
     "file_inventory": file_inventory_query,
     "load_record": load_record,
     "job_chain": job_chain,
+    "job_chain_lineitem": job_chain_lineitem,
     "landing_stream": landing_stream,
+    "stream_and_batch": stream_and_batch,
 }

@@ -8,10 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Dd.MM.yyyy HH:mm:ss with all parts zero-padded, as a format, as a
-# pattern over the whole cell, and its parts in ISO order. Any other cell matches
-# the second branch and leaves text that no cast accepts.
-TIMESTAMP_FORMAT = "dd.MM.yyyy HH:mm:ss"
+# Dd.MM.yyyy HH:mm:ss with all parts zero-padded, as a pattern over the
+# whole cell, and its parts in ISO order. Any other cell matches the second branch and
+# leaves text that no cast accepts.
 TIMESTAMP_TEXT = r"(?s)^(\d{2})\.(\d{2})\.(\d{4}) (\d{2}:\d{2}:\d{2})\z|^.*$"
 ISO_ORDER = "$3-$2-$1 $4"
 
@@ -35,8 +34,18 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def format_timestamp(ts: Column) -> Column:
-    """``parse_timestamp`` backwards."""
-    return F.date_format(ts, TIMESTAMP_FORMAT)
+    """``parse_timestamp`` backwards: a wall-clock time as text, in any session time zone.
+
+    Put together from its parts; formatting as a whole would pass through the session's
+    zone and move times that do not exist there.
+    """
+
+    def digits(part: Column, width: int = 2) -> Column:
+        return F.lpad(part.cast("int").cast("string"), width, "0")
+
+    date = F.concat_ws(".", digits(F.dayofmonth(ts)), digits(F.month(ts)), digits(F.year(ts), 4))
+    time = F.concat_ws(":", digits(F.hour(ts)), digits(F.minute(ts)), digits(F.second(ts)))
+    return F.when(ts.isNotNull(), F.concat(date, F.lit(" "), time))
 
 
 _PARSERS = {

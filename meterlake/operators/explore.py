@@ -7,11 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Time grain of the saved chart, and its row cap.
-TIME_GRAINS = {"P1D": "day"}
-CHART_ROW_LIMIT = 1000
-#: Largest row cap of an interactive query.
-LARGEST_ROW_LIMIT = 10_000
+# Fixed value: the time grain of the saved chart, a day from midnight as written.
+# (``date_trunc`` would cut at midnight of the session's time zone.)
+TIME_GRAINS = {"P1D": lambda time: F.to_date(time).cast("timestamp_ntz")}
 
 
 def _expression(given: Column | str) -> Column:
@@ -19,25 +17,10 @@ def _expression(given: Column | str) -> Column:
 
 
 def _grain_column(column: str, grain: str) -> Column:
-    unit = TIME_GRAINS.get(grain)
-    if unit is None:
+    cut = TIME_GRAINS.get(grain)
+    if cut is None:
         raise ValueError(f"unknown time grain {grain!r}, known: {sorted(TIME_GRAINS)}")
-    # date_trunc works in the session time zone; a day starts at midnight as written
-    return F.to_date(column).cast("timestamp_ntz")
-
-
-def _rows_within_cap(df: DataFrame, column: str, row_limit: int) -> DataFrame:
-    """Rows that can be among the first ``row_limit`` groups ordered by ``column`` first.
-
-    Every group is one row of the result, so the capped result holds none but the
-    ``row_limit`` smallest values of its first column. Finding those reads one
-    column; the other rows are dropped before the wide grouping shuffles them. At
-    most ``row_limit`` values are broadcast.
-    """
-    smallest = df.select(F.col(column).alias("_smallest")).distinct()
-    smallest = smallest.orderBy("_smallest").limit(row_limit)
-    within = F.col(column).eqNullSafe(F.col("_smallest"))
-    return df.join(F.broadcast(smallest), within, "left_semi")
+    return cut(F.col(column))
 
 
 def explore(
@@ -48,14 +31,15 @@ def explore(
     filters: Sequence[Column | str] = (),
     time_column: str | None = None,
     grain: str | None = None,
-    row_limit: int | None = CHART_ROW_LIMIT,
+    row_limit: int | None = None,
     order_by_metric: str | None = None,
 ) -> DataFrame:
-    """Filter, group, aggregate, order and cap.
+    """Filter, group, aggregate and order; all groups, unless the caller sets a cap.
 
     Without metrics the result is the distinct combinations of ``groupby``.
     Rows are ordered by the group columns (or one metric, largest first, then the
-    group columns) before the cap, so equal input gives equal rows.
+    group columns) before the cap, so equal input gives equal rows. A capped result takes
+    the first rows of each task and then of those, never a full sort.
     """
     if not groupby and not metrics:
         raise ValueError("name at least one group column or metric")
@@ -65,8 +49,6 @@ def explore(
         if time_column not in groupby:
             raise ValueError("time_column must be one of the group columns")
         df = df.withColumn(time_column, _grain_column(time_column, grain))
-    if groupby and not order_by_metric and row_limit and row_limit <= LARGEST_ROW_LIMIT:
-        df = _rows_within_cap(df, groupby[0], row_limit)
     if metrics:
         named = [_expression(metric).alias(name) for name, metric in metrics.items()]
         result = df.groupBy(*groupby).agg(*named)

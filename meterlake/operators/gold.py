@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import calendar_columns, measurement_unit
-from meterlake.operators.joins import broadcast_if_small
 from meterlake.operators.keys import dense_key
 from meterlake.schema import DIM_MESSUNG, DIM_MODUL, DIM_ZEIT, FACT_MEASURES
 from meterlake.staging import stage
@@ -37,23 +36,32 @@ def dim_messung(silver: DataFrame) -> DataFrame:
 
 
 def join_modul(rows: DataFrame, modul: DataFrame) -> DataFrame:
-    return rows.join(modul, rows["modul"] == modul["modul_name"], "inner")
+    return rows.join(modul, rows["modul"].eqNullSafe(modul["modul_name"]), "inner")
 
 
 def join_zeit(rows: DataFrame, zeit: DataFrame) -> DataFrame:
     """Time stamp alone is not a key of the dimension; the interval belongs to it."""
-    keys = zeit.select("zeit_Id", F.col("timestamp").alias("valuedate"), "intervall")
-    return rows.join(keys, ["valuedate", "intervall"], "inner")
+    keys = zeit.select("zeit_Id", "timestamp", F.col("intervall").alias("zeit_intervall"))
+    same = (rows["valuedate"] == keys["timestamp"]) & rows["intervall"].eqNullSafe(
+        keys["zeit_intervall"]
+    )
+    return rows.join(keys, same, "inner").drop("timestamp", "zeit_intervall")
 
 
 def join_messung(rows: DataFrame, messung: DataFrame) -> DataFrame:
-    return rows.join(messung, rows["messung_typ"] == messung["messung_bezeichnung"], "inner")
+    same = rows["messung_typ"].eqNullSafe(messung["messung_bezeichnung"])
+    return rows.join(messung, same, "inner")
 
 
 def faktentabelle(
     silver: DataFrame, modul: DataFrame, zeit: DataFrame, messung: DataFrame
 ) -> DataFrame:
-    """One fact row per silver row; silver is not shuffled for small dimensions."""
+    """One fact row per silver row, also where a name is NULL: NULL is a member too.
+
+    Spark knows the size of stored dimensions and broadcasts those below the session's
+    limit; silver is then not shuffled. A larger one is joined by sort-merge, in which
+    adaptive execution splits a time stamp that many rows share.
+    """
     joined = join_messung(join_zeit(join_modul(silver, modul), zeit), messung)
     return joined.select(
         F.col("zeit_Id").alias("FK_zeit_Id"),
@@ -75,5 +83,4 @@ def dimensions(silver: DataFrame) -> dict[str, DataFrame]:
 
 def silver_to_gold(silver: DataFrame) -> dict[str, DataFrame]:
     dims = dimensions(silver)
-    small = [broadcast_if_small(dimension) for dimension in dims.values()]
-    return {**dims, "faktentabelle": faktentabelle(silver, *small)}
+    return {**dims, "faktentabelle": faktentabelle(silver, *dims.values())}

@@ -5,38 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.staging import stage, stage_counted
+from meterlake.staging import stage
 
-#: Most members one task may sort: about 100 MB of names or time stamps.
-ONE_TASK_MEMBERS = 1_000_000
 
-
-def dense_key(
-    members: DataFrame,
-    natural_key: list[str],
-    key_name: str,
-    one_task_members: int = ONE_TASK_MEMBERS,
-) -> DataFrame:
+def dense_key(members: DataFrame, natural_key: list[str], key_name: str) -> DataFrame:
     """Number distinct ``members`` 0, 1, 2, … in the order of ``natural_key``.
 
-    Members are stored and counted first. Few are numbered by one window; more
-    are numbered range by range, with the same result.
-    """
-    stored, count = stage_counted(members, key_name)
-    if count > one_task_members:
-        return _numbered_by_range(stored, natural_key, key_name)
-    number = F.row_number().over(Window.orderBy(*natural_key))
-    return stored.select((number - 1).cast("bigint").alias(key_name), *members.columns)
-
-
-def _numbered_by_range(stored: DataFrame, natural_key: list[str], key_name: str) -> DataFrame:
-    """Number rows inside each range of keys and add the rows of earlier ranges.
-
-    The ranges are stored with their number, so every later reading sees the same
-    ones. The window over all of them has one row per shuffle partition.
+    Rows are numbered inside each range of keys; the rows of earlier ranges are added.
+    The ranges are stored with their number, so every later reading sees the same ones.
+    The window over all of them has one row per shuffle partition.
     """
     ranges = stage(
-        stored.repartitionByRange(*natural_key).withColumn("_range", F.spark_partition_id()),
+        members.repartitionByRange(*natural_key).withColumn("_range", F.spark_partition_id()),
         key_name,
     )
     sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
@@ -50,6 +30,6 @@ def _numbered_by_range(stored: DataFrame, natural_key: list[str], key_name: str)
         .join(starts, "_range")
         .select(
             (F.col("_start") + F.col("_position") - 1).cast("bigint").alias(key_name),
-            *stored.columns,
+            *members.columns,
         )
     )

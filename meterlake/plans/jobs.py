@@ -5,24 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators import gold as star
-from meterlake.operators.joins import broadcast_if_small
+from meterlake.operators.quality import verify_gold
 from meterlake.operators.sensor import bucket_averages
 from meterlake.operators.silver import typed, typed_raw
-from meterlake.schema import GOLD
+from meterlake.paths import refuse_overlap
 from meterlake.sinks.database import export_checked
 from meterlake.sinks.files import write_csv, write_parquet, write_silver
+from meterlake.sinks.gold import new_version, publish
 from meterlake.sinks.load_record import append_load_record
 from meterlake.sources.files import read_bronze, read_header_csv, read_measurement_file
 from meterlake.sources.tables import gold_path, read_gold, read_gold_table, read_silver
-
-
-def refuse_overlap(*paths: str) -> None:
-    """No job may overwrite what it reads."""
-    folders = [path.rstrip("/") + "/" for path in paths]
-    for i, one in enumerate(folders):
-        for other in folders[i + 1 :]:
-            if one.startswith(other) or other.startswith(one):
-                raise ValueError(f"paths overlap: {one!r} and {other!r}")
+from meterlake.staging import job_folder, remove
 
 
 def bronze_to_silver_job(
@@ -33,22 +26,32 @@ def bronze_to_silver_job(
     return write_silver(typed(read_bronze(spark, bronze_root)), silver_path, **write_options)
 
 
-def build_gold(silver: DataFrame, gold_dir: str) -> dict[str, int]:
-    """Store the dimensions, then join the fact to the stored copies.
+def build_gold(silver: DataFrame, gold_dir: str, *, verify: bool = True) -> dict[str, int]:
+    """Write all four tables as a new version, verify them, then publish the version.
 
-    Returns the rows written per table.
+    The fact joins the stored dimensions. Until the end readers see the version before, and
+    they go on doing so if anything fails; the new one is deleted then. Returns the rows
+    written per table.
     """
     spark = silver.sparkSession
-    rows = {
-        table: write_parquet(dimension, gold_path(gold_dir, table))
-        for table, dimension in star.dimensions(silver).items()
-    }
-    stored = [
-        broadcast_if_small(read_gold_table(spark, gold_dir, table), count)
-        for table, count in rows.items()
-    ]
-    fact = star.faktentabelle(silver, *stored)
-    rows["faktentabelle"] = write_parquet(fact, gold_path(gold_dir, "faktentabelle"))
+    version = new_version(gold_dir)
+    try:
+        with job_folder(spark):
+            rows = {
+                table: write_parquet(dimension, gold_path(version, table))
+                for table, dimension in star.dimensions(silver).items()
+            }
+            stored = [read_gold_table(spark, version, table) for table in rows]
+            fact = star.faktentabelle(silver, *stored)
+            rows["faktentabelle"] = write_parquet(fact, gold_path(version, "faktentabelle"))
+            checks = verify_gold(read_gold(spark, version), silver).collect() if verify else []
+        failed = [check.check_name for check in checks if not check.passed]
+        if failed:
+            raise RuntimeError(f"gold does not match silver: {failed}")
+        publish(spark, gold_dir, version)
+    except BaseException:
+        remove(spark, version)
+        raise
     return rows
 
 
@@ -81,11 +84,15 @@ def run_chain(
     *,
     jdbc_url: str | None = None,
     jdbc_properties: dict[str, str] | None = None,
+    **write_options,
 ) -> dict[str, dict[str, int]]:
-    """Bronze to silver to gold, then to the database if one is named."""
+    """Bronze to silver to gold, then to the database if one is named.
+
+    ``write_options`` go to ``write_silver``.
+    """
     refuse_overlap(bronze_root, silver_path, gold_dir)
     done = {
-        "silver": bronze_to_silver_job(spark, bronze_root, silver_path),
+        "silver": bronze_to_silver_job(spark, bronze_root, silver_path, **write_options),
         "gold": silver_to_gold_job(spark, silver_path, gold_dir),
     }
     if jdbc_url:

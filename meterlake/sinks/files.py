@@ -2,11 +2,14 @@
 
 Before a partitioned write the rows are rebalanced on the partition columns:
 small partitions end up in one file, and adaptive execution splits a partition
-value that holds a large share of all rows over many tasks.
+value that holds a large share of all rows over many tasks. Only adaptive
+execution knows the sizes for that; without it, write with ``rebalance=False``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -20,23 +23,14 @@ from meterlake.operators.silver import (
 from meterlake.schema import SILVER, SILVER_PARTITIONS
 from meterlake.sources.configured import check_config, check_options
 
-#: Tasks one partition value may be spread over when adaptive execution is off.
-SPREAD = 32
-
 
-def spread_for_partitions(
-    df: DataFrame, columns: list[str], partitions: int | None = None
-) -> DataFrame:
+def together(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Bring rows of one partition value together, but not all into one task.
 
     ``partitions`` replaces the session's number of shuffle partitions.
     """
     number = [] if partitions is None else [partitions]
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", *number, *columns)
-    # without adaptive execution nothing splits a hot partition value later on; the
-    # task number also separates copies of one row, and is the same when a task repeats
-    return df.repartition(*number, *columns, F.spark_partition_id() % SPREAD)
+    return df.hint("rebalance", *number, *columns)
 
 
 def write_silver(
@@ -48,6 +42,7 @@ def write_silver(
     rebalance: bool = True,
     partitions: int | None = None,
     max_records_per_file: int = 0,
+    partition_by: Sequence[str] = SILVER_PARTITIONS,
 ) -> dict[str, int]:
     """Clean ``typed`` rows and write them; returns the cleaning counts.
 
@@ -59,12 +54,16 @@ def write_silver(
     meter each: a silver partition then comes from one file anyway. With many meters
     per file it would leave one small file per meter, month and task.
 
+    ``partition_by`` names the directory columns. All five give a directory for each meter
+    and month; with many meters of few readings, fewer columns keep files large and the
+    listing of files short. Readers find the columns wherever they are.
+
     ``partition_overwrite="static"`` replaces the whole table, ``"dynamic"`` only
     the partitions that occur in ``typed``.
     """
     rows = add_partition_columns(typed.withColumn("_status", row_status()))
     if rebalance:
-        rows = spread_for_partitions(rows, SILVER_PARTITIONS, partitions)
+        rows = together(rows, partition_by, partitions)
     observation = Observation("cleaning")
     (
         rows.observe(observation, *cleaning_counts(F.col("_status")))
@@ -73,7 +72,7 @@ def write_silver(
         .write.mode(mode)
         .option("partitionOverwriteMode", partition_overwrite)
         .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*SILVER_PARTITIONS)
+        .partitionBy(*partition_by)
         .parquet(path)
     )
     return {name: observation.get[name] for name in CLEANING_COUNTS}
@@ -106,7 +105,7 @@ def write_csv(
     **options: str,
 ) -> None:
     columns = partition_by or []
-    rows = spread_for_partitions(df, columns) if columns else df
+    rows = together(df, columns) if columns else df
     rows.write.mode(mode).partitionBy(*columns).options(**options).csv(path)
 
 
@@ -117,7 +116,7 @@ def write_data(df: DataFrame, config: dict, *, mode: str = "overwrite") -> None:
     options = destination.get("options", {})
     check_options(destination["format"], options)
     columns = destination.get("partitionBy", [])
-    rows = spread_for_partitions(df, columns) if columns else df
+    rows = together(df, columns) if columns else df
     (
         rows.write.format(destination["format"])
         .options(**options)

@@ -6,52 +6,88 @@ import difflib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterlake.paths import refuse_overlap
 from meterlake.schema import text_schema
 
 # The file options Spark documents, by format.
 _ANY_FILE = (
-    "pathGlobFilter recursiveFileLookup modifiedBefore modifiedAfter "
-    "ignoreCorruptFiles ignoreMissingFiles"
+    "basePath",
+    "pathGlobFilter",
+    "recursiveFileLookup",
+    "modifiedBefore",
+    "modifiedAfter",
+    "ignoreCorruptFiles",
+    "ignoreMissingFiles",
+    "maxRecordsPerFile",
+    "partitionOverwriteMode",
+    "timeZone",
 )
 _CSV = (
-    "sep delimiter encoding charset quote quoteAll escape escapeQuotes comment header "
-    "inferSchema preferDate enforceSchema ignoreLeadingWhiteSpace "
-    "ignoreTrailingWhiteSpace nullValue nanValue positiveInf negativeInf dateFormat "
-    "timestampFormat timestampNTZFormat enableDateTimeParsingFallback maxColumns "
-    "maxCharsPerColumn mode columnNameOfCorruptRecord multiLine "
-    "charToEscapeQuoteEscaping samplingRatio emptyValue locale lineSep "
-    "unescapedQuoteHandling compression codec extension"
+    "sep",
+    "delimiter",
+    "encoding",
+    "charset",
+    "quote",
+    "quoteAll",
+    "escape",
+    "escapeQuotes",
+    "comment",
+    "header",
+    "inferSchema",
+    "preferDate",
+    "enforceSchema",
+    "ignoreLeadingWhiteSpace",
+    "ignoreTrailingWhiteSpace",
+    "nullValue",
+    "nanValue",
+    "positiveInf",
+    "negativeInf",
+    "dateFormat",
+    "timestampFormat",
+    "timestampNTZFormat",
+    "enableDateTimeParsingFallback",
+    "maxColumns",
+    "maxCharsPerColumn",
+    "mode",
+    "columnNameOfCorruptRecord",
+    "multiLine",
+    "charToEscapeQuoteEscaping",
+    "samplingRatio",
+    "emptyValue",
+    "locale",
+    "lineSep",
+    "unescapedQuoteHandling",
+    "compression",
+    "codec",
+    "extension",
 )
-_PARQUET = "mergeSchema datetimeRebaseMode int96RebaseMode compression"
-KNOWN_OPTIONS = {
-    "csv": f"{_CSV} {_ANY_FILE}".split(),
-    "parquet": f"{_PARQUET} {_ANY_FILE}".split(),
-}
+_PARQUET = ("mergeSchema", "datetimeRebaseMode", "int96RebaseMode", "compression")
+KNOWN_OPTIONS = {"csv": _CSV + _ANY_FILE, "parquet": _PARQUET + _ANY_FILE}
+#: How alike an unknown name and a known one are for the first to be a slip.
+MISSPELT = 0.85
 
 
 def check_options(fmt: str, options: dict[str, str]) -> None:
-    """Reject options Spark would silently ignore, such as a misspelt one."""
-    known = KNOWN_OPTIONS.get(fmt.lower())
-    if known is None:
-        return
-    lowered = {name.lower(): name for name in known}
+    """Reject a misspelt option, which Spark would silently ignore.
+
+    Names that resemble no known one pass: sources have options of their own.
+    """
+    lowered = {name.lower(): name for name in KNOWN_OPTIONS.get(fmt.lower(), ())}
     for option in options:
         if option.lower() not in lowered:
-            near = difflib.get_close_matches(option.lower(), lowered, n=1)
-            hint = f"; did you mean {lowered[near[0]]!r}?" if near else ""
-            raise ValueError(f"unknown {fmt} option {option!r}{hint}")
-
-
-def _same_place(left: str, right: str) -> bool:
-    return left.rstrip("/") == right.rstrip("/")
+            near = difflib.get_close_matches(option.lower(), lowered, n=1, cutoff=MISSPELT)
+            if near:
+                raise ValueError(
+                    f"unknown {fmt} option {option!r}; did you mean {lowered[near[0]]!r}?"
+                )
 
 
 def check_config(config: dict) -> None:
     source = config["source"]
     check_options(source["format"], source.get("options", {}))
     destination = config.get("destination")
-    if destination and _same_place(source["path"], destination["path"]):
-        raise ValueError(f"destination would overwrite the source {source['path']!r}")
+    if destination:
+        refuse_overlap(source["path"], destination["path"])
 
 
 def read_data(spark: SparkSession, config: dict) -> DataFrame:

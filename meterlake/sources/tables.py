@@ -16,13 +16,33 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SILVER).parquet(path).select(*SILVER.names)
 
 
-def gold_path(gold_dir: str, table: str) -> str:
-    return f"{gold_dir.rstrip('/')}/{table}"
+#: Names the version of the gold tables that readers see.
+CURRENT = "CURRENT"
+
+
+def gold_version(spark: SparkSession, gold_dir: str) -> str:
+    """The folder of the published tables: a version, or the gold folder of a plain copy."""
+    root = gold_dir.rstrip("/")
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{CURRENT}")
+    files = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(pointer):
+        return root
+    return f"{root}/{spark.read.text(f'{root}/{CURRENT}').first()[0]}"
+
+
+def gold_path(folder: str, table: str) -> str:
+    return f"{folder.rstrip('/')}/{table}"
 
 
 def read_gold_table(spark: SparkSession, gold_dir: str, table: str) -> DataFrame:
-    return spark.read.schema(GOLD[table]).parquet(gold_path(gold_dir, table))
+    folder = gold_version(spark, gold_dir)
+    return spark.read.schema(GOLD[table]).parquet(gold_path(folder, table))
 
 
 def read_gold(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]:
-    return {table: read_gold_table(spark, gold_dir, table) for table in GOLD}
+    """All four tables, of one version."""
+    folder = gold_version(spark, gold_dir)
+    return {
+        table: spark.read.schema(schema).parquet(gold_path(folder, table))
+        for table, schema in GOLD.items()
+    }

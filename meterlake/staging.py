@@ -5,11 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; where it is unset, a folder of the warehouse.
 
@@ -22,25 +26,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path nobody else uses, below the shared folder."""
-    return f"{shared_folder(spark)}/meterlake-{uuid.uuid4().hex}/{label}"
+    """A path nobody else uses, below the shared folder or that of the running job."""
+    return f"{_job_folder.get() or shared_folder(spark)}/meterlake-{uuid.uuid4().hex}/{label}"
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a table that this library staged, with the folder made for it."""
-    folder = path[: path.index("/", path.index("/meterlake-") + 1)]
-    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager
-def scratch(spark: SparkSession, label: str) -> Iterator[str]:
-    """A path for the time of a job; what lies there is deleted when it ends."""
-    path = new_path(spark, label)
+def job_folder(spark: SparkSession) -> Iterator[str]:
+    """For a job that stores its results: tables staged meanwhile are deleted at its end."""
+    folder = new_path(spark, "job")
+    token = _job_folder.set(folder)
     try:
-        yield path
+        yield folder
     finally:
-        remove(spark, path)
+        _job_folder.reset(token)
+        remove(spark, folder.removesuffix("/job"))
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

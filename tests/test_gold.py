@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -6,8 +7,8 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import gold as star
 from meterlake.operators import silver
-from meterlake.operators.joins import broadcast_if_small
 from meterlake.operators.keys import dense_key
+from meterlake.operators.quality import verify_gold
 from meterlake.operators.report import module_month_report
 from meterlake.schema import GOLD, SILVER
 from meterlake.sources import read_bronze
@@ -21,7 +22,7 @@ def silver_rows(spark, bronze_root):
 
 @pytest.mark.parametrize("adaptive", ["true", "false"])
 @pytest.mark.parametrize("partitions", ["1", "7"])
-def test_dense_key_by_range_equals_one_window(spark, settings, partitions, adaptive):
+def test_dense_key_numbers_in_order(spark, settings, partitions, adaptive):
     members = spark.range(5000).select(
         F.concat(F.lit("m"), F.xxhash64("id").cast("string")).alias("name"),
         (F.col("id") % 3).alias("part"),
@@ -32,11 +33,11 @@ def test_dense_key_by_range_equals_one_window(spark, settings, partitions, adapt
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     with settings(changed):
-        by_window = rows_of(dense_key(members, ["name", "part"], "key"))
-        by_range = rows_of(dense_key(members, ["name", "part"], "key", one_task_members=10))
-    assert by_range == by_window
-    assert [key for key, _, _ in sorted(by_window)] == list(range(5000))
-    assert [name for _, name, _ in sorted(by_window)] == sorted(n for _, n, _ in by_window)
+        numbered = dense_key(members, ["name", "part"], "key")
+        assert "SinglePartition" not in plan_of(numbered).split("_size")[-1]
+        rows = sorted(tuple(row) for row in numbered.collect())
+    assert [key for key, _, _ in rows] == list(range(5000))
+    assert [row[1:] for row in rows] == sorted(tuple(row) for row in members.collect())
 
 
 def test_schemas(silver_rows):
@@ -95,13 +96,27 @@ def test_result_does_not_depend_on_settings(spark, settings, silver_rows):
             assert build() == expected
 
 
-def test_small_dimensions_are_broadcast_and_silver_is_not_shuffled(spark, settings, silver_rows):
+def test_the_session_decides_on_broadcasts(spark, settings, silver_rows):
+    dims = [stage(df, "dimension") for df in star.dimensions(silver_rows).values()]
+    plan = plan_of(star.faktentabelle(silver_rows, *dims))
+    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
     with settings({"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        dims = [broadcast_if_small(df) for df in star.dimensions(silver_rows).values()]
-        plan = plan_of(star.faktentabelle(silver_rows, *dims))
-        assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
-        beyond = [broadcast_if_small(df, max_rows=1) for df in star.dimensions(silver_rows).values()]
-        assert "BroadcastHashJoin" not in plan_of(star.faktentabelle(silver_rows, *beyond))
+        assert "Broadcast" not in plan_of(star.faktentabelle(silver_rows, *dims))
+
+
+def test_null_names_are_members(silver_rows):
+    third = F.when(F.col("value") < 5, F.lit(None)).otherwise(F.col("intervall"))
+    rows = stage(
+        silver_rows.withColumn("intervall", third).withColumn(
+            "modul", F.when(F.col("modul") != "007", F.col("modul"))
+        ),
+        "nulls",
+    )
+    assert rows.filter("intervall is null").count() > 0
+    gold = star.silver_to_gold(rows)
+    assert gold["faktentabelle"].count() == rows.count()
+    assert gold["dim_modul"].filter("modul_name is null").count() == 1
+    assert all(check.passed for check in verify_gold(gold, rows).collect())
 
 
 def test_hot_time_stamp_is_split_in_a_sort_merge_join(spark, settings):
@@ -127,7 +142,7 @@ def test_hot_time_stamp_is_split_in_a_sort_merge_join(spark, settings):
         "spark.sql.shuffle.partitions": "8",
     }
     with settings(changed):
-        joined = star.join_zeit(rows, broadcast_if_small(zeit, max_rows=1))
+        joined = star.join_zeit(rows, zeit)
         assert len(joined.collect()) == 60_000
         assert "SortMergeJoin(skew=true)" in plan_of(joined)
 
@@ -143,7 +158,14 @@ def test_module_month_report(spark, tmp_path):
     )
     write_measurements(root, "Nutzungsgrad_M1", "Täglich", [measurement(VALUE="0.5")])
     rows = stage(silver.bronze_to_silver(read_bronze(spark, str(root))).select(*SILVER.names), "s")
-    assert rows_of(module_month_report(star.silver_to_gold(rows))) == [
+    gold = {name: stage(df, name) for name, df in star.silver_to_gold(rows).items()}
+    plan = plan_of(module_month_report(gold))
+    # the innermost grouping, below all joins, is on the keys of the fact
+    keys = re.findall(r"HashAggregate\(keys=\[([^]]*)\]", plan)[-1]
+    assert [k.split("#")[0] for k in keys.split(", ")] == [
+        "FK_modul_Id", "FK_messung_Id", "FK_zeit_Id"
+    ]
+    assert rows_of(module_month_report(gold)) == [
         ("Nutzungsgrad_M1", "%", 2022, 1, 1, 0.5, 0.5),
         ("Strom_M1", "kWh", 2022, 1, 2, 4.5, 2.25),
         ("Strom_M1", "kWh", 2022, 2, 1, 2.5, 2.5),

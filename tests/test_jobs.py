@@ -2,12 +2,16 @@ import shutil
 
 import pytest
 from conftest import measurement, rows_of, write_measurements
+from pyspark.sql import functions as F
 
+from meterlake import staging
 from meterlake.operators import silver
 from meterlake.plans import jobs
 from meterlake.schema import SILVER
 from meterlake.sources import read_bronze, read_gold, read_silver
+from meterlake.sinks import write_silver
 from meterlake.streaming import start_silver_stream
+from meterlake.streaming.landing import append_once
 
 
 def test_chain_twice_gives_equal_tables(spark, bronze_root, tmp_path):
@@ -20,6 +24,48 @@ def test_chain_twice_gives_equal_tables(spark, bronze_root, tmp_path):
     assert {name: rows_of(df) for name, df in read_gold(spark, gold_dir).items()} == tables
 
 
+def test_a_failed_build_leaves_the_tables_before(spark, bronze_root, tmp_path, monkeypatch):
+    silver_path, gold_dir = str(tmp_path / "silver"), str(tmp_path / "gold")
+    jobs.run_chain(spark, bronze_root, silver_path, gold_dir)
+    tables = {name: rows_of(df) for name, df in read_gold(spark, gold_dir).items()}
+    write_measurements(tmp_path / "bronze", "AAA_M", "15_min", [measurement()], name="new.csv")
+    write = jobs.write_parquet
+
+    def failing(df, path, **options):
+        if "faktentabelle" in path:
+            raise OSError("no space")
+        return write(df, path, **options)
+
+    monkeypatch.setattr(jobs, "write_parquet", failing)
+    with pytest.raises(OSError, match="no space"):
+        jobs.run_chain(spark, bronze_root, silver_path, gold_dir)
+    assert {name: rows_of(df) for name, df in read_gold(spark, gold_dir).items()} == tables
+    monkeypatch.undo()
+
+    def wrong(*tables):
+        fact = faktentabelle(*tables)
+        return fact.withColumn("FK_modul_Id", (F.col("FK_modul_Id") + 1) % 5)
+
+    faktentabelle = jobs.star.faktentabelle
+    monkeypatch.setattr(jobs.star, "faktentabelle", wrong)
+    with pytest.raises(RuntimeError, match="members"):
+        jobs.run_chain(spark, bronze_root, silver_path, gold_dir)
+    assert {name: rows_of(df) for name, df in read_gold(spark, gold_dir).items()} == tables
+    monkeypatch.undo()
+    jobs.run_chain(spark, bronze_root, silver_path, gold_dir)
+    jobs.run_chain(spark, bronze_root, silver_path, gold_dir)
+    assert read_gold(spark, gold_dir)["dim_modul"].count() == len(tables["dim_modul"]) + 1
+    assert len(list((tmp_path / "gold").glob("version-*"))) == 2
+
+
+def test_jobs_leave_no_staged_tables(spark, bronze_root, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(staging, "shared_folder", lambda spark: str(shared))
+    jobs.run_chain(spark, bronze_root, str(tmp_path / "silver"), str(tmp_path / "gold"))
+    assert not [path for path in shared.rglob("*") if path.is_file()]
+    assert not list(shared.glob("meterlake-*"))
+
+
 def test_a_failing_stage_stops_the_chain(spark, bronze_root, tmp_path):
     file = write_measurements(tmp_path / "bronze", "Bad_M", "15_min", [measurement()])
     file.write_text(file.read_text().replace("MESS_ID", "METER"))
@@ -71,6 +117,35 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, bronze_root, tmp_pa
         return rows_of(silver.bronze_to_silver(bronze), *SILVER.names)
 
     assert run() == batch()
+    assert not (tmp_path / "silver/_spark_metadata").exists()
     write_measurements(landing, "Strom_GOM_M1", "15_min", [measurement()], name="later.csv")
     assert run() == batch()
     assert run() == batch()
+
+
+def test_a_batch_that_is_tried_again_lands_once(spark, bronze_root, tmp_path):
+    typed = silver.typed(read_bronze(spark, bronze_root))
+    path, waiting = str(tmp_path / "silver"), tmp_path / "waiting"
+    columns = ["modul", "intervall"]
+    write_silver(typed, str(waiting), partition_by=columns)
+    files = sorted(waiting.rglob("part-*"))
+    assert len(files) > 2
+    target = tmp_path / "silver" / files[0].relative_to(waiting)
+    target.parent.mkdir(parents=True)
+    files[0].rename(target)  # an earlier try got this far
+    for _ in range(2):
+        append_once(typed, path, str(waiting), columns)
+        assert read_silver(spark, path).count() == 8
+    append_once(typed, path, str(tmp_path / "next"), columns)
+    assert read_silver(spark, path).count() == 16
+
+
+def test_stream_and_batch_share_a_table(spark, bronze_root, tmp_path):
+    path = str(tmp_path / "silver")
+    start_silver_stream(spark, bronze_root, path, str(tmp_path / "p")).awaitTermination()
+    more = silver.typed(read_bronze(spark, bronze_root)).filter("modul = '007'")
+    write_silver(more.withColumn("modul", F.lit("other")), path, mode="append")
+    assert read_silver(spark, path).count() == 9
+    write_silver(more.withColumn("value", F.lit(1.0)), path, partition_overwrite="dynamic")
+    rows = read_silver(spark, path)
+    assert rows.count() == 9 and rows.filter("modul = '007'").first().value == 1.0

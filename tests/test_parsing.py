@@ -64,6 +64,14 @@ def test_format_is_the_inverse_of_parse(spark):
     assert evaluate(spark, texts, lambda c: format_timestamp(parse_timestamp(c))) == texts
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "America/New_York"])
+def test_format_keeps_times_that_a_zone_skips(spark, settings, zone):
+    texts = ["27.03.2022 02:30:00", "13.03.2022 02:15:59", "30.10.2022 02:30:00", "01.01.0999 00:00:00"]
+    with settings({"spark.sql.session.timeZone": zone}):
+        assert evaluate(spark, texts, lambda c: format_timestamp(parse_timestamp(c))) == texts
+        assert evaluate(spark, [None], lambda c: format_timestamp(parse_timestamp(c))) == [None]
+
+
 def test_measurement_type_and_unit(spark):
     names = ["Strom_GOM_M1", "007", "", "_x", None, "Nutzungsgrad_GOM_M3_el"]
     assert evaluate(spark, names, measurement_type) == [

@@ -14,6 +14,13 @@ def test_every_query_has_sql():
     assert QUERIES.keys() <= entry_module.oracle_sql().keys()
 
 
+def test_queries_without_the_corpus_operators(monkeypatch):
+    found = entry_module._found
+    assert "pipeline" in entry_module.queries() or not found("corpus_pipeline")
+    monkeypatch.setattr(entry_module, "_found", lambda name: False)
+    assert entry_module.queries().keys() == QUERIES.keys() == entry_module.oracle_sql().keys()
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, name):
     assert mismatch(spark, SF_DIR, name) is None

@@ -66,6 +66,15 @@ def test_write_reports_what_it_wrote(spark, settings, bronze_root, tmp_path, ada
     assert (tmp_path / "silver/modul=007/intervall=15_min/mess_id=180001/year=2022/month=1").is_dir()
 
 
+def test_fewer_directory_columns(spark, bronze_root, tmp_path):
+    path = str(tmp_path / "silver")
+    typed = silver.typed(read_bronze(spark, bronze_root))
+    assert write_silver(typed, path, partition_by=["modul", "year"]) == COUNTS
+    assert (tmp_path / "silver/modul=007/year=2022").is_dir()
+    expected = silver.bronze_to_silver(read_bronze(spark, bronze_root))
+    assert rows_of(read_silver(spark, path)) == rows_of(expected, *SILVER.names)
+
+
 def test_static_and_dynamic_overwrite(spark, bronze_root, tmp_path):
     path = str(tmp_path / "silver")
     typed = silver.typed(read_bronze(spark, bronze_root))
@@ -97,7 +106,7 @@ def test_hot_partition_is_written_by_several_tasks(spark, settings, tmp_path):
     for adaptive in ("true", "false"):
         path = tmp_path / f"silver-{adaptive}"
         with settings({**small, "spark.sql.adaptive.enabled": adaptive}):
-            counts = write_silver(typed, str(path))
+            counts = write_silver(typed, str(path), rebalance=adaptive == "true")
         hot = list(Path(path / "modul=Hot_M").rglob("*.parquet"))
         assert counts["rows_out"] == 20_050
         assert len(hot) > 2

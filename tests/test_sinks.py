@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -14,13 +16,13 @@ from meterlake.sinks import (
 )
 
 
-def test_small_tables(spark):
-    """Literal rows, a number range, and a result to pandas and back."""
-    assert [row.id for row in spark.range(3).collect()] == [0, 1, 2]
-    df = spark.createDataFrame([("a", 1), ("b", 2)], ["col1", "col2"])
-    pandas = to_pandas(df.orderBy("col1"), 1)
-    assert pandas.to_dict("records") == [{"col1": "a", "col2": 1}]
-    assert rows_of(spark.createDataFrame(to_pandas(df, 10))) == rows_of(df)
+def test_results_to_pandas(spark):
+    meters = spark.createDataFrame([(180_001 + i, i / 4) for i in range(9)], "mess_id int, value double")
+    first = to_pandas(meters.orderBy("mess_id"), 2)
+    assert first["mess_id"].tolist() == [180_001, 180_002] and first["value"].sum() == 0.25
+    assert rows_of(spark.createDataFrame(to_pandas(meters, 20))) == rows_of(
+        meters.selectExpr("cast(mess_id as bigint) as mess_id", "value")
+    )
 
 
 def test_parquet_and_csv(spark, tmp_path):
@@ -49,18 +51,23 @@ def test_staging_folder(spark, settings):
     assert path != staging.new_path(spark, "x")
 
 
-def test_staging_needs_a_shared_folder_on_a_cluster():
-    class Conf(dict):
-        def get(self, key, default=None):
-            return dict.get(self, key, default)
-
+def test_staging_is_below_the_warehouse_where_no_folder_is_set():
     class Session:
-        conf = Conf({"spark.master": "spark://master:7077"})
+        conf = {"spark.sql.warehouse.dir": "file:/lake/warehouse/"}
+
+    assert staging.shared_folder(Session()) == "file:/lake/warehouse/_staging"
+    Session.conf = {**Session.conf, "spark.checkpoint.dir": "hdfs://n/shared/"}
+    assert staging.shared_folder(Session()) == "hdfs://n/shared"
+
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.shared_folder(Session())
-    Session.conf["spark.master"] = "local[2]"
-    assert staging.shared_folder(Session())
+def test_a_job_takes_its_staged_tables_along(spark):
+    with staging.job_folder(spark) as folder:
+        table = staging.stage(spark.range(5), "numbers")
+        assert folder in table.inputFiles()[0] and table.count() == 5
+        place = table.inputFiles()[0].removeprefix("file://")
+        assert Path(place).exists()
+    assert not Path(place).exists()
+    assert folder not in staging.new_path(spark, "later")
 
 
 class Recorder:

@@ -1,4 +1,5 @@
 import copy
+from pathlib import Path
 
 import pytest
 from conftest import measurement, rows_of, write_measurements
@@ -105,8 +106,25 @@ def test_config_faults_are_errors(spark, config):
 
     overwrites_source = copy.deepcopy(config)
     overwrites_source["destination"]["path"] = config["source"]["path"]
-    with pytest.raises(ValueError, match="overwrite the source"):
+    with pytest.raises(ValueError, match="overlap"):
         read_data(spark, overwrites_source)
+    overwrites_source["destination"]["path"] = config["source"]["path"] + "/inside"
+    with pytest.raises(ValueError, match="overlap"):
+        read_data(spark, overwrites_source)
+
+
+def test_config_passes_options_of_the_source_itself(spark, config):
+    folder = str(Path(config["source"]["path"]).parent)
+    config["source"]["options"] |= {"basePath": folder, "timeZone": "UTC"}
+    config["destination"]["options"] = {
+        "maxRecordsPerFile": "1", "partitionOverwriteMode": "dynamic",
+        "parquet.block.size": "1048576", "some.vendor.option": "x",
+    }
+    dated = read_data(spark, config).selectExpr("VALUE", "2022 as year", "1 as month")
+    write_data(dated, config)
+    out = config["destination"]["path"]
+    assert spark.read.parquet(out).count() == 2
+    assert len(spark.read.parquet(out).inputFiles()) == 2
 
 
 def test_object_store_settings():
