@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from urllib.parse import urlsplit
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+_folders: set[str] = set()
 _job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
@@ -26,8 +31,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path nobody else uses, below the shared folder or that of the running job."""
-    return f"{_job_folder.get() or shared_folder(spark)}/meterlake-{uuid.uuid4().hex}/{label}"
+    """A path nobody else uses, below the folder of the running job or the application."""
+    folder = _job_folder.get() or _application_folder(spark)
+    return f"{folder}/meterlake-{uuid.uuid4().hex}/{label}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    """Holds what lazily read results need; deleted when the application ends."""
+    folder = f"{shared_folder(spark)}/meterlake-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_remove_at_end, folder)
+    return folder
+
+
+def _remove_at_end(folder: str) -> None:
+    context = SparkContext._active_spark_context
+    if context is not None and context._jvm is not None:
+        remove(SparkSession(context), folder)
+    elif not urlsplit(folder).scheme or folder.startswith("file:"):
+        shutil.rmtree(urlsplit(folder).path, ignore_errors=True)
 
 
 def remove(spark: SparkSession, path: str) -> None:
