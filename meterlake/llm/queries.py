@@ -76,7 +76,72 @@ QUERIES: dict[str, Query] = {
 
 _SPACES = r"[\x20\x09-\x0D]+"
 
+_VALUE = r"""["'']?\x20*[:=]\x20*["'']?"""  # a quote is doubled within SQL text
+
+
+def _either(names: str) -> str:
+    """ASCII letters in either case; a flag would fold others onto them."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in names)
+
+
+_FOUND = {
+    "assign": rf"(?:(?:{_either('password|passwd|secret|token|api_?key')}){_VALUE}"
+    r"([A-Za-z0-9+/_.=-]+))",
+    "access": r"(AKIA[A-Z0-9]{12,})",
+    "hex": r"([0-9a-f]{32,})",
+    "identifier": rf"(\b(?:{_either('user_?name|user_?id|user|login|client_id|account_?id')})"
+    rf"{_VALUE}[A-Za-z0-9_.@-]{{3,}})",
+    "secret": rf"(\b(?:{_either('pwd|pass|passphrase|secret_key|private_key|auth')})"
+    rf"{_VALUE}[A-Za-z0-9+/_.=-]{{4,}})",
+    "endpoint": rf"(\b(?:{_either('https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp')})"
+    r"://[A-Za-z0-9._~:/?#@%&=+-]+"
+    rf"|\b(?:{_either('host|server|endpoint')}){_VALUE}[A-Za-z0-9.-]{{3,}})",
+}
+_MATCHES = " UNION ALL ".join(
+    f"""SELECT doc_id, '{kind}' AS kind, {rank} AS rank,
+        regexp_extract_all(text, '(?s)(.*?)({pattern})', 1) AS gaps,
+        regexp_extract_all(text, '(?s)(.*?)({pattern})', 2) AS matches,
+        regexp_extract_all(text, '(?s)(.*?)({pattern})', 3) AS words FROM texts"""
+    for rank, (kind, pattern) in enumerate(_FOUND.items())
+)
+_LINKED_SECRETS = f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    matches AS ({_MATCHES}),
+    single AS (
+        SELECT doc_id, kind, rank, unnest(gaps) AS gap, unnest(matches) AS body,
+               unnest(words) AS word, generate_subscripts(gaps, 1) AS i FROM matches),
+    placed AS (
+        SELECT *, sum(length(gap) + length(body)) OVER (
+            PARTITION BY doc_id, kind ORDER BY i) AS last FROM single),
+    spans AS (
+        SELECT doc_id, last - length(body) AS first, last,
+               CASE WHEN kind = 'assign' AND length(word) < 8 THEN 4 ELSE rank END AS rank
+        FROM placed WHERE kind <> 'assign' OR length(word) >= 4),
+    parts AS (
+        SELECT *, ['assign', 'access', 'hex', 'identifier', 'secret', 'endpoint'][rank + 1] AS kind,
+               CASE WHEN rank IN (1, 3) THEN 'identifier' WHEN rank = 5 THEN 'endpoint'
+                    ELSE 'secret' END AS role
+        FROM spans),
+    linked AS (
+        SELECT doc_id, first, rank, kind || ':' || first || ':' || last AS span FROM parts a
+        WHERE rank < 3 OR EXISTS (
+            SELECT 1 FROM parts b
+            WHERE a.doc_id = b.doc_id AND greatest(b.first - a.last, a.first - b.last) <= 200
+              AND CASE a.rank WHEN 4 THEN b.role <> 'secret' ELSE b.role = 'secret' END)),
+    found AS (
+        SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign,
+               count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+               string_agg(span, ',' ORDER BY first, rank) FILTER (rank < 3) AS base,
+               string_agg(span, ',' ORDER BY first, rank) AS spans,
+               count(*) FILTER (rank > 2) AS n_linked
+        FROM linked GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+           coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+           coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked
+    FROM texts LEFT JOIN found USING (doc_id)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_linked_secrets": _LINKED_SECRETS,
     "op7_radix_dedup": f"""
         WITH normal AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '{_SPACES}', ' ', 'g') AS body

@@ -14,6 +14,8 @@ SCOPE = 200
 MASK = "[SECRET]"
 
 _VALUE = r"""["']?\x20*[:=]\x20*["']?"""
+#: Names of weak parts start a word; ``\b`` would depend on the Java version.
+_WORD = r"(?<![A-Za-z0-9_])"
 
 
 @dataclass(frozen=True)
@@ -39,18 +41,19 @@ PARTS = (
     Part("hex", r"[0-9a-f]{32,}", "text RLIKE '[0-9a-f]{32}'"),
     Part(
         "identifier",
-        rf"\b(?i:user_?name|user_?id|user|login|client_id|account_?id){_VALUE}[A-Za-z0-9_.@-]{{3,}}",
+        rf"{_WORD}(?i:user_?name|user_?id|user|login|client_id|account_?id){_VALUE}[A-Za-z0-9_.@-]{{3,}}",
         _ASSIGNED,
     ),
     Part(
         "secret",
-        rf"\b(?i:pwd|pass|passphrase|secret_key|private_key|auth){_VALUE}[A-Za-z0-9+/_.=-]{{4,}}",
+        rf"{_WORD}(?i:pwd|pass|passphrase|secret_key|private_key|auth){_VALUE}[A-Za-z0-9+/_.=-]{{4,}}",
         _ASSIGNED,
     ),
     Part(
         "endpoint",
-        r"\b(?i:https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[A-Za-z0-9._~:/?#@%&=+-]+"
-        rf"|\b(?i:host|server|endpoint){_VALUE}[A-Za-z0-9.-]{{3,}}",
+        rf"{_WORD}(?i:https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp)://"
+        r"[A-Za-z0-9._~:/?#@%&=+-]+"
+        rf"|{_WORD}(?i:host|server|endpoint){_VALUE}[A-Za-z0-9.-]{{3,}}",
         _ASSIGNED,
     ),
 )

@@ -6,8 +6,10 @@ import hashlib
 import random
 import re
 
+import duckdb
 import pytest
 
+from meterlake.llm.queries import ORACLE_SQL
 from meterlake.llm.secrets import COMPLEMENTS, KINDS, MASK, ROLES, find_secrets, redact
 from tests.llm.conftest import CASES
 
@@ -109,6 +111,16 @@ def test_links_against_all_pairs(documents):
         assert near[doc_id] == joined(s for s in spans if linked(s))
 
 
+def test_sql_gives_the_same_rows(documents):
+    rows = [(100 + i, text) for i, text in enumerate(TEXTS)] + [(1, None), (2, "")]
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    theirs = connection.sql(ORACLE_SQL["op4_linked_secrets"])
+    ours = find_secrets(documents(rows)).select(*theirs.columns)
+    assert sorted(map(tuple, ours.collect())) == sorted(theirs.fetchall())
+
+
 def test_redaction(documents):
     rows = CASES + [(100 + i, text) for i, text in enumerate(TEXTS)]
     docs = documents(rows)
