@@ -7,6 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    """A column of lists from an array for each row."""
+    offsets = np.zeros(len(arrays) + 1, np.int32)
+    np.cumsum([len(array) for array in arrays], out=offsets[1:])
+    flat = np.concatenate(arrays) if arrays else np.zeros(0)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

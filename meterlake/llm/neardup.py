@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import id_and_text, stage
+from meterlake.llm.common import id_and_text, lists, stage
 from meterlake.llm.components import components
 from meterlake.llm.darts import signature
 from meterlake.llm.spans import SpanHasher, WordHasher, mixed
@@ -23,7 +24,14 @@ BANDS, ROWS = 25, 4
 #: Texts compared with one center in one stretch of work; a center with more is copied.
 STRETCH = 256
 
-_SIGNED = "doc_id long, key long, node binary, size int, bands array<long>"
+#: Rounds in which an outsider meets one member of a component per bucket.
+ROUNDS = 4
+#: Signatures are kept with 4 bits a coordinate, to tell how many of them differ.
+BITS = 4
+
+_SIGNED = (
+    "doc_id long, key long, node binary, size int, bands array<long>, sketch array<long>"
+)
 
 
 def shingles(words: np.ndarray, length: int, spans: SpanHasher) -> np.ndarray:
@@ -33,38 +41,64 @@ def shingles(words: np.ndarray, length: int, spans: SpanHasher) -> np.ndarray:
     return np.unique(spans.windows(words, min(length, len(words))))
 
 
-def _bands(elements: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    darts = signature(elements, bands * rows).reshape(bands, rows)
+def _bands(darts: np.ndarray, bands: int, rows: int) -> np.ndarray:
     hashes = np.arange(1, bands + 1, dtype=np.uint64)
     for row in range(rows):
-        hashes = mixed(hashes ^ darts[:, row])
+        hashes = mixed(hashes ^ darts.reshape(bands, rows)[:, row])
     return hashes.view(np.int64)
 
 
+def _sketch(darts: np.ndarray) -> np.ndarray:
+    """The last bits of each coordinate, packed into 64-bit words."""
+    per_word = 64 // BITS
+    padded = np.zeros(-(-len(darts) // per_word) * per_word, np.uint64)
+    padded[: len(darts)] = mixed(darts) & np.uint64((1 << BITS) - 1)
+    places = np.arange(per_word, dtype=np.uint64) * np.uint64(BITS)
+    return (padded.reshape(-1, per_word) << places).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def _most_differing(similarity: float, coordinates: int) -> int:
+    """Coordinates of which more differ in a pair that is similar once in 10 billion times."""
+    differ = (1 - similarity) * (1 - 1 / (1 << BITS))
+    return int(coordinates * differ + 6.5 * math.sqrt(coordinates * differ * (1 - differ))) + 1
+
+
+def _differing(one: str, other: str, words: int) -> Column:
+    """In how many coordinates two sketches differ."""
+    total = F.lit(0)
+    for i in range(words):
+        bits = F.col(one)[i].bitwiseXOR(F.col(other)[i])
+        for shift in (1, 2):
+            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift))
+        total = total + F.bit_count(bits.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
+
+
 def _sign(
     length: int, bands: int, rows: int, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
     words, spans = WordHasher(), SpanHasher()
     for batch in batches:
-        nodes, sizes, keys = [], [], []
+        nodes, sizes, keys, sketches = [], [], [], []
+        nothing = np.zeros(0, np.int64)
         texts = batch.column("text").to_pylist()
         for hashes in words(texts):
             elements = shingles(hashes, length, spans)
             nodes.append(hashlib.blake2b(elements.tobytes(), digest_size=16).digest())
             sizes.append(len(elements))
-            keys.append(_bands(elements, bands, rows) if len(elements) else np.zeros(0, np.int64))
-        offsets = np.zeros(len(keys) + 1, np.int32)
-        np.cumsum([len(k) for k in keys], out=offsets[1:])
-        flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            darts = signature(elements, bands * rows)
+            keys.append(_bands(darts, bands, rows) if len(elements) else nothing)
+            sketches.append(_sketch(darts))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("key"),
                 pa.array(nodes, pa.binary()),
                 pa.array(sizes, pa.int32()),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64())),
+                lists(keys, pa.int64()),
+                lists(sketches, pa.int64()),
             ],
-            ["doc_id", "key", "node", "size", "bands"],
+            ["doc_id", "key", "node", "size", "bands", "sketch"],
         )
 
 
@@ -132,9 +166,11 @@ def near_duplicates(
     ``similarity`` or more; classes are the connected components. Texts with equal sets are
     one node, so copies are never compared. Nodes whose DartMinHash signatures agree in a
     band share a bucket. In each bucket every node is compared with the least node there;
-    the links make first components, and only where a bucket still holds several of them
-    are the nodes outside its largest compared with the rest. So links within a component
-    are never listed, and none between components is left out. Every comparison is exact.
+    the links make first components. Where a bucket still holds several of them, nodes
+    outside its largest are compared with one of its members, another one each round, while
+    that finds links; those still outside are then compared with every node there whose
+    signature does not rule a link out. So links within a component are hardly ever listed,
+    and none between components is left out. Every comparison is exact.
 
     Columns: doc_id, class_id (the least id of the class, null if it has none), class_size,
     node (hexadecimal; equal for equal sets). A null text is empty; texts without words are
@@ -162,7 +198,7 @@ def _classes(
         "darts_signed",
     )
     nodes = signed.groupBy("node").agg(
-        F.first(F.struct("doc_id", "key", "size", "bands")).alias("one")
+        F.first(F.struct("doc_id", "key", "size", "bands", "sketch")).alias("one")
     )
     nodes = stage(nodes.select("node", "one.*"), "darts_nodes")
     places = nodes.select("node", "size", F.explode("bands").alias("bucket"))
@@ -195,10 +231,22 @@ def _classes(
     )
     links = stage(_similar(first, bodies, shingle, similarity), "darts_links")
     classes = components(links)
-    second = _between(members, classes, first, compatible)
-    more = stage(_similar(second, bodies, shingle, similarity), "darts_links")
-    if not more.isEmpty():
-        classes = components(links.unionByName(more))
+    known = first
+    for number in range(ROUNDS):
+        pairs = stage(_with_one_member(members, classes, compatible, number), "darts_pairs")
+        pairs = stage(pairs.join(known, ["a", "b"], "left_anti"), "darts_pairs")
+        found = stage(_similar(pairs, bodies, shingle, similarity), "darts_links")
+        if found.isEmpty():
+            break
+        links, known = links.unionByName(found), known.unionByName(pairs)
+        classes = components(links)
+    sketches = nodes.select("node", "sketch")
+    most = _most_differing(similarity, bands * rows)
+    pairs = _with_all_others(members, classes, sketches, compatible, bands * rows, most)
+    pairs = stage(pairs.join(known, ["a", "b"], "left_anti"), "darts_pairs")
+    found = stage(_similar(pairs, bodies, shingle, similarity), "darts_links")
+    if not found.isEmpty():
+        classes = components(links.unionByName(found))
     named = signed.select("doc_id", "key", "node").join(classes, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     sizes = named.groupBy("root").agg(
@@ -218,38 +266,75 @@ def _classes(
     )
 
 
-def _between(members: DataFrame, classes: DataFrame, known: DataFrame, compatible) -> DataFrame:
-    """Pairs of one bucket that lie in different components, but those compared already.
-
-    One of each pair is outside the largest component of its bucket.
-    """
+def _open_buckets(members: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of buckets with several components, and of those the ones outside the largest."""
     named = (
         members.select("bucket", "node", "size")
         .join(classes, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
     per_root = named.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("nodes"))
-    mixed_buckets = (
+    several = (
         per_root.groupBy("bucket")
         .agg(F.max(F.struct("nodes", "root")).alias("largest"), F.count(F.lit(1)).alias("roots"))
         .filter("roots > 1")
         .select("bucket", F.col("largest.root").alias("largest"))
     )
-    open_rows = stage(named.join(mixed_buckets, "bucket"), "darts_open")
-    outside = open_rows.filter(F.col("root") != F.col("largest")).select(
+    rows = stage(named.join(several, "bucket"), "darts_open")
+    outside = rows.filter(F.col("root") != F.col("largest")).select(
         "bucket",
         F.col("node").alias("other"),
         F.col("size").alias("other_size"),
         F.col("root").alias("other_root"),
-        F.col("largest").alias("other_largest"),
     )
-    pairs = (
-        outside.join(open_rows, "bucket")
-        .filter((F.col("root") != F.col("other_root")) & compatible("size", "other_size"))
-        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    return rows, outside
+
+
+def _pair() -> list[Column]:
+    return [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
+
+
+def _with_one_member(
+    members: DataFrame, classes: DataFrame, compatible, number: int
+) -> DataFrame:
+    """Nodes outside the largest component of a bucket, with one of its nodes."""
+    rows, outside = _open_buckets(members, classes)
+    drawn = F.min(F.struct(F.xxhash64("node", "bucket", F.lit(number)), "node", "size"))
+    chosen = (
+        rows.filter(F.col("root") == F.col("largest"))
+        .groupBy("bucket")
+        .agg(drawn.alias("one"))
+        .select("bucket", "one.node", "one.size")
+    )
+    pairs = outside.join(chosen, "bucket").filter(compatible("size", "other_size"))
+    return pairs.select(*_pair()).distinct()
+
+
+def _with_all_others(
+    members: DataFrame,
+    classes: DataFrame,
+    sketches: DataFrame,
+    compatible,
+    coordinates: int,
+    most: int,
+) -> DataFrame:
+    """Pairs of one bucket that lie in different components and may be similar.
+
+    One of each pair is outside the largest component of its bucket.
+    """
+    rows, outside = _open_buckets(members, classes)
+    words = -(-coordinates * BITS // 64)
+    others = sketches.withColumnsRenamed({"node": "other", "sketch": "other_sketch"})
+    pairs = outside.join(others, "other").join(rows.join(sketches, "node"), "bucket")
+    return (
+        pairs.filter(
+            (F.col("root") != F.col("other_root"))
+            & compatible("size", "other_size")
+            & (_differing("sketch", "other_sketch", words) <= most)
+        )
+        .select(*_pair())
         .distinct()
     )
-    return stage(pairs.join(known, ["a", "b"], "left_anti"), "darts_pairs")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

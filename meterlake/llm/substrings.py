@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import id_and_text, stage
+from meterlake.llm.common import id_and_text, lists, stage
 from meterlake.llm.spans import SpanHasher, WordHasher
 
 WINDOW = 50
@@ -71,20 +71,13 @@ def _seed_batches(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
                 batch.column("key"),
                 pa.array(counts, pa.int64()),
                 pa.array(digests, pa.string()),
-                _lists(edges, pa.int64()),
-                _lists(places, pa.int32()),
+                lists(edges, pa.int64()),
+                lists(places, pa.int32()),
             ],
             ["doc_id", "key", "n_words", "all_sha256", "edges", "places"],
         )
 
 
-def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    offsets = np.zeros(len(arrays) + 1, np.int32)
-    np.cumsum([len(a) for a in arrays], out=offsets[1:])
-    flat = np.concatenate(arrays) if arrays else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
-
-
 def _verify_batches(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans that whole paths settle, and hashes of the windows that need a look."""
     words, spans = WordHasher(), SpanHasher()
@@ -103,9 +96,9 @@ def _verify_batches(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
                 batch.column("doc_id"),
                 batch.column("key"),
                 batch.column("text"),
-                _lists(firsts, pa.int32()),
-                _lists(lasts, pa.int32()),
-                _lists(open_windows, pa.int64()),
+                lists(firsts, pa.int32()),
+                lists(lasts, pa.int32()),
+                lists(open_windows, pa.int64()),
             ],
             ["doc_id", "key", "text", "firsts", "lasts", "windows"],
         )
