@@ -79,10 +79,8 @@ def _digests(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
                 rows.append((count, of_ids.hexdigest(), of_bytes.hexdigest()))
                 count, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
         columns = list(zip(*rows)) or [[], [], []]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *[pa.array(c, f.type) for c, f in zip(columns, list(_SCHEMA)[1:])]],
-            schema=_SCHEMA,
-        )
+        results = [pa.array(column, kind) for column, kind in zip(columns, _SCHEMA.types[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *results], schema=_SCHEMA)
 
 
 def round_trip(

@@ -14,10 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round every node takes the least label around it, and then the label of its label,
     so labels travel twice as far each round. Labels are stored between rounds.
     """
-    both = stage(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-        "component_edges",
-    )
+    turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = stage(edges.select("a", "b").unionByName(turned).distinct(), "component_edges")
     labels = stage(
         both.groupBy(F.col("a").alias("node")).agg(
             F.least(F.col("node"), F.min("b")).alias("root")

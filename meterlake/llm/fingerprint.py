@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -45,14 +44,15 @@ def fingerprint(text: str) -> str:
     """Length, checksum, quartile ratios and the quartile of every bucket, in hexadecimal."""
     data = text.encode()
     counts = bucket_counts(data)
-    lower, middle, upper = np.sort(counts)[[BUCKETS // 4 - 1, BUCKETS // 2 - 1, 3 * BUCKETS // 4 - 1]]
+    quarter = BUCKETS // 4
+    lower, middle, upper = np.sort(counts)[[quarter - 1, 2 * quarter - 1, 3 * quarter - 1]]
     codes = (counts > lower).astype(np.uint8) + (counts > middle) + (counts > upper)
     packed = np.packbits(
         np.stack([codes >> 1, codes & 1], axis=1).astype(np.uint8).reshape(-1)
     ).tobytes()
     length = min(255, int(math.log(len(data) + 1) / math.log(1.5) * 4))
     check = hashlib.blake2b(data, digest_size=1).digest()
-    ratios = bytes([int(16 * 15 * lower / upper) if upper else 0, int(240 * middle / upper) if upper else 0])
+    ratios = bytes(int(240 * quartile / max(1, upper)) for quartile in (lower, middle))
     return (bytes([length]) + check + ratios + packed).hex()
 
 
@@ -149,9 +149,8 @@ def compare_with_next(
     bounds = range_bounds(rows, "doc_id", parallelism(docs.sparkSession))
     placed = rows.withColumn("stretch", range_of(F.col("doc_id"), bounds))
     nulls = F.max(F.col("doc_id").isNull())
-    heads = (
-        placed.groupBy("stretch").agg(F.min("doc_id").alias("first"), nulls.alias("nulls")).collect()
-    )  # one row for each range
+    heads = placed.groupBy("stretch").agg(F.min("doc_id").alias("first"), nulls.alias("nulls"))
+    heads = heads.collect()  # one row for each range
     heads.sort(key=lambda row: row["stretch"])
     number = {row["stretch"]: i for i, row in enumerate(heads)}
     if not heads:
@@ -163,7 +162,8 @@ def compare_with_next(
     first = F.element_at(F.array(*[F.lit(v).cast("long") for v in firsts]), F.col("stretch") + 1)
     own = F.struct(F.col("stretch"), F.lit(False).alias("copied"))
     before = F.struct(
-        F.pmod(F.col("stretch") - 1, F.lit(len(heads))).alias("stretch"), F.lit(True).alias("copied")
+        F.pmod(F.col("stretch") - 1, F.lit(len(heads))).alias("stretch"),
+        F.lit(True).alias("copied"),
     )
     places = F.when(F.col("doc_id").eqNullSafe(first), F.array(own, before)).otherwise(F.array(own))
     return (

@@ -79,7 +79,6 @@ def _encode(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         count = batch.num_rows
         sums = np.zeros((count, DIMENSIONS))
         lengths = np.zeros(count, np.int64)
-        tie = np.zeros(count, np.uint64)
         sizes = np.zeros(count, np.int64)
         ids: list[bytes] = []
         parts: list[bytes] = []
@@ -133,9 +132,8 @@ def _cut(
             while start < len(ids):
                 sequence, offset = divmod(first + start, length)
                 part = ids[start : start + length - offset]
-                rows.append(
-                    (doc_id, start, len(part), zlib.crc32(part.tobytes()), len(ids), sequence, offset)
-                )
+                crc = zlib.crc32(part.tobytes())
+                rows.append((doc_id, start, len(part), crc, len(ids), sequence, offset))
                 start += len(part)
         columns = list(zip(*rows)) or [[]] * len(_PIECE_NAMES)
         yield pa.RecordBatch.from_arrays(

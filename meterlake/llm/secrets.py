@@ -41,12 +41,14 @@ PARTS = (
     Part("hex", r"[0-9a-f]{32,}", "text RLIKE '[0-9a-f]{32}'"),
     Part(
         "identifier",
-        rf"{_WORD}(?i:user_?name|user_?id|user|login|client_id|account_?id){_VALUE}[A-Za-z0-9_.@-]{{3,}}",
+        rf"{_WORD}(?i:user_?name|user_?id|user|login|client_id|account_?id)"
+        rf"{_VALUE}[A-Za-z0-9_.@-]{{3,}}",
         _ASSIGNED,
     ),
     Part(
         "secret",
-        rf"{_WORD}(?i:pwd|pass|passphrase|secret_key|private_key|auth){_VALUE}[A-Za-z0-9+/_.=-]{{4,}}",
+        rf"{_WORD}(?i:pwd|pass|passphrase|secret_key|private_key|auth)"
+        rf"{_VALUE}[A-Za-z0-9+/_.=-]{{4,}}",
         _ASSIGNED,
     ),
     Part(
@@ -78,6 +80,7 @@ COMPLEMENTS = {
 LONG_VALUE, SHORT_VALUE = 8, 4
 
 KEY = ["doc_id", "sha"]
+_SPANS = "array<struct<start:bigint,rank:bigint,end:bigint,kind:string>>"
 
 
 def _lengths(part: Part) -> Column:
@@ -224,7 +227,7 @@ def find_secrets(
         F.col("doc_id").alias("found_id"), F.col("sha").alias("found_sha"), "found"
     )
     same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("sha") == F.col("found_sha"))
-    found = F.coalesce("found", F.expr("filter(found, s -> false)"), F.expr(_NO_SPANS))
+    found = F.coalesce("found", F.expr(f"cast(array() AS {_SPANS})"))
     rows = scanned.select("doc_id", "sha").join(spans, same, "left").withColumn("found", found)
 
     def count(kind: str) -> Column:
@@ -239,11 +242,6 @@ def find_secrets(
     )
 
 
-_NO_SPANS = (
-    "cast(array() AS array<struct<start:bigint,rank:bigint,end:bigint,kind:string>>)"
-)
-
-
 def redact(docs: DataFrame, *, scope: int = SCOPE, mask: str = MASK) -> DataFrame:
     """``docs`` with every secret replaced by ``mask``; ``n_chars`` follows the new text.
 

@@ -168,30 +168,33 @@ def _remove_batches(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
         )
 
 
-def _edges(seeds: DataFrame, *columns: str) -> DataFrame:
-    """One row per edge that stands for windows, with links to those around it."""
-
-    def shifted(name: str, by: int) -> Column:
-        zero = F.array(F.lit(0).cast("long" if name == "edges" else "int"))
-        rest = F.slice(name, 2, F.size(name)) if by > 0 else F.slice(name, 1, F.size(name) - 1)
-        return F.concat(rest, zero) if by > 0 else F.concat(zero, rest)
-
-    zipped = F.arrays_zip(
-        F.col("edges").alias("edge"),
-        F.col("places").alias("place"),
-        shifted("edges", 1).alias("after"),
-        shifted("places", 1).alias("after_place"),
-        shifted("edges", -1).alias("before"),
-        shifted("places", -1).alias("before_place"),
-    )
-    if not columns:
-        zipped = F.arrays_zip(F.col("edges").alias("edge"), F.col("places").alias("place"))
+def _edges(seeds: DataFrame, **more: Column) -> DataFrame:
+    """One row per edge that stands for windows, with what ``more`` has for each."""
+    columns = {"edge": F.col("edges"), "place": F.col("places"), **more}
+    zipped = F.arrays_zip(*[column.alias(name) for name, column in columns.items()])
     rows = seeds.filter(F.size("edges") > 0)
     return rows.select("doc_id", "key", F.explode(zipped).alias("seed")).select(
         "doc_id", "key", "seed.*"
     )
 
 
+def _neighbours() -> dict[str, Column]:
+    """The edges around each edge of a document and their places, 0 at the ends."""
+
+    def after(name: str, kind: str) -> Column:
+        return F.concat(F.slice(name, 2, F.size(name)), F.array(F.lit(0).cast(kind)))
+
+    def before(name: str, kind: str) -> Column:
+        return F.concat(F.array(F.lit(0).cast(kind)), F.slice(name, 1, F.size(name) - 1))
+
+    return {
+        "after": after("edges", "long"),
+        "after_place": after("places", "int"),
+        "before": before("edges", "long"),
+        "before_place": before("places", "int"),
+    }
+
+
 def _linked(edges: DataFrame, most_gap: int) -> DataFrame:
     """The next and the previous edge of each, 0 where there is none within reach."""
 
@@ -255,7 +258,7 @@ def remove_repeats(
         ),
         "repeat_edges",
     )
-    linked = _linked(_edges(seeds, "links"), window - size + 1)
+    linked = _linked(_edges(seeds, **_neighbours()), window - size + 1)
 
     def always(name: str) -> Column:
         return (F.min(name) == F.max(name)) & (F.min(name) != 0)
@@ -271,7 +274,9 @@ def remove_repeats(
         _edges(seeds)
         .join(shared, "edge")
         .groupBy("doc_id", "key")
-        .agg(F.collect_list(F.struct("place", "edge", "first", "onward", "backward")).alias("found"))
+        .agg(
+            F.collect_list(F.struct("place", "edge", "first", "onward", "backward")).alias("found")
+        )
         .withColumnsRenamed({"doc_id": "found_id", "key": "found_key"})
     )
     same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("key") == F.col("found_key"))

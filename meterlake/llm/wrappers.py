@@ -361,10 +361,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _regions(held: dict[str, Node]) -> pa.RecordBatch:
     where = [json.dumps(region(node), ensure_ascii=False) for node in held.values()]
     texts = [_dump(node) for node in held.values()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.string()), pa.array(texts, pa.string()), pa.array(where, pa.string())],
-        ["host", "wrapper", "regions"],
-    )
+    columns = [pa.array(column, pa.string()) for column in (list(held), texts, where)]
+    return pa.RecordBatch.from_arrays(columns, ["host", "wrapper", "regions"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
