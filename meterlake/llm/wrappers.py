@@ -56,6 +56,8 @@ AROUND_NAMES = frozenset(
     "respond disqus complementary contentinfo".split()
 )
 _INSIDE = frozenset({"article", "main"})
+_WHOLE = _INSIDE | {"html", "body"}
+_ARTICLE_NAMES = frozenset("article entry post story content".split())
 
 
 @dataclass
@@ -247,11 +249,28 @@ class Page:
 
 
 def surrounds(label: str) -> bool:
-    """Whether an element is a menu, notice, advert or the like."""
+    """Whether an element is a menu, notice, advert or the like.
+
+    Elements that hold whole pages or articles are not, whatever they are called, nor is the
+    header of an article.
+    """
     name, *names = label.split(".")
-    if name in AROUND:
-        return True
-    return any(part in AROUND_NAMES for each in names for part in re.split(r"[-_]", each))
+    if name in _WHOLE:
+        return False
+    return name in AROUND or any(map(_names_surroundings, names))
+
+
+def _names_surroundings(name: str) -> bool:
+    parts = re.split(r"[-_]", name)
+    if parts[-1] == "header" and parts[0] in _ARTICLE_NAMES:
+        return False
+    return any(part in AROUND_NAMES for part in parts)
+
+
+def _holds_article(node: Node) -> bool:
+    return any(
+        child.label.split(".")[0] in _INSIDE or _holds_article(child) for child in node.children
+    )
 
 
 def region(wrapper: Node) -> list[tuple[str, ...]]:
@@ -275,7 +294,8 @@ def region(wrapper: Node) -> list[tuple[str, ...]]:
             name = child.label.split(".")[0]
             inside = any(label.split(".")[0] in _INSIDE for label in path)
             if surrounds(child.label) and not (name == "header" and inside):
-                continue
+                if not _holds_article(child):
+                    continue
             if name in _INSIDE:
                 found[name].append((*path, child.label))
             weight = visit(child, (*path, child.label))

@@ -55,6 +55,14 @@ def test_markup_of_many_kinds(pages):
     assert texts(pages([(1, "https://a.example/x", ARTICLE)])) == {1: MAIN}
 
 
+def test_names_that_only_sound_like_surroundings(pages):
+    page = """<body class="has-sidebar no-banner"><div class="content-with-sidebar">
+        <article class="post ad-free"><div class="article-header"><h1>H</h1></div><p>P</p>
+        <div class="post-comments"><p>C</p></div><div class="entry-share">S</div></article>
+        <div class="sidebar">X</div></div></body>"""
+    assert texts(pages([(1, "https://a.example/x", page)])) == {1: "H\n\nP"}
+
+
 def test_every_case(pages):
     rows = [
         (None, None, None),
