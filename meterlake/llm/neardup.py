@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import id_and_text, lists, stage
@@ -24,14 +23,10 @@ BANDS, ROWS = 25, 4
 #: Texts compared with one center in one stretch of work; a center with more is copied.
 STRETCH = 256
 
-#: Rounds in which an outsider meets one member of a component per bucket.
-ROUNDS = 4
-#: Signatures are kept with 4 bits a coordinate, to tell how many of them differ.
-BITS = 4
+#: Nodes of a bucket that one task holds at a time, and shingles of them.
+BLOCK_NODES, BLOCK_SHINGLES = 512, 1_000_000
 
-_SIGNED = (
-    "doc_id long, key long, node binary, size int, bands array<long>, sketch array<long>"
-)
+_SIGNED = "doc_id long, key long, node binary, size int, bands array<long>"
 
 
 def shingles(words: np.ndarray, length: int, spans: SpanHasher) -> np.ndarray:
@@ -48,38 +43,12 @@ def _bands(darts: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return hashes.view(np.int64)
 
 
-def _sketch(darts: np.ndarray) -> np.ndarray:
-    """The last bits of each coordinate, packed into 64-bit words."""
-    per_word = 64 // BITS
-    padded = np.zeros(-(-len(darts) // per_word) * per_word, np.uint64)
-    padded[: len(darts)] = mixed(darts) & np.uint64((1 << BITS) - 1)
-    places = np.arange(per_word, dtype=np.uint64) * np.uint64(BITS)
-    return (padded.reshape(-1, per_word) << places).sum(axis=1, dtype=np.uint64).view(np.int64)
-
-
-def _most_differing(similarity: float, coordinates: int) -> int:
-    """Coordinates of which more differ in a pair that is similar once in 10 billion times."""
-    differ = (1 - similarity) * (1 - 1 / (1 << BITS))
-    return int(coordinates * differ + 6.5 * math.sqrt(coordinates * differ * (1 - differ))) + 1
-
-
-def _differing(one: str, other: str, words: int) -> Column:
-    """In how many coordinates two sketches differ."""
-    total = F.lit(0)
-    for i in range(words):
-        bits = F.col(one)[i].bitwiseXOR(F.col(other)[i])
-        for shift in (1, 2):
-            bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift))
-        total = total + F.bit_count(bits.bitwiseAND(F.lit(0x1111111111111111)))
-    return total
-
-
 def _sign(
     length: int, bands: int, rows: int, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
     words, spans = WordHasher(), SpanHasher()
     for batch in batches:
-        nodes, sizes, keys, sketches = [], [], [], []
+        nodes, sizes, keys = [], [], []
         nothing = np.zeros(0, np.int64)
         texts = batch.column("text").to_pylist()
         for hashes in words(texts):
@@ -88,7 +57,6 @@ def _sign(
             sizes.append(len(elements))
             darts = signature(elements, bands * rows)
             keys.append(_bands(darts, bands, rows) if len(elements) else nothing)
-            sketches.append(_sketch(darts))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
@@ -96,9 +64,8 @@ def _sign(
                 pa.array(nodes, pa.binary()),
                 pa.array(sizes, pa.int32()),
                 lists(keys, pa.int64()),
-                lists(sketches, pa.int64()),
             ],
-            ["doc_id", "key", "node", "size", "bands", "sketch"],
+            ["doc_id", "key", "node", "size", "bands"],
         )
 
 
@@ -166,11 +133,11 @@ def near_duplicates(
     ``similarity`` or more; classes are the connected components. Texts with equal sets are
     one node, so copies are never compared. Nodes whose DartMinHash signatures agree in a
     band share a bucket. In each bucket every node is compared with the least node there;
-    the links make first components. Where a bucket still holds several of them, nodes
-    outside its largest are compared with one of its members, another one each round, while
-    that finds links; those still outside are then compared with every node there whose
-    signature does not rule a link out. So links within a component are hardly ever listed,
-    and none between components is left out. Every comparison is exact.
+    the links make first components. Buckets that still hold several are compared block by
+    block: a task holds the words of a bounded number of nodes in an inverted index and
+    looks up the others one by one, giving one link per node and component it reaches. So
+    pairs are neither listed nor shuffled, links within a component are not looked for
+    again, and none between components is left out. Every comparison is exact.
 
     Columns: doc_id, class_id (the least id of the class, null if it has none), class_size,
     node (hexadecimal; equal for equal sets). A null text is empty; texts without words are
@@ -198,7 +165,7 @@ def _classes(
         "darts_signed",
     )
     nodes = signed.groupBy("node").agg(
-        F.first(F.struct("doc_id", "key", "size", "bands", "sketch")).alias("one")
+        F.first(F.struct("doc_id", "key", "size", "bands")).alias("one")
     )
     nodes = stage(nodes.select("node", "one.*"), "darts_nodes")
     places = nodes.select("node", "size", F.explode("bands").alias("bucket"))
@@ -231,22 +198,11 @@ def _classes(
     )
     links = stage(_similar(first, bodies, shingle, similarity), "darts_links")
     classes = components(links)
-    known = first
-    for number in range(ROUNDS):
-        pairs = stage(_with_one_member(members, classes, compatible, number), "darts_pairs")
-        pairs = stage(pairs.join(known, ["a", "b"], "left_anti"), "darts_pairs")
-        found = stage(_similar(pairs, bodies, shingle, similarity), "darts_links")
-        if found.isEmpty():
-            break
-        links, known = links.unionByName(found), known.unionByName(pairs)
-        classes = components(links)
-    sketches = nodes.select("node", "sketch")
-    most = _most_differing(similarity, bands * rows)
-    pairs = _with_all_others(members, classes, sketches, compatible, bands * rows, most)
-    pairs = stage(pairs.join(known, ["a", "b"], "left_anti"), "darts_pairs")
-    found = stage(_similar(pairs, bodies, shingle, similarity), "darts_links")
-    if not found.isEmpty():
-        classes = components(links.unionByName(found))
+    between = stage(
+        _between(members, classes, bodies, shingle, similarity), "darts_between"
+    )
+    if not between.isEmpty():
+        classes = components(links.unionByName(between))
     named = signed.select("doc_id", "key", "node").join(classes, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     sizes = named.groupBy("root").agg(
@@ -266,77 +222,126 @@ def _classes(
     )
 
 
-def _open_buckets(members: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of buckets with several components, and of those the ones outside the largest."""
+def _between(
+    members: DataFrame, classes: DataFrame, bodies: DataFrame, length: int, similarity: float
+) -> DataFrame:
+    """Links between different components within buckets that hold several.
+
+    The nodes of a bucket are dealt into blocks. Each block meets its own nodes and those of
+    later blocks, so every pair of the bucket meets once.
+    """
     named = (
         members.select("bucket", "node", "size")
         .join(classes, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
-    per_root = named.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("nodes"))
-    several = (
-        per_root.groupBy("bucket")
-        .agg(F.max(F.struct("nodes", "root")).alias("largest"), F.count(F.lit(1)).alias("roots"))
-        .filter("roots > 1")
-        .select("bucket", F.col("largest.root").alias("largest"))
+    blocks = F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("size") / BLOCK_SHINGLES)
     )
-    rows = stage(named.join(several, "bucket"), "darts_open")
-    outside = rows.filter(F.col("root") != F.col("largest")).select(
-        "bucket",
-        F.col("node").alias("other"),
-        F.col("size").alias("other_size"),
-        F.col("root").alias("other_root"),
+    several = named.groupBy("bucket").agg(
+        blocks.cast("int").alias("blocks"),
+        F.min("root").alias("least_root"),
+        F.max("root").alias("last_root"),
     )
-    return rows, outside
-
-
-def _pair() -> list[Column]:
-    return [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
-
-
-def _with_one_member(
-    members: DataFrame, classes: DataFrame, compatible, number: int
-) -> DataFrame:
-    """Nodes outside the largest component of a bucket, with one of its nodes."""
-    rows, outside = _open_buckets(members, classes)
-    drawn = F.min(F.struct(F.xxhash64("node", "bucket", F.lit(number)), "node", "size"))
-    chosen = (
-        rows.filter(F.col("root") == F.col("largest"))
-        .groupBy("bucket")
-        .agg(drawn.alias("one"))
-        .select("bucket", "one.node", "one.size")
+    several = several.filter("least_root != last_root").select("bucket", "blocks")
+    block = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
+    rows = named.join(several, "bucket").withColumn("own", block)
+    dealt = rows.select(
+        "bucket", "node", "root", "own", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("block")
     )
-    pairs = outside.join(chosen, "bucket").filter(compatible("size", "other_size"))
-    return pairs.select(*_pair()).distinct()
-
-
-def _with_all_others(
-    members: DataFrame,
-    classes: DataFrame,
-    sketches: DataFrame,
-    compatible,
-    coordinates: int,
-    most: int,
-) -> DataFrame:
-    """Pairs of one bucket that lie in different components and may be similar.
-
-    One of each pair is outside the largest component of its bucket.
-    """
-    rows, outside = _open_buckets(members, classes)
-    words = -(-coordinates * BITS // 64)
-    others = sketches.withColumnsRenamed({"node": "other", "sketch": "other_sketch"})
-    pairs = outside.join(others, "other").join(rows.join(sketches, "node"), "bucket")
     return (
-        pairs.filter(
-            (F.col("root") != F.col("other_root"))
-            & compatible("size", "other_size")
-            & (_differing("sketch", "other_sketch", words) <= most)
-        )
-        .select(*_pair())
+        dealt.join(bodies, "node")
+        .withColumn("looks_up", F.col("own") != F.col("block"))
+        .repartition("bucket", "block")
+        .sortWithinPartitions("bucket", "block", "looks_up", "node")
+        .select("bucket", "block", "looks_up", "node", "root", "text")
+        .mapInArrow(functools.partial(_cross, length, similarity), "a binary, b binary")
         .distinct()
     )
 
 
+def _cross(
+    length: int, similarity: float, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """Links within a block, and of later nodes with it; its own nodes come first."""
+    words, spans = WordHasher(), SpanHasher()
+    block: _Block | None = None
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("bucket", "block", "looks_up")]
+        names = zip(batch.column("node").to_pylist(), batch.column("root").to_pylist())
+        texts = batch.column("text").to_pylist()
+        found: list[tuple[bytes, bytes]] = []
+        for *place, later, (node, root), hashes in zip(*columns, names, words(texts)):
+            if block is None or block.place != place:
+                if block:
+                    found += block.inner_links()
+                block = _Block(place, similarity)
+            elements = shingles(hashes, length, spans)
+            if later:
+                found += block.links(node, root, elements)
+            else:
+                block.add(node, root, elements)
+        yield _pairs(found)
+    if block:
+        yield _pairs(block.inner_links())
+
+
+def _pairs(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    columns = list(zip(*found)) or [[], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["a", "b"])
+
+
+class _Block:
+    """Nodes of one bucket in an inverted index of their shingles."""
+
+    def __init__(self, place: list, similarity: float) -> None:
+        self.place = place
+        self._similarity = similarity
+        self._nodes: list[tuple[bytes, bytes]] = []
+        self._elements: list[np.ndarray] = []
+        self._index: tuple[np.ndarray, ...] | None = None
+
+    def add(self, node: bytes, root: bytes, elements: np.ndarray) -> None:
+        self._nodes.append((node, root))
+        self._elements.append(elements)
+
+    def inner_links(self) -> list[tuple[bytes, bytes]]:
+        return [
+            link
+            for (node, root), elements in zip(self._nodes, self._elements)
+            for link in self.links(node, root, elements)
+        ]
+
+    def links(self, node: bytes, root: bytes, elements: np.ndarray) -> list[tuple[bytes, bytes]]:
+        """One link of a node to each other component of this block that it reaches."""
+        if self._index is None:
+            self._index = self._build()
+        shingle, starts, owners, sizes = self._index
+        at = np.minimum(np.searchsorted(shingle, elements), max(0, len(shingle) - 1))
+        at = at[shingle[at] == elements] if len(shingle) else at[:0]
+        counts = starts[at + 1] - starts[at]
+        ends = np.cumsum(counts)
+        if not len(ends):
+            return []
+        places = np.repeat(starts[at] - (ends - counts), counts) + np.arange(ends[-1])
+        shared = np.bincount(owners[places], minlength=len(sizes))
+        similar = shared >= self._similarity * (sizes + len(elements) - shared)
+        reached: dict[bytes, bytes] = {}
+        for i in np.flatnonzero(similar).tolist():
+            other, other_root = self._nodes[i]
+            if other_root != root:
+                reached.setdefault(other_root, other)
+        return [(min(node, other), max(node, other)) for other in reached.values()]
+
+    def _build(self) -> tuple[np.ndarray, ...]:
+        sizes = np.array([len(e) for e in self._elements], np.int64)
+        flat = np.concatenate(self._elements) if len(sizes) else np.zeros(0, np.uint64)
+        owners = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.argsort(flat, kind="stable")
+        shingle, starts = np.unique(flat[order], return_index=True)
+        return shingle, np.append(starts, len(flat)), owners[order], sizes
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document of each class, that with the least id.
 

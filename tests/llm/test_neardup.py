@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 
+from meterlake.llm import neardup
 from meterlake.llm.components import components
 from meterlake.llm.darts import signature
 from meterlake.llm.neardup import keep_one, near_duplicates
@@ -55,8 +56,10 @@ def test_every_case(documents):
     assert classes(documents([])) == []
 
 
-def test_chains_and_stars_of_edits(documents):
+@pytest.mark.parametrize("block", [512, 3])
+def test_chains_and_stars_of_edits(documents, monkeypatch, block):
     """Each text is an edit of an earlier one, so that many similarities lie around 0.8."""
+    monkeypatch.setattr(neardup, "BLOCK_NODES", block)
     rng = random.Random(7)
     words = [f"w{i}" for i in range(500)]
     texts = [rng.choices(words, k=rng.randint(40, 90)) for _ in range(8)]
