@@ -383,19 +383,20 @@ def load_record(spark, sf_dir):
     return read_load_records(spark, records).select("table_name", "row_count")
 
 
-def job_chain(spark, sf_dir):
+def _chain(measurements: DataFrame) -> DataFrame:
     """Bronze tree to silver to gold by path, then the report on stored gold."""
-    gold_dir = new_path(spark, "gold")
-    jobs.run_chain(spark, event_tree(spark, sf_dir), new_path(spark, "silver"), gold_dir)
+    spark = measurements.sparkSession
+    root, gold_dir = bronze_tree(measurements), new_path(spark, "gold")
+    jobs.run_chain(spark, root, new_path(spark, "silver"), gold_dir, partition_by=MONTHLY)
     return module_month_report(read_gold(spark, gold_dir))
 
 
+def job_chain(spark, sf_dir):
+    return _chain(event_measurements(spark, sf_dir))
+
+
 def job_chain_lineitem(spark, sf_dir):
-    """The chain on the larger table, silver in directories by module, interval and month."""
-    gold_dir = new_path(spark, "gold")
-    root = bronze_tree(lineitem_measurements(spark, sf_dir))
-    jobs.run_chain(spark, root, new_path(spark, "silver"), gold_dir, partition_by=MONTHLY)
-    return module_month_report(read_gold(spark, gold_dir))
+    return _chain(lineitem_measurements(spark, sf_dir))
 
 
 def stream_and_batch(spark, sf_dir):
