@@ -300,6 +300,7 @@ class _Block:
         self._nodes: list[tuple[bytes, bytes]] = []
         self._elements: list[np.ndarray] = []
         self._index: tuple[np.ndarray, ...] | None = None
+        self._joined: dict[bytes, bytes] = {}
 
     def add(self, node: bytes, root: bytes, elements: np.ndarray) -> None:
         self._nodes.append((node, root))
@@ -313,9 +314,14 @@ class _Block:
         ]
 
     def links(self, node: bytes, root: bytes, elements: np.ndarray) -> list[tuple[bytes, bytes]]:
-        """One link of a node to each other component of this block that it reaches."""
+        """Links of a node that join components of this block, or itself to one of them.
+
+        What earlier links joined counts as one component, so there are no more links than
+        nodes that were looked up or held.
+        """
         if self._index is None:
             self._index = self._build()
+            self._joined = {root: root for _, root in self._nodes}
         shingle, starts, owners, sizes = self._index
         at = np.minimum(np.searchsorted(shingle, elements), max(0, len(shingle) - 1))
         at = at[shingle[at] == elements] if len(shingle) else at[:0]
@@ -326,13 +332,24 @@ class _Block:
         places = np.repeat(starts[at] - (ends - counts), counts) + np.arange(ends[-1])
         shared = np.bincount(owners[places], minlength=len(sizes))
         similar = shared >= self._similarity * (sizes + len(elements) - shared)
+        own = self._find(root) if root in self._joined else None
         reached: dict[bytes, bytes] = {}
         for i in np.flatnonzero(similar).tolist():
             other, other_root = self._nodes[i]
-            if other_root != root:
-                reached.setdefault(other_root, other)
+            joined = self._find(other_root)
+            if joined != own:
+                reached.setdefault(joined, other)
+        for joined in reached:
+            own = joined if own is None else own
+            self._joined[joined] = own
         return [(min(node, other), max(node, other)) for other in reached.values()]
 
+    def _find(self, root: bytes) -> bytes:
+        while self._joined[root] != root:
+            self._joined[root] = self._joined[self._joined[root]]
+            root = self._joined[root]
+        return root
+
     def _build(self) -> tuple[np.ndarray, ...]:
         sizes = np.array([len(e) for e in self._elements], np.int64)
         flat = np.concatenate(self._elements) if len(sizes) else np.zeros(0, np.uint64)
