@@ -57,8 +57,16 @@ AROUND_NAMES = frozenset(
 )
 _INSIDE = frozenset({"article", "main"})
 _WHOLE = _INSIDE | {"html", "body"}
+#: Elements that are no part of a page by themselves, but of the text or list around them.
+_PARTS_OF_TEXT = frozenset(
+    "p blockquote pre li dt dd h1 h2 h3 h4 h5 h6 caption figcaption legend summary thead tbody "
+    "tfoot tr td th".split()
+)
 _ARTICLE_NAMES = frozenset("article entry post story content".split())
 
+#: The labels of an element and those around it, the outermost first.
+Path = tuple[str, ...]
+
 
 @dataclass
 class Node:
@@ -190,7 +198,7 @@ class Page:
     """A page's elements with their text blocks, in page order."""
 
     def __init__(self, page: str) -> None:
-        self.blocks: list[tuple[tuple[str, ...], str]] = []
+        self.blocks: list[tuple[Path, str]] = []
         self._path: list[str] = []
         self._names: list[str] = []
         self._text: list[str] = []
@@ -273,63 +281,117 @@ def _holds_article(node: Node) -> bool:
     )
 
 
-def region(wrapper: Node) -> list[tuple[str, ...]]:
-    """Paths of the elements that hold the main text.
+def _own_header(label: str, parent: str, *, told: bool) -> bool:
+    """Whether a header outside articles may be that of the text.
+
+    One at the top of the page is only if ``told``: if enough pages are aligned to tell
+    whether it is the same on all.
+    """
+    name, *names = label.split(".")
+    if name != "header" or any(map(_names_surroundings, names)):
+        return False
+    return told or parent.split(".")[0] not in {"", *_WHOLE}
+
+
+def varying(wrapper: Node) -> tuple[list[Path], list[Path]]:
+    """The lowest element with all text that differs from page to page, and what it leaves out.
+
+    Surroundings, articles and main elements do not count. Left out are surroundings and
+    the parts (divisions, lists, tables, ...) whose text is the same on all pages; a heading
+    or paragraph that is the same on all pages stays beside text that differs. Texts of one
+    or two pages cannot be told from constant ones and count as different.
+    """
+    lowest: Path | None = None
+    kept: set[Path] = set()
+    left: list[Path] = []
+
+    def visit(node: Node, path: Path) -> bool:
+        nonlocal lowest
+        varies = node.weight > 0 and not (node.pages > 2 and node.text)
+        if varies:
+            lowest = path if lowest is None else _shared(lowest, path)
+        for child in node.children:
+            name, where = child.label.split(".")[0], (*path, child.label)
+            if name in _INSIDE:
+                continue
+            told = child.pages > 2
+            around = surrounds(child.label) and not _own_header(
+                child.label, node.label, told=told
+            )
+            if not around and visit(child, where):
+                varies = True
+                kept.add(where)
+            elif around or name not in _PARTS_OF_TEXT:
+                left.append(where)
+        return varies
+
+    visit(wrapper, ())
+    if lowest is None:
+        return [], []
+    while lowest and lowest[-1].split(".")[0] in _PARTS_OF_TEXT:
+        lowest = lowest[:-1]
+    out = [path for path in left if path not in kept and _shared(lowest, path) == lowest]
+    return [lowest], list(dict.fromkeys(out))
+
+
+def _shared(one: Path, other: Path) -> Path:
+    at = 0
+    while at < min(len(one), len(other)) and one[at] == other[at]:
+        at += 1
+    return one[:at]
 
-    Articles, else main elements; without any, the element that holds most of the text
-    that differs from page to page.
+
+def regions(wrapper: Node) -> list[tuple[list[Path], list[Path]]]:
+    """Paths of the elements that hold the main text, and of parts of them that do not.
+
+    Articles, else main elements; without any, the lowest element that holds all text that
+    differs from page to page.
     """
-    found: dict[str, list[tuple[str, ...]]] = {name: [] for name in _INSIDE}
-    best: tuple[int, tuple[str, ...]] | None = None
-    loose: tuple[int, tuple[str, ...]] | None = None
-
-    def visit(node: Node, path: tuple[str, ...]) -> int:
-        nonlocal best, loose
-        constant = node.pages > 2 and node.text
-        total = 0 if constant else node.weight
-        direct = total if path and node.label.split(".")[0] != "body" else 0
-        if total and (loose is None or total > loose[0]):
-            loose = (total, path)
+    found: dict[str, list[Path]] = {"article": [], "main": []}
+
+    def visit(node: Node, path: Path) -> None:
         for child in node.children:
-            name = child.label.split(".")[0]
+            name, where = child.label.split(".")[0], (*path, child.label)
             inside = any(label.split(".")[0] in _INSIDE for label in path)
             if surrounds(child.label) and not (name == "header" and inside):
                 if not _holds_article(child):
                     continue
             if name in _INSIDE:
-                found[name].append((*path, child.label))
-            weight = visit(child, (*path, child.label))
-            total += weight
-            if name in ("p", "blockquote", "pre", "li", "h1", "h2", "h3", "h4"):
-                direct += weight
-        if direct and (best is None or direct > best[0]):
-            best = (direct, path)
-        return total
+                found[name].append(where)
+            visit(child, where)
 
     visit(wrapper, ())
-    for name in ("article", "main"):
-        if found[name]:
-            return list(dict.fromkeys(found[name]))
-    chosen = best or loose
-    return [chosen[1]] if chosen else []
+    ranks = [(list(dict.fromkeys(paths)), []) for paths in found.values()]
+    return [rank for rank in (*ranks, varying(wrapper)) if rank[0]][:1]
+
+
+def region(wrapper: Node) -> list[Path]:
+    """Paths of the elements that hold the main text of most pages."""
+    return next((inside for inside, _ in regions(wrapper)), [])
 
 
-def main_text(page: Page, regions: list[tuple[str, ...]]) -> str:
+def main_text(page: Page, ranks: list[tuple[list[Path], list[Path]]]) -> str:
     """The blocks within a region, without what surrounds articles."""
 
-    def chosen(where: list[tuple[str, ...]]) -> list[str]:
+    def chosen(where: list[Path], left: list[Path]) -> list[str]:
         texts = []
         for path, text in page.blocks:
             for start in where:
                 if path[: len(start)] == start:
                     inner = path[len(start) :]
-                    if not any(surrounds(x) and x.split(".")[0] != "header" for x in inner):
+                    around = any(surrounds(x) and x.split(".")[0] != "header" for x in inner)
+                    if not around and not any(path[: len(x)] == x for x in left):
                         texts.append(text)
                     break
         return texts
 
-    texts = chosen(regions) or chosen(region(page.wrapper()))
-    return "\n\n".join(texts)
+    for where, left in ranks:
+        if texts := chosen(where, left):
+            return "\n\n".join(texts)
+    for where, left in regions(page.wrapper()):
+        if texts := chosen(where, left):
+            return "\n\n".join(texts)
+    return ""
 
 
 def _dump(wrapper: Node) -> str:
@@ -379,21 +441,24 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _regions(held: dict[str, Node]) -> pa.RecordBatch:
-    where = [json.dumps(region(node), ensure_ascii=False) for node in held.values()]
+    where = [json.dumps(regions(node), ensure_ascii=False) for node in held.values()]
     texts = [_dump(node) for node in held.values()]
     columns = [pa.array(column, pa.string()) for column in (list(held), texts, where)]
     return pa.RecordBatch.from_arrays(columns, ["host", "wrapper", "regions"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, list[tuple[str, ...]]] = {}
+    known: dict[str, list[tuple[list[Path], list[Path]]]] = {}
     for batch in batches:
         texts = []
         for text, raw in zip(batch.column("html").to_pylist(), batch.column("regions").to_pylist()):
             if raw not in known:
                 if len(known) > MOST_HOSTS:
                     known.clear()
-                known[raw] = [tuple(path) for path in json.loads(raw or "[]")]
+                known[raw] = [
+                    (list(map(tuple, where)), list(map(tuple, left)))
+                    for where, left in json.loads(raw or "[]")
+                ]
             texts.append(main_text(Page(text), known[raw]))
         yield pa.RecordBatch.from_arrays(
             [

@@ -105,6 +105,36 @@ def test_host_wrapper_finds_the_article_without_article_elements(pages):
         assert got[i] == "\n\n".join(f"Page {i} says {j}" for j in range(1 + i % 3))
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<div class=post><h1>Title {0}</h1><p>Opening words {0}</p><ul>{list}</ul><p>End {0}</p></div>",
+        "<div class=post><section class=intro><p>Opening words {0}</p></section><section class=body>"
+        "<h2>Always so</h2><ul>{list}</ul></section><section class=end><p>End {0}</p></section></div>",
+        "<div class=head><h1>Title {0}</h1></div><div class=post><table><tr><th>Name<th>Price"
+        "<tr><td>Thing {0}<td>{0} euros</table><p>End {0}</p></div>",
+        "<div class=post><header><h1>Title {0}</h1></header><div><p>Body {0}</p></div></div>",
+    ],
+)
+def test_all_parts_of_an_article_without_article_elements(pages, body):
+    """Titles, lists, tables and sections come whole; what is the same on all pages does not."""
+    around = "<header><p>Site</p></header><div class=box><p>A long line on every page</p></div>"
+    made = {
+        i: body.format(i, list="".join(f"<li>Item {j} of {i}, long enough" for j in range(9)))
+        for i in range(6)
+    }
+    rows = [
+        (i, f"https://d.example/{i}", f"<html><body>{around}{made[i]}{around}</body></html>")
+        for i in made
+    ]
+    alone = (9, "https://alone.example/", f"<html><body>{made[0]}</body></html>")
+    got = texts(pages([*rows, alone]))
+    plain = {i: re.sub(r"\s*<[^>]*>\s*", "\n", made[i]).split("\n") for i in made}
+    for i in made:
+        assert got[i].split("\n\n") == [line for line in plain[i] if line]
+    assert got[9] == got[0]
+
+
 def test_alignment_makes_optional_and_repeated_parts():
     one = Page("<article><h1>A</h1><p>1</p><p>2</p></article>").wrapper()
     other = Page("<article><h1>B</h1><blockquote>q</blockquote><p>3</p></article>").wrapper()
