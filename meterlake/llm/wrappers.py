@@ -344,8 +344,8 @@ def _shared(one: Path, other: Path) -> Path:
 def regions(wrapper: Node) -> list[tuple[list[Path], list[Path]]]:
     """Paths of the elements that hold the main text, and of parts of them that do not.
 
-    Articles, else main elements; without any, the lowest element that holds all text that
-    differs from page to page.
+    Articles; for pages without, main elements; for pages without either, the lowest element
+    that holds all text that differs from page to page.
     """
     found: dict[str, list[Path]] = {"article": [], "main": []}
 
@@ -362,7 +362,7 @@ def regions(wrapper: Node) -> list[tuple[list[Path], list[Path]]]:
 
     visit(wrapper, ())
     ranks = [(list(dict.fromkeys(paths)), []) for paths in found.values()]
-    return [rank for rank in (*ranks, varying(wrapper)) if rank[0]][:1]
+    return [rank for rank in (*ranks, varying(wrapper)) if rank[0]]
 
 
 def region(wrapper: Node) -> list[Path]:
@@ -371,7 +371,7 @@ def region(wrapper: Node) -> list[Path]:
 
 
 def main_text(page: Page, ranks: list[tuple[list[Path], list[Path]]]) -> str:
-    """The blocks within a region, without what surrounds articles."""
+    """The blocks within the first regions that a page has, without what surrounds articles."""
 
     def chosen(where: list[Path], left: list[Path]) -> list[str]:
         texts = []
@@ -505,7 +505,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     one kind are aligned into a repeated element; pages of a host are aligned into its
     wrapper, in which elements that some pages lack are optional and texts that differ are
     slots. The wrapper tells which elements hold the article; where a page does not have
-    them, its own tree does.
+    them, the text that differs from page to page does, then its own tree.
 
     Columns: page_id, url, text, n_chars. A null html is empty and has an empty text; pages
     without a host in their url are one host; repeated rows give repeated results; an

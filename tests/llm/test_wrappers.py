@@ -135,6 +135,19 @@ def test_all_parts_of_an_article_without_article_elements(pages, body):
     assert got[9] == got[0]
 
 
+@pytest.mark.parametrize("element", ["article", "main"])
+def test_pages_without_article_on_a_host_with_some(pages, element):
+    """One page with an article does not switch off the wrapper for the others of its host."""
+    same = "<div class=box>" + "<p>The same long line on every page</p><hr>" * 9 + "</div>"
+    rows = [
+        (i, f"https://e.example/{i}", f"<body>{same}<div class=body><p>Page {i}</p></div></body>")
+        for i in range(12)
+    ]
+    one = f"<body>{same}<{element}><p>Long words of the article</p></{element}></body>"
+    got = texts(pages([*rows, (12, "https://e.example/12", one)]))
+    assert got == {i: f"Page {i}" for i in range(12)} | {12: "Long words of the article"}
+
+
 def test_alignment_makes_optional_and_repeated_parts():
     one = Page("<article><h1>A</h1><p>1</p><p>2</p></article>").wrapper()
     other = Page("<article><h1>B</h1><blockquote>q</blockquote><p>3</p></article>").wrapper()
