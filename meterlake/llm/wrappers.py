@@ -6,7 +6,7 @@ import hashlib
 import html
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -17,7 +17,7 @@ from meterlake.llm.common import stage
 
 #: Hosts whose wrappers a task holds before it hands them on.
 MOST_HOSTS = 5_000
-#: Deeper elements count as parts of the one at this depth.
+#: Of deeper elements, paths name only articles, main elements and surroundings.
 MOST_DEPTH = 64
 
 _TOKEN = re.compile(
@@ -199,8 +199,10 @@ class Page:
 
     def __init__(self, page: str) -> None:
         self.blocks: list[tuple[Path, str]] = []
-        self._path: list[str] = []
+        #: Names and paths of the open elements, and the places of each name among them.
         self._names: list[str] = []
+        self._paths: list[Path] = [()]
+        self._places: dict[str, list[int]] = {}
         self._text: list[str] = []
         for kind, name, rest in tokens(page):
             if kind == "text":
@@ -220,26 +222,34 @@ class Page:
             text = " ".join(html.unescape("".join(self._text)).split())
             self._text.clear()
             if text:
-                self.blocks.append((tuple(self._path), text))
+                self.blocks.append((self._paths[-1], text))
+
+    def _last(self, names: Iterable[str]) -> int:
+        """The place of the innermost open element of these names, or -1."""
+        return max((self._places[name][-1] for name in names if self._places.get(name)), default=-1)
+
+    def _end(self, at: int) -> None:
+        """End the elements from this place on."""
+        for name in self._names[at:]:
+            self._places[name].pop()
+        del self._names[at:], self._paths[at + 1 :]
 
     def _close(self, name: str) -> None:
-        for at in range(len(self._names) - 1, -1, -1):
-            if self._names[at] == name:
-                del self._names[at:], self._path[at:]
-                return
+        at = self._last([name])
+        if at >= 0:
+            self._end(at)
 
     def _open(self, name: str, tag: str) -> None:
         if self._names and self._names[-1] == "p":
-            del self._names[-1], self._path[-1]
-        for at in range(len(self._names) - 1, -1, -1):
-            if self._names[at] in _CLOSES.get(name, ()):
-                del self._names[at:], self._path[at:]
-                break
-            if self._names[at] in _HOLDS:
-                break
-        if name not in _EMPTY and len(self._names) < MOST_DEPTH:
+            self._end(len(self._names) - 1)
+        if name in _CLOSES:
+            at = self._last(_CLOSES[name])
+            if at > self._last(_HOLDS):
+                self._end(at)
+        if name not in _EMPTY:
+            self._places.setdefault(name, []).append(len(self._names))
             self._names.append(name)
-            self._path.append(_label(name, tag))
+            self._paths.append(_deeper(self._paths[-1], _label(name, tag)))
 
     def wrapper(self) -> Node:
         """The page as a tree, neighbours of one kind aligned into repeated elements."""
@@ -275,6 +285,29 @@ def _names_surroundings(name: str) -> bool:
     return any(part in AROUND_NAMES for part in parts)
 
 
+def _deeper(path: Path, label: str) -> Path:
+    """The path of an element within another.
+
+    Below ``MOST_DEPTH`` only elements that tell what is text have a part in it, one of each
+    kind in a row: the first is what decides.
+    """
+    if len(path) >= MOST_DEPTH:
+        kind = _kind(label)
+        since = [_kind(x) for x in path[MOST_DEPTH:]]
+        for at in range(len(since) - 1, -1, -1):
+            if since[at] in _INSIDE and kind not in _INSIDE:
+                del since[:at]
+                break
+        if not kind or kind in since:
+            return path
+    return (*path, label)
+
+
+def _kind(label: str) -> str:
+    name = label.split(".")[0]
+    return name if name in {"header", *_INSIDE} else "around" if surrounds(label) else ""
+
+
 def _holds_article(node: Node) -> bool:
     return any(
         child.label.split(".")[0] in _INSIDE or _holds_article(child) for child in node.children

@@ -148,6 +148,24 @@ def test_pages_without_article_on_a_host_with_some(pages, element):
     assert got == {i: f"Page {i}" for i in range(12)} | {12: "Long words of the article"}
 
 
+def test_text_behind_and_below_deep_nesting(pages):
+    deep, up = "<div>" * 5_000, "</div>" * 5_000
+    inner = f"{deep}<p>deep</p><nav><p>menu</p></nav><div class=ad>{deep}advert{up}</div>{up}"
+    rows = [
+        (1, "https://f.example/1", f"<body><div><article>{inner}<p>after</p></article></div>"),
+        (2, "https://g.example/2", f"<body><div>{inner}<p>after</p></div><nav>menu</nav>"),
+        (3, "https://h.example/3", f"<body>{deep}<p>before</p><article><p>in</p></article>"),
+        (4, "https://i.example/4", f"<body>{deep}<aside><main><p>in</p><nav>menu</nav>"),
+        (5, "https://j.example/5", f"<body><article>{deep * 20}<p>never closed"),
+        (6, "https://k.example/6", f"<article>{deep * 20}{'<li></li></p></b></ul>' * 50_000}<p>end"),
+    ]
+    got = texts(pages(rows))
+    assert got[1] == got[2] == "deep\n\nafter"
+    assert got[3] == got[4] == "in"
+    assert got[5] == "never closed"
+    assert got[6] == "end"
+
+
 def test_alignment_makes_optional_and_repeated_parts():
     one = Page("<article><h1>A</h1><p>1</p><p>2</p></article>").wrapper()
     other = Page("<article><h1>B</h1><blockquote>q</blockquote><p>3</p></article>").wrapper()
