@@ -22,12 +22,23 @@ MOST_DEPTH = 64
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|svg|iframe|select|object|canvas)\b"
-    r".*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)(?![\w:-]).*?(?:</\1\s*>|\Z)"
     r"|<[/!?a-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
     r"|<[/!?a-z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+#: Elements without text of the page, which count as empty where their end is missing.
+_UNSEEN = frozenset("noscript template svg iframe select object canvas".split())
+_UNSEEN_NAME = rf"(?:{'|'.join(sorted(_UNSEEN))})(?![\w:-])"
+_UNSEEN_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(script|style|textarea|title)(?![\w:-])(?![^>]*/>)"
+    rf".*?(?:</\1\s*>|(?=</{_UNSEEN_NAME})|\Z)"
+    rf"|<(/?)({_UNSEEN_NAME})(?:(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*>)",
+    re.S | re.I,
+)
+#: A slash before the end of a tag, other than that of an address without quotes.
+_EMPTY_TAG = re.compile(r"(?<!=)(?:\s|[\"']|<[a-z]+|\s[^\s=\"'>]+)/>\Z", re.I)
 _TAG = re.compile(r"<(/?)([a-z][a-z0-9:-]*)", re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -173,16 +184,42 @@ def _squash(children: list[Node]) -> list[Node]:
     return result
 
 
+def _unseen(page: str) -> dict[int, int]:
+    """Starts and ends of unseen elements, without empty ones and those that never end."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for match in _UNSEEN_TAG.finditer(page):
+        if not match[3]:
+            continue
+        starts = opened.setdefault(match[3].lower(), [])
+        if not match[2]:
+            if not _EMPTY_TAG.search(match[0]):
+                starts.append(match.start())
+        elif starts:
+            ends[starts.pop()] = match.end()
+    return ends
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """The token stream of a page: kind (text, open, close), name, rest."""
     at = 0
-    for match in _TOKEN.finditer(page):
+    ends: dict[int, int] | None = None
+    matches = _TOKEN.finditer(page)
+    while match := next(matches, None):
         if match.start() > at:
             yield "text", "", page[at : match.start()]
         at = match.end()
         tag = None if match[1] else _TAG.match(match[0])
-        if tag:
-            yield "close" if tag[1] else "open", tag[2].lower(), match[0]
+        if not tag:
+            continue
+        name = tag[2].lower()
+        if name not in _UNSEEN:
+            yield "close" if tag[1] else "open", name, match[0]
+        elif not tag[1]:
+            ends = _unseen(page) if ends is None else ends
+            if match.start() in ends:
+                at = ends[match.start()]
+                matches = _TOKEN.finditer(page, at)
     if at < len(page):
         yield "text", "", page[at:]
 

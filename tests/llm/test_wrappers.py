@@ -166,6 +166,34 @@ def test_text_behind_and_below_deep_nesting(pages):
     assert got[6] == "end"
 
 
+@pytest.mark.parametrize(
+    "inner",
+    [
+        '<svg class="i"/>',
+        "<svg viewBox='0 0 1 1' /><svg><title>x</title><svg><g/></svg>drawn</svg>",
+        "<object data=/a/b/>no player</object><iframe src='x'/><canvas/>",
+        "<SVG><!-- </svg> -->drawn</SVG ><template><p>no</p></template>",
+        "<svg><style>'</title>'<svg></style>drawn</svg><select-box><title-bar></select-box>",
+        "<svg><style/><title>drawn</svg>",
+        '<select name="a>b"><option>no</select><svg><path d="></svg>',
+    ],
+)
+@pytest.mark.parametrize("name", ["svg", "select", "object", "canvas", "iframe", "noscript"])
+def test_empty_and_unclosed_elements_swallow_nothing(inner, name):
+    page = Page(f"<article><p>one</p>{inner}<p>two</p><{name} a=b><p>three</p>{inner}</article>")
+    assert [text for _, text in page.blocks] == ["one", "two", "three"]
+
+
+def test_many_unclosed_elements_in_linear_time():
+    page = Page("<p>one</p>" + "<svg><object>" * 100_000 + "<p>two</p>")
+    assert [text for _, text in page.blocks] == ["one", "two"]
+
+
+def test_scripts_and_titles_end_with_the_page():
+    for name in ("script", "style", "title", "textarea"):
+        assert [text for _, text in Page(f"<p>one</p><{name} /><p>two</p>").blocks] == ["one"]
+
+
 def test_alignment_makes_optional_and_repeated_parts():
     one = Page("<article><h1>A</h1><p>1</p><p>2</p></article>").wrapper()
     other = Page("<article><h1>B</h1><blockquote>q</blockquote><p>3</p></article>").wrapper()
