@@ -38,6 +38,7 @@ HEADLINE = [
     "sensor_bucket_avg",
     "csv_tree_roundtrip",
     "job_chain",
+    "job_chain_monthly",
     "job_chain_lineitem",
 ]
 

@@ -379,6 +379,7 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT 'testdaten' AS table_name, count(*) AS row_count FROM dataset"
     ),
     "job_chain": _events(_REPORT),
+    "job_chain_monthly": _events(_REPORT),
     "job_chain_lineitem": _lineitems(_REPORT),
     "landing_stream": _events(_ALL_SILVER),
     "stream_and_batch": _events(_ALL_SILVER),

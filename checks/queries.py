@@ -383,20 +383,25 @@ def load_record(spark, sf_dir):
     return read_load_records(spark, records).select("table_name", "row_count")
 
 
-def _chain(measurements: DataFrame) -> DataFrame:
+def _chain(measurements: DataFrame, **write_options) -> DataFrame:
     """Bronze tree to silver to gold by path, then the report on stored gold."""
     spark = measurements.sparkSession
     root, gold_dir = bronze_tree(measurements), new_path(spark, "gold")
-    jobs.run_chain(spark, root, new_path(spark, "silver"), gold_dir, partition_by=MONTHLY)
+    jobs.run_chain(spark, root, new_path(spark, "silver"), gold_dir, **write_options)
     return module_month_report(read_gold(spark, gold_dir))
 
 
 def job_chain(spark, sf_dir):
+    """Silver in the default directories, one of their columns the meter."""
     return _chain(event_measurements(spark, sf_dir))
 
 
+def job_chain_monthly(spark, sf_dir):
+    return _chain(event_measurements(spark, sf_dir), partition_by=MONTHLY)
+
+
 def job_chain_lineitem(spark, sf_dir):
-    return _chain(lineitem_measurements(spark, sf_dir))
+    return _chain(lineitem_measurements(spark, sf_dir), partition_by=MONTHLY)
 
 
 def stream_and_batch(spark, sf_dir):
@@ -490,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "file_inventory": file_inventory_query,
     "load_record": load_record,
     "job_chain": job_chain,
+    "job_chain_monthly": job_chain_monthly,
     "job_chain_lineitem": job_chain_lineitem,
     "landing_stream": landing_stream,
     "stream_and_batch": stream_and_batch,

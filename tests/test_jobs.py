@@ -4,10 +4,11 @@ import pytest
 from conftest import measurement, rows_of, write_measurements
 from pyspark.sql import functions as F
 
+from checks import queries
 from meterlake import staging
 from meterlake.operators import silver
 from meterlake.plans import jobs
-from meterlake.schema import SILVER
+from meterlake.schema import SILVER, SILVER_PARTITIONS
 from meterlake.sources import read_bronze, read_gold, read_silver
 from meterlake.sinks import write_silver
 from meterlake.streaming import start_silver_stream
@@ -149,3 +150,22 @@ def test_stream_and_batch_share_a_table(spark, bronze_root, tmp_path):
     write_silver(more.withColumn("value", F.lit(1.0)), path, partition_overwrite="dynamic")
     rows = read_silver(spark, path)
     assert rows.count() == 9 and rows.filter("modul = '007'").first().value == 1.0
+
+
+@pytest.mark.parametrize(
+    "name, columns", [("job_chain", SILVER_PARTITIONS), ("job_chain_monthly", queries.MONTHLY)]
+)
+def test_chain_queries_write_the_default_and_the_monthly_directories(
+    spark, monkeypatch, name, columns
+):
+    files = []
+
+    def recorded(typed, path, **options):
+        counts = write_silver(typed, path, **options)
+        files.extend(spark.read.parquet(path).inputFiles())
+        return counts
+
+    monkeypatch.setattr(jobs, "write_silver", recorded)
+    queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    parts = {tuple(p.split("=")[0] for p in f.split("/") if "=" in p) for f in files}
+    assert parts == {tuple(columns)}
