@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import queries
 from meterlake import staging
 from meterlake.operators import silver
+from meterlake.operators.quality import verify_gold
 from meterlake.plans import jobs
 from meterlake.schema import SILVER, SILVER_PARTITIONS
 from meterlake.sources import read_bronze, read_gold, read_silver
@@ -169,3 +170,16 @@ def test_chain_queries_write_the_default_and_the_monthly_directories(
     queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     parts = {tuple(p.split("=")[0] for p in f.split("/") if "=" in p) for f in files}
     assert parts == {tuple(columns)}
+
+
+@pytest.mark.parametrize("name", ["module_month_report", "parquet_flat_roundtrip"])
+def test_queries_on_stored_gold_verify_it(spark, monkeypatch, name):
+    verified = []
+
+    def recorded(gold, silver_table):
+        verified.append(gold.keys())
+        return verify_gold(gold, silver_table)
+
+    monkeypatch.setattr(jobs, "verify_gold", recorded)
+    queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(verified) == 1
