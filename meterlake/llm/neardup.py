@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from meterlake.llm.common import id_and_text, lists, stage
 from meterlake.llm.components import components
 from meterlake.llm.darts import signature
-from meterlake.llm.spans import SpanHasher, WordHasher, mixed
+from meterlake.llm.spans import WordHasher, mixed, window_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -29,11 +29,11 @@ BLOCK_NODES, BLOCK_SHINGLES = 512, 1_000_000
 _SIGNED = "doc_id long, key long, node binary, size int, bands array<long>"
 
 
-def shingles(words: np.ndarray, length: int, spans: SpanHasher) -> np.ndarray:
+def shingles(words: np.ndarray, length: int) -> np.ndarray:
     """The distinct shingles of a text, sorted; a shorter text is one shingle."""
     if not len(words):
         return np.zeros(0, np.uint64)
-    return np.unique(spans.windows(words, min(length, len(words))))
+    return np.unique(window_hashes(words, min(length, len(words))))
 
 
 def _bands(darts: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -46,13 +46,13 @@ def _bands(darts: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _sign(
     length: int, bands: int, rows: int, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
-    words, spans = WordHasher(), SpanHasher()
+    words = WordHasher()
     for batch in batches:
         nodes, sizes, keys = [], [], []
         nothing = np.zeros(0, np.int64)
         texts = batch.column("text").to_pylist()
         for hashes in words(texts):
-            elements = shingles(hashes, length, spans)
+            elements = shingles(hashes, length)
             nodes.append(hashlib.blake2b(elements.tobytes(), digest_size=16).digest())
             sizes.append(len(elements))
             darts = signature(elements, bands * rows)
@@ -73,7 +73,7 @@ def _verify(
     length: int, similarity: float, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
     """Pairs of a center, which comes first, and the texts behind it that are similar."""
-    words, spans = WordHasher(), SpanHasher()
+    words = WordHasher()
     center: bytes | None = None
     elements = np.zeros(0, np.uint64)
     for batch in batches:
@@ -81,7 +81,7 @@ def _verify(
         rows = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), words(texts))
         found: list[tuple[bytes, bytes]] = []
         for a, b, hashes in rows:
-            these = shingles(hashes, length, spans)
+            these = shingles(hashes, length)
             if b is None:
                 center, elements = a, these
                 continue
@@ -264,7 +264,7 @@ def _cross(
     length: int, similarity: float, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[pa.RecordBatch]:
     """Links within a block, and of later nodes with it; its own nodes come first."""
-    words, spans = WordHasher(), SpanHasher()
+    words = WordHasher()
     block: _Block | None = None
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("bucket", "block", "looks_up")]
@@ -276,7 +276,7 @@ def _cross(
                 if block:
                     found += block.inner_links()
                 block = _Block(place, similarity)
-            elements = shingles(hashes, length, spans)
+            elements = shingles(hashes, length)
             if later:
                 found += block.links(node, root, elements)
             else:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import stage
-from meterlake.llm.spans import SpanHasher, WordHasher
+from meterlake.llm.spans import WordHasher, window_hashes
 
 #: Labelled documents that the document classifier is fitted on, at most.
 SAMPLE = 20_000
@@ -32,14 +32,14 @@ _SIGNS = np.frombuffer(b"!#$%&*|<>{}[]()@=+_/\\~^", np.uint8)
 _SALTS = 16
 
 
-def features(data: bytes, words: np.ndarray, spans: SpanHasher) -> list[float]:
+def features(data: bytes, words: np.ndarray) -> list[float]:
     """What a text looks like: shares of kinds of characters, and of repetition."""
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     size = max(1, len(data))
     upper, lower = counts[65:91].sum(), counts[97:123].sum() + counts[128:].sum()
     number = max(1, len(words))
     _, each = np.unique(words, return_counts=True)
-    triples = spans.windows(words, 3)
+    triples = window_hashes(words, 3)
 
     def logged(share: float) -> float:
         return math.log(share + 1e-3)
@@ -71,10 +71,10 @@ def expand(raw: np.ndarray) -> np.ndarray:
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, spans = WordHasher(), SpanHasher()
+    words = WordHasher()
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        rows = [features(t.encode(), hashes, spans) for t, hashes in zip(texts, words(texts))]
+        rows = [features(t.encode(), hashes) for t, hashes in zip(texts, words(texts))]
         flat = np.array(rows, dtype=np.float64).reshape(-1)
         offsets = np.arange(0, WIDTH * len(texts) + 1, WIDTH, dtype=np.int32)
         others = [batch.column(name) for name in ("doc_id", "key", "host", "path")]

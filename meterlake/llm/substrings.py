@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.common import id_and_text, lists, stage
-from meterlake.llm.spans import SpanHasher, WordHasher
+from meterlake.llm.spans import WordHasher, window_hashes
 
 WINDOW = 50
 
@@ -29,10 +29,9 @@ class _Document:
     once in a window, no place is singled out.
     """
 
-    def __init__(self, words: np.ndarray, window: int, spans: SpanHasher) -> None:
+    def __init__(self, words: np.ndarray, window: int) -> None:
         self.words, self.window, self.size = words, window, edge_words(window)
-        self._spans = spans
-        self.edges = spans.windows(words, self.size)
+        self.edges = window_hashes(words, self.size)
         if len(words) < window:
             self.place = np.zeros(0, np.int64)
             self.tied = np.zeros(0, bool)
@@ -44,7 +43,7 @@ class _Document:
         self.tied = self.place != steps + seen.shape[1] - 1 - last
 
     def window_hashes(self) -> np.ndarray:
-        return self._spans.windows(self.words, self.window)
+        return window_hashes(self.words, self.window)
 
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
         """Hash and place of the edges that stand for windows; place -1 where tied."""
@@ -55,12 +54,12 @@ class _Document:
 
 
 def _seed_batches(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, spans = WordHasher(), SpanHasher()
+    words = WordHasher()
     for batch in batches:
         texts = batch.column("text").to_pylist()
         counts, digests, edges, places = [], [], [], []
         for text, hashes in zip(texts, words(texts)):
-            found = _Document(hashes, window, spans).seeds()
+            found = _Document(hashes, window).seeds()
             counts.append(len(hashes))
             digests.append(hashlib.sha256(b" ".join(text.encode().split())).hexdigest())
             edges.append(found[0])
@@ -80,13 +79,13 @@ def _seed_batches(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
 
 def _verify_batches(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans that whole paths settle, and hashes of the windows that need a look."""
-    words, spans = WordHasher(), SpanHasher()
+    words = WordHasher()
     for batch in batches:
         texts = batch.column("text").to_pylist()
         firsts, lasts, open_windows = [], [], []
         rows = zip(batch.column("doc_id").to_pylist(), batch.column("found"), words(texts))
         for doc_id, found, hashes in rows:
-            document = _Document(hashes, window, spans)
+            document = _Document(hashes, window)
             settled, windows = _settle(document, doc_id, found.values)
             firsts.append(settled[:, 0])
             lasts.append(settled[:, 1])
@@ -142,7 +141,7 @@ def _settle(
 
 
 def _remove_batches(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, spans = WordHasher(), SpanHasher()
+    words = WordHasher()
     for batch in batches:
         removed, digests = [], []
         columns = [batch.column(c) for c in ("firsts", "lasts", "repeated")]
@@ -152,7 +151,7 @@ def _remove_batches(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
             np.add.at(step, firsts.values.to_numpy(), 1)
             np.add.at(step, lasts.values.to_numpy(), -1)
             if repeated.is_valid and len(repeated.values):
-                every = spans.windows(hashes, window).view(np.int64)
+                every = window_hashes(hashes, window).view(np.int64)
                 at = np.flatnonzero(np.isin(every, repeated.values.to_numpy()))
                 np.add.at(step, at, 1)
                 np.add.at(step, at + window, -1)

@@ -45,17 +45,23 @@ def merging_pieces(path: str) -> tuple[Pieces, MergeReplay]:
 
 @functools.lru_cache(maxsize=1)
 def library_pieces(path: str, end_id: int) -> Pieces:
-    """Pieces encoded by the tokenizers library; every text ends with ``end_id``."""
+    """Pieces encoded by the tokenizers library; every text ends with ``end_id``.
+
+    As the library does unless told otherwise, strings of added tokens become their ids.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    added = list(tokenizer.get_added_tokens_decoder().values())
+    for token in added:
+        if token.lstrip or token.rstrip or token.single_word or " " in token.content:
+            raise ValueError(f"added token {token.content!r} takes more than its own characters")
 
     def encode(words: list[str]) -> list[Sequence[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    return Pieces(encode, _classes(), [end_id])
+    return Pieces(encode, _classes(), [end_id], [token.content for token in added])
 
 
 def default_path(name: str) -> str:

@@ -30,6 +30,13 @@ def documents(spark):
     return make
 
 
+
+
+def regular(one, other, length, between=""):
+    """A Thue-Morse sequence of two units, which collides with its complement in running sums."""
+    return between.join(other if bin(i).count("1") % 2 else one for i in range(length))
+
+
 #: Null id, null and empty texts, repeated rows, a repeated id, ties, a long text, odd characters.
 CASES = [
     (None, "without an id"),
@@ -46,4 +53,10 @@ CASES = [
     (8, "word " * 30_000),
     (9, "word " * 30_000),
     (10, "x" * 50_000),
+    (11, regular("a", "b", 1024)),
+    (12, regular("b", "a", 1024)),
+    (13, regular("a", "b", 2048, " ")),
+    (14, regular("b", "a", 2048, " ")),
+    (15, " ".join([regular("a", "b", 1024)] * 60)),
+    (16, " ".join([regular("b", "a", 1024)] * 60)),
 ]

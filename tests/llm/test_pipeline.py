@@ -21,7 +21,6 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
