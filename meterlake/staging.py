@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import uuid
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -27,7 +28,17 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if urlsplit(warehouse).scheme in ("", "file") and not _on_one_machine(spark):
+        warnings.warn(
+            f"spark.checkpoint.dir is not set; {warehouse} must be a folder that all executors share",
+            stacklevel=2,
+        )
+    return warehouse + "/_staging"
+
+
+def _on_one_machine(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "local").startswith("local")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -61,13 +72,13 @@ def remove(spark: SparkSession, path: str) -> None:
 @contextmanager
 def job_folder(spark: SparkSession) -> Iterator[str]:
     """For a job that stores its results: tables staged meanwhile are deleted at its end."""
-    folder = new_path(spark, "job")
+    folder = f"{_job_folder.get() or shared_folder(spark)}/meterlake-{uuid.uuid4().hex}"
     token = _job_folder.set(folder)
     try:
         yield folder
     finally:
         _job_folder.reset(token)
-        remove(spark, folder.removesuffix("/job"))
+        remove(spark, folder)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

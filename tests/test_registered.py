@@ -1,5 +1,10 @@
 """Every registered query against its SQL in DuckDB, on whole tables."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry_module
@@ -16,11 +21,29 @@ def test_every_query_has_sql():
 
 def test_queries_without_the_corpus_operators(monkeypatch):
     found = entry_module._found
-    assert "pipeline" in entry_module.queries() or not found("corpus_pipeline")
+    corpus = found("meterlake.llm")
+    assert ("pipeline" in entry_module.queries()) == (corpus and found("corpus_pipeline"))
     monkeypatch.setattr(entry_module, "_found", lambda name: False)
     assert entry_module.queries().keys() == QUERIES.keys() == entry_module.oracle_sql().keys()
 
 
+@pytest.mark.parametrize("gone", [["meterlake/llm"], ["meterlake/llm", "corpus_pipeline.py"]])
+def test_the_library_without_the_corpus_folders(tmp_path, gone):
+    """A copy of the tree without them still loads, with all other queries, and its tests too."""
+    root = Path(entry_module.__file__).parent
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".*", "__pycache__", "llm", *gone))
+    code = (
+        "import __spark_entry__ as e, json, sys; sys.path.insert(0, 'tests'); "
+        "import test_registered, test_jobs, test_sinks; "
+        "print(json.dumps([sorted(e.queries()), sorted(e.oracle_sql())]))"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True
+    )
+    assert done.stdout.strip() == str([sorted(QUERIES)] * 2).replace("'", '"')
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, name):
     assert mismatch(spark, SF_DIR, name) is None

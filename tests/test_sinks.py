@@ -1,3 +1,4 @@
+import warnings
 from pathlib import Path
 
 import pytest
@@ -55,6 +56,12 @@ def test_staging_is_below_the_warehouse_where_no_folder_is_set():
     class Session:
         conf = {"spark.sql.warehouse.dir": "file:/lake/warehouse/"}
 
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        assert staging.shared_folder(Session()) == "file:/lake/warehouse/_staging"
+    Session.conf = {**Session.conf, "spark.master": "yarn"}
+    with pytest.warns(UserWarning, match="all executors share"):
+        staging.shared_folder(Session())
     assert staging.shared_folder(Session()) == "file:/lake/warehouse/_staging"
     Session.conf = {**Session.conf, "spark.checkpoint.dir": "hdfs://n/shared/"}
     assert staging.shared_folder(Session()) == "hdfs://n/shared"
