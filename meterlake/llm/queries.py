@@ -10,6 +10,7 @@ from meterlake.llm.bpe import round_trip
 from meterlake.llm.common import table
 from meterlake.llm.fingerprint import compare_with_next
 from meterlake.llm.hilbert import pack_documents
+from meterlake.llm.leaks import leak_digests
 from meterlake.llm.neardup import near_duplicates
 from meterlake.llm.quality import classify
 from meterlake.llm.radix import exact_groups
@@ -61,6 +62,10 @@ def op10_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quartile_digest": op1_quartile_digest,
     "op2_dart_neardup": op2_dart_neardup,
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op8_page_wrappers": op8_page_wrappers,
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_bpe_replay": op10_bpe_replay,
+    "op11_leak_scan": op11_leak_scan,
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -140,7 +146,42 @@ _LINKED_SECRETS = f"""
            coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked
     FROM texts LEFT JOIN found USING (doc_id)"""
 
+
+def _plain_words(table: str, key: str) -> str:
+    return f"""
+        SELECT {key}, list_filter(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'),
+            '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS words
+        FROM {table}"""
+
+
+_LEAK_SCAN = f"""
+    WITH docs AS ({_plain_words("documents", "doc_id")}),
+    items AS ({_plain_words("benchmark", "item_id")}),
+    sized AS (SELECT *, least(10, len(words)) AS size FROM items WHERE len(words) > 0),
+    windows AS (
+        SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS body
+        FROM sized, unnest(range(1, len(words) - size + 2)) AS t(i)),
+    found AS (
+        SELECT doc_id, i, sizes.size, array_to_string(words[i:i + sizes.size - 1], ' ') AS body
+        FROM docs, (SELECT DISTINCT size FROM windows) AS sizes,
+             unnest(range(1, len(words) - sizes.size + 2)) AS t(i)),
+    hits AS (SELECT doc_id, i, size, item_id FROM found JOIN windows USING (size, body)),
+    places AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS place FROM hits),
+    counted AS (SELECT doc_id, count(*) AS n_hit FROM places GROUP BY doc_id),
+    named AS (
+        SELECT doc_id, count(DISTINCT item_id) AS n_items,
+               string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))
+                   AS ids
+        FROM hits GROUP BY doc_id)
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_leak_scan": _LEAK_SCAN,
     "op4_linked_secrets": _LINKED_SECRETS,
     "op7_radix_dedup": f"""
         WITH normal AS (
