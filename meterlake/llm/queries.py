@@ -11,6 +11,7 @@ from meterlake.llm.common import table
 from meterlake.llm.fingerprint import compare_with_next
 from meterlake.llm.hilbert import pack_documents
 from meterlake.llm.leaks import leak_digests
+from meterlake.llm.merkle import manifest_check
 from meterlake.llm.neardup import near_duplicates
 from meterlake.llm.quality import classify
 from meterlake.llm.radix import exact_groups
@@ -66,6 +67,10 @@ def op11_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_check(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quartile_digest": op1_quartile_digest,
     "op2_dart_neardup": op2_dart_neardup,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_bpe_replay": op10_bpe_replay,
     "op11_leak_scan": op11_leak_scan,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -180,7 +186,86 @@ _LEAK_SCAN = f"""
            coalesce(n_hit, 0) > 0 AS contaminated
     FROM docs LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
+
+def _written(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ["doc_id", "source", "lang", n_chars, "text"]
+    return f"sha256({' || '.join(_written(field) for field in fields)})"
+
+
+_CRC32 = """CAST(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(
+        range(1, strlen(CAST(doc_id AS VARCHAR)) + 1),
+        lambda i: ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS INTEGER), 1))::BIGINT)),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+        lambda c, b: xor(c >> 1, (c & 1) * 3988292384::BIGINT))) AS BIGINT)"""
+
+
+def crc32_sql(key: str) -> str:
+    """CRC-32 of a decimal id, bit by bit: DuckDB has no function for it."""
+    return f"xor({_CRC32.replace('doc_id', key)}, 4294967295::BIGINT)"
+
+
+_NEXT_LEVEL = """
+    SELECT {tree}, level + 1, list_transform(
+        range(0, (len(nodes) + 1) // 2), lambda i:
+        sha256(nodes[CAST(2 * i + 1 AS BIGINT)] || coalesce(nodes[CAST(2 * i + 2 AS BIGINT)], '')))
+    FROM {levels} WHERE len(nodes) > 1"""
+
+_MERKLE = f"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf("n_chars")} AS leaf,
+            CASE WHEN {crc32_sql("doc_id")} % 7 = 0 THEN {_leaf("(n_chars + 1)")}
+                 ELSE {_leaf("n_chars")} END AS changed
+        FROM documents),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1
+            AS place FROM leaves),
+    levels AS (
+        SELECT tree, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY tree
+        UNION ALL {_NEXT_LEVEL.format(tree="tree", levels="levels")}),
+    subroots AS (
+        SELECT tree, nodes[1] AS subroot, max(level) OVER () AS deepest, level AS height,
+               row_number() OVER (ORDER BY tree) - 1 AS place
+        FROM levels WHERE len(nodes) = 1),
+    top AS (
+        SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+        UNION ALL SELECT level, nodes FROM (
+            {_NEXT_LEVEL.format(tree="0", levels="top")}) AS t(nothing, level, nodes)),
+    steps AS (
+        SELECT tree, place, level, nodes[CAST(xor(place >> level, 1) + 1 AS BIGINT)] AS sibling,
+               (place >> level) & 1 = 1 AS on_the_right
+        FROM placed JOIN levels USING (tree) WHERE len(nodes) > 1
+        UNION ALL
+        SELECT p.tree, p.place, s.height + level,
+               nodes[CAST(xor(s.place >> level, 1) + 1 AS BIGINT)],
+               (s.place >> level) & 1 = 1
+        FROM placed p JOIN subroots s USING (tree), top WHERE len(nodes) > 1),
+    folded AS (
+        SELECT tree, place, 0 AS level, changed AS node FROM placed
+        UNION ALL
+        SELECT f.tree, f.place, f.level + 1, sha256(
+            CASE WHEN on_the_right THEN sibling || node ELSE node || coalesce(sibling, '') END)
+        FROM folded f JOIN steps s
+            ON f.tree = s.tree AND f.place = s.place AND f.level = s.level),
+    proofs AS (
+        SELECT tree, place, string_agg(sibling, '' ORDER BY level) AS proof
+        FROM steps GROUP BY tree, place)
+    SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
+           folded_root, folded_root = root AS verified
+    FROM placed p
+    JOIN (SELECT tree, subroot FROM subroots) USING (tree)
+    JOIN (SELECT tree, place, max_by(node, level) AS folded_root FROM folded
+          GROUP BY tree, place) USING (tree, place)
+    LEFT JOIN proofs USING (tree, place),
+    (SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_merkle_manifest": _MERKLE,
     "op11_leak_scan": _LEAK_SCAN,
     "op4_linked_secrets": _LINKED_SECRETS,
     "op7_radix_dedup": f"""
