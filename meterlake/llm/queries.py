@@ -18,6 +18,7 @@ from meterlake.llm.radix import exact_groups
 from meterlake.llm.secrets import find_secrets
 from meterlake.llm.sharding import shard_documents
 from meterlake.llm.substrings import remove_repeats
+from meterlake.llm.trie import shared_prefix_trie
 from meterlake.llm.wrappers import extract_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,10 @@ def op11_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_check(table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op9_hilbert_packing": op9_hilbert_packing,
     "op10_bpe_replay": op10_bpe_replay,
     "op11_leak_scan": op11_leak_scan,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -264,7 +270,49 @@ _MERKLE = f"""
     LEFT JOIN proofs USING (tree, place),
     (SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1)"""
 
+_PREFIX_TRIE = f"""
+    WITH original AS (
+        SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, digest)
+            AS turns
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                     sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '')
+                            || coalesce(text, '')) AS digest
+              FROM conversations WHERE conv_id IS NOT NULL)
+        GROUP BY conv_id),
+    shared AS (SELECT *, CAST({crc32_sql("conv_id")} % 4 AS BIGINT) AS h FROM original),
+    rebuilt AS (
+        SELECT s.conv_id, list_concat(coalesce(b.turns, [])[1:h], s.turns[h + 1:]) AS turns
+        FROM shared s LEFT JOIN original b ON b.conv_id = s.conv_id - s.conv_id % 20),
+    paths AS (
+        SELECT conv_id, depth, turns[1:depth] AS node, turns[1:depth - 1] AS above,
+               depth = len(turns) AS ends,
+               CASE WHEN depth = 0 THEN 0 ELSE len(list_filter(string_split_regex(
+                   turns[depth].text, '{_SPACES}'), lambda w: w <> '')) END AS words
+        FROM rebuilt, unnest(range(0, len(turns) + 1)) AS t(depth)),
+    nodes AS (
+        SELECT depth, node, any_value(above) AS above, min(conv_id) AS conv_id,
+               count(*) AS n_convs, any_value(words) AS words,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                   FILTER (ends), '')) AS ends_sha256
+        FROM paths GROUP BY depth, node),
+    counted AS (
+        SELECT n.*, coalesce(c.n_children, 0) AS n_children
+        FROM nodes n LEFT JOIN (
+            SELECT depth - 1 AS depth, above AS node, count(*) AS n_children FROM nodes
+            WHERE depth > 0 GROUP BY ALL) c USING (depth, node)),
+    summed AS (
+        SELECT a.depth, a.node, sum((c.n_children = 0)::INT) AS n_leaves,
+               sum((c.n_convs - 1) * c.words) AS saved_tokens
+        FROM counted c JOIN paths a ON a.conv_id = c.conv_id AND a.depth <= c.depth
+        GROUP BY a.depth, a.node)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+           CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+           n.ends_sha256
+    FROM counted n JOIN summed s USING (depth, node)
+    LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.above"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_prefix_trie": _PREFIX_TRIE,
     "op13_merkle_manifest": _MERKLE,
     "op11_leak_scan": _LEAK_SCAN,
     "op4_linked_secrets": _LINKED_SECRETS,
