@@ -273,6 +273,77 @@ _SENSOR_AVERAGES = _with(
   FROM sensor GROUP BY 1""",
 )
 
+_BOTH_SILVER = f"SELECT * FROM ({_events(_ALL_SILVER)}) UNION ALL SELECT * FROM ({_lineitems(_ALL_SILVER)})"
+
+_CELL_KEYS = ("COMP_LEVEL", "VALUEDATE", "MESS_ID")
+_CELL_POSITIVE = ("VALUE", "PVALUE")
+
+
+def _rejected(raw: str, kind: str) -> str:
+    parsed, given = _parsed(raw, kind), f"""coalesce("{raw}", '') <> ''"""
+    reasons = []
+    if kind != "string":
+        reasons.append(f"WHEN {given} AND {parsed} IS NULL THEN 'unreadable'")
+    if raw in _CELL_KEYS + _CELL_POSITIVE:
+        reasons.append(f"WHEN NOT {given} THEN 'missing'")
+    if raw in _CELL_POSITIVE:
+        reasons.append(f"WHEN NOT {parsed} > 0 THEN 'not_positive'")
+    reason = f"CASE {' '.join(reasons)} END" if reasons else "CAST(NULL AS VARCHAR)"
+    kinds = {name: kind for name, _, kind in MEASUREMENT_COLUMNS}
+    good = " AND ".join(
+        [f"{_parsed(name, kinds[name])} IS NOT NULL" for name in _CELL_KEYS]
+        + [f"coalesce({_parsed(name, kinds[name])} > 0, false)" for name in _CELL_POSITIVE]
+    )
+    return (
+        f"""SELECT modul, intervall, '{raw}' AS column_name, "{raw}" AS raw, {reason} AS reason, """
+        f"NOT ({good}) AS row_dropped, true AS has_file FROM bronze"
+    )
+
+
+_REJECTED = _with(
+    _EVENT_BRONZE,
+    select="SELECT * FROM ("
+    + " UNION ALL ".join(_rejected(raw, kind) for raw, _, kind in MEASUREMENT_COLUMNS)
+    + ") WHERE reason IS NOT NULL",
+)
+
+_SPARK_NAMES = {"int": "int", "double": "double", "string": "string", "timestamp": "timestamp_ntz"}
+_SILVER_KINDS = {
+    **{name: "string" for name in (*BRONZE_PARTITIONS, "messung_typ")},
+    **{name: _SPARK_NAMES[kind] for _, name, kind in MEASUREMENT_COLUMNS},
+    "year": "int",
+    "month": "int",
+}
+#: A column that is the same text in every row of the input is never null.
+_PROFILE = " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, CAST({position} AS INTEGER) AS position, "
+    f"'{_SILVER_KINDS[name]}' AS data_type, {name != 'version'} AS nullable, count(*) AS \"rows\", "
+    f'count(*) - count("{name}") AS null_rows FROM silver'
+    for position, name in enumerate(SILVER_NAMES)
+)
+
+
+def _kept_keys(table: str, member: str, order: str) -> str:
+    """Members of the events numbered from 0, those that only lineitem has numbered behind."""
+    return f"""
+        SELECT '{table}' AS table_name,
+          row_number() OVER (ORDER BY is_new, {order}) - 1 AS key, member
+        FROM (SELECT {order}, {member} AS member, bool_and(is_new) AS is_new
+              FROM marked GROUP BY ALL)"""
+
+
+_KEPT_KEYS = f"""
+    WITH marked AS (
+        SELECT *, false AS is_new FROM ({_events(_ALL_SILVER)})
+        UNION ALL SELECT *, true FROM ({_lineitems(_ALL_SILVER)}))
+    {_kept_keys("dim_modul", "modul", "modul")}
+    UNION ALL {_kept_keys("dim_messung", "messung_typ", "messung_typ")}
+    UNION ALL {_kept_keys(
+        "dim_zeit",
+        "strftime(valuedate, '%Y-%m-%d %H:%M:%S') || ' ' || intervall",
+        "valuedate, intervall",
+    )}"""
+
 ORACLE_SQL: dict[str, str] = {
     "silver_typed": _events(_ALL_TYPED),
     "silver_clean": _events(f"SELECT * FROM typed WHERE {_KEYS} AND {_POSITIVE}"),
@@ -283,6 +354,8 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM "
         "(SELECT count(*) AS n FROM silver GROUP BY mess_id, valuedate)"
     ),
+    "rejected_cells": _REJECTED,
+    "silver_profile": _events(_PROFILE),
     "dim_modul": _events("SELECT * FROM dim_modul", _GOLD),
     "dim_zeit": _events("SELECT * FROM dim_zeit", _GOLD),
     "dim_messung": _events("SELECT * FROM dim_messung", _GOLD),
@@ -314,6 +387,11 @@ ORACLE_SQL: dict[str, str] = {
         ),
         _GOLD,
     ),
+    "keys_after_new_members": _KEPT_KEYS,
+    "gold_incremental": f"WITH silver AS ({_BOTH_SILVER}) {_REPORT}",
+    "silver_of_members": _events(
+        f"{_ALL_SILVER} WHERE modul LIKE 'Nutzungsgrad%' AND \"year\" = 2024 AND \"month\" % 2 = 1"
+    ),
     "gold_preview_dim_modul": _events(
         'SELECT * FROM dim_modul ORDER BY "modul_Id" LIMIT 10', _GOLD
     ),
@@ -347,6 +425,32 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT CAST(CAST(valuedate AS DATE) AS TIMESTAMP) AS valuedate, messung_typ, "
         'count(*) AS "count" FROM silver GROUP BY 1, 2'
     ),
+    "explore_hour_grain": _events(
+        "SELECT date_trunc('hour', valuedate) AS valuedate, messung_typ, "
+        'count(*) AS "count", max(value) AS max_value FROM silver GROUP BY 1, 2'
+    ),
+    "explore_week_gaps": _events(
+        'SELECT s.mess_id, s.valuedate, coalesce(b."count", 0) AS "count", max_value '
+        "FROM spine s LEFT JOIN buckets b USING (mess_id, valuedate)",
+        """
+        buckets AS (
+          SELECT mess_id, CAST(date_trunc('week', valuedate) AS TIMESTAMP) AS valuedate,
+            count(*) AS "count", max(value) AS max_value
+          FROM silver GROUP BY 1, 2),
+        spine AS (
+          SELECT mess_id,
+            unnest(generate_series(min(valuedate), max(valuedate), INTERVAL 7 DAY)) AS valuedate
+          FROM buckets GROUP BY 1)""",
+    ),
+    "explore_third_page": _event_dataset(
+        'SELECT "VALUEDATE", "VALUE", count(*) AS "count" FROM dataset GROUP BY 1, 2 '
+        'ORDER BY "VALUEDATE" NULLS FIRST, "VALUE" NULLS FIRST LIMIT 500 OFFSET 1000'
+    ),
+    "explore_from_partials": _events(
+        'SELECT messung_typ, "month", count(*) AS "count", round(sum(value), 4) AS sum_value, '
+        "min(value) AS least, max(value) AS largest, round(avg(value), 4) AS avg_value "
+        "FROM silver WHERE intervall <> '15_min' GROUP BY 1, 2"
+    ),
     "sensor_bucket_avg": _SENSOR_AVERAGES,
     "sensor_buckets": _with(
         _SENSOR,

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from checks.inputs import event_measurements, event_sensor, lineitem_measurements
 from meterlake.operators import gold as star
 from meterlake.operators import quality, silver
-from meterlake.operators.explore import explore
+from meterlake.operators.explore import explore, fill_gaps
+from meterlake.operators.partials import Partials, explore_stored, partials
+from meterlake.operators.prune import readings_where
 from meterlake.operators.report import module_month_report
 from meterlake.operators.sensor import add_bucket, bucket_averages
 from meterlake.plans import jobs
+from meterlake.plans.incremental import update_gold
 from meterlake.schema import BRONZE_PARTITIONS, MEASUREMENT_NAMES, SILVER
 from meterlake.sinks import (
     append_load_record,
@@ -89,6 +92,11 @@ def lineitem_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_silver(silver.typed(lineitem_measurements(spark, sf_dir)))
 
 
+def both_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, lineitems = event_measurements(spark, sf_dir), lineitem_measurements(spark, sf_dir)
+    return silver.typed(events.unionByName(lineitems))
+
+
 def stored_gold(silver_table: DataFrame) -> dict[str, DataFrame]:
     spark = silver_table.sparkSession
     gold_dir = new_path(spark, "gold")
@@ -119,6 +127,24 @@ def duplicate_rows(spark, sf_dir):
     return silver.duplicate_rows(event_silver(spark, sf_dir))
 
 
+def rejected_cells(spark, sf_dir):
+    """Every cell that was lost and every row that was dropped, from the one reading of the files."""
+    rejected = new_path(spark, "rejects")
+    jobs.bronze_to_silver_job(
+        spark,
+        event_tree(spark, sf_dir),
+        new_path(spark, "silver"),
+        rejects_path=rejected,
+        partition_by=BRONZE_PARTITIONS,
+    )
+    cells = spark.read.parquet(rejected)
+    return cells.withColumn("has_file", F.col("file").endswith(".csv")).drop("file")
+
+
+def silver_profile(spark, sf_dir):
+    return quality.profile_table(event_silver(spark, sf_dir))
+
+
 # --- gold --------------------------------------------------------------------
 
 
@@ -181,6 +207,47 @@ def gold_verify(spark, sf_dir):
     return quality.verify_gold(stored_gold(rows), rows)
 
 
+def keys_after_new_members(spark, sf_dir):
+    """Members of a first build keep their keys when a second one brings new members."""
+    gold_dir = new_path(spark, "gold")
+    jobs.build_gold(event_table(spark, sf_dir), gold_dir)
+    jobs.build_gold(stored_silver(both_tables(spark, sf_dir)), gold_dir)
+    gold = read_gold(spark, gold_dir)
+    members = {
+        "dim_modul": ("modul_Id", F.col("modul_name")),
+        "dim_messung": ("messung_Id", F.col("messung_bezeichnung")),
+        "dim_zeit": ("zeit_Id", F.concat_ws(" ", F.col("timestamp").cast("string"), "intervall")),
+    }
+    named = [
+        gold[table].select(
+            F.lit(table).alias("table_name"), F.col(key).alias("key"), name.alias("member")
+        )
+        for table, (key, name) in members.items()
+    ]
+    return reduce(DataFrame.unionByName, named)
+
+
+def gold_incremental(spark, sf_dir):
+    """Gold of the events, then brought up to date after the rows of lineitem came to silver."""
+    path, gold_dir = new_path(spark, "silver"), new_path(spark, "gold")
+    for rows in (event_measurements(spark, sf_dir), lineitem_measurements(spark, sf_dir)):
+        write_silver(silver.typed(rows), path, mode="append", partition_by=["year", "month"])
+        update_gold(spark, path, gold_dir)
+    return module_month_report(read_gold(spark, gold_dir))
+
+
+def silver_of_members(spark, sf_dir):
+    """Readings of some modules and months, from the directories that hold them."""
+    path = new_path(spark, "silver")
+    typed = silver.typed(event_measurements(spark, sf_dir))
+    write_silver(typed, path, partition_by=["modul", "year", "month"])
+    rows = read_silver(spark, path)
+    gold = stored_gold(rows)
+    return readings_where(
+        rows, gold, modul="modul_name LIKE 'Nutzungsgrad%'", zeit="jahr = 2024 AND monat % 2 = 1"
+    )
+
+
 def gold_preview(table: str) -> Query:
     def first_rows(spark, sf_dir):
         return quality.preview(stored_gold(event_table(spark, sf_dir))[table])
@@ -254,6 +321,62 @@ def explore_day_grain(spark, sf_dir):
     )
 
 
+def explore_hour_grain(spark, sf_dir):
+    return explore(
+        event_silver(spark, sf_dir),
+        ["valuedate", "messung_typ"],
+        metrics={"count": "COUNT(*)", "max_value": F.max("value")},
+        time_column="valuedate",
+        grain="PT1H",
+    )
+
+
+def explore_week_gaps(spark, sf_dir):
+    """Readings of each meter per week, with the weeks in which it had none."""
+    weeks = explore(
+        event_silver(spark, sf_dir),
+        ["mess_id", "valuedate"],
+        metrics={"count": "COUNT(*)", "max_value": F.max("value")},
+        time_column="valuedate",
+        grain="P1W",
+    )
+    return fill_gaps(weeks, "valuedate", "P1W", within=["mess_id"], empty={"count": 0})
+
+
+def explore_third_page(spark, sf_dir):
+    """The third 500 groups, reached from page to page by the last row of the page before."""
+    columns, last = ["VALUEDATE", "VALUE"], None
+    rows = _dataset(spark, sf_dir)
+    for _ in range(3):
+        page = explore(
+            rows, columns, metrics={"count": "COUNT(*)"}, row_limit=500, after=last
+        )
+        found = page.tail(1)
+        last = [found[0][name] for name in columns] if found else last
+    return page
+
+
+def explore_from_partials(spark, sf_dir):
+    """Coarser groups from stored partial aggregates of all rows."""
+    rows, path = event_silver(spark, sf_dir), new_path(spark, "partials")
+    by, measures = ["modul", "intervall", "messung_typ", "year", "month"], ["value"]
+    write_parquet(partials(rows, by, measures), path)
+    metrics = {
+        "count": ("count", "*"),
+        "sum_value": ("sum", "value"),
+        "least": ("min", "value"),
+        "largest": ("max", "value"),
+        "avg_value": ("avg", "value"),
+    }
+    stored = Partials(spark.read.parquet(path), by, measures)
+    answer = explore_stored(
+        rows, [stored], ["messung_typ", "month"], metrics, {"intervall": F.col("intervall") != "15_min"}
+    )
+    return answer.withColumns(
+        {name: F.round(name, 4) for name in ("sum_value", "avg_value")}
+    )
+
+
 def sensor_bucket_avg(spark, sf_dir):
     return bucket_averages(event_sensor(spark, sf_dir))
 
@@ -453,6 +576,8 @@ QUERIES: dict[str, Query] = {
     "cleaning_report": cleaning_report,
     "cleaning_report_lineitem": cleaning_report_lineitem,
     "duplicate_rows": duplicate_rows,
+    "rejected_cells": rejected_cells,
+    "silver_profile": silver_profile,
     "dim_modul": dim_modul,
     "dim_zeit": dim_zeit,
     "dim_messung": dim_messung,
@@ -464,6 +589,9 @@ QUERIES: dict[str, Query] = {
     "fact_no_fanout": fact_no_fanout,
     "gold_verify": gold_verify,
     "gold_table_counts": gold_table_counts,
+    "keys_after_new_members": keys_after_new_members,
+    "gold_incremental": gold_incremental,
+    "silver_of_members": silver_of_members,
     "gold_preview_dim_modul": gold_preview("dim_modul"),
     "gold_preview_dim_zeit": gold_preview("dim_zeit"),
     "gold_preview_dim_messung": gold_preview("dim_messung"),
@@ -476,6 +604,10 @@ QUERIES: dict[str, Query] = {
     "explore_total": explore_total,
     "explore_filtered": explore_filtered,
     "explore_day_grain": explore_day_grain,
+    "explore_hour_grain": explore_hour_grain,
+    "explore_week_gaps": explore_week_gaps,
+    "explore_third_page": explore_third_page,
+    "explore_from_partials": explore_from_partials,
     "sensor_bucket_avg": sensor_bucket_avg,
     "sensor_buckets": sensor_buckets,
     "sensor_first_buckets": sensor_first_buckets,

@@ -1,35 +1,40 @@
-"""Silver rows to three dimensions and a fact table."""
+"""Silver rows to three dimensions and a fact table.
+
+Where a dimension of an earlier build is given as ``known``, its members keep their keys.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.functions import calendar_columns, measurement_unit
-from meterlake.operators.keys import dense_key
+from meterlake.operators.keys import stable_key
 from meterlake.schema import DIM_MESSUNG, DIM_MODUL, DIM_ZEIT, FACT_MEASURES
 from meterlake.staging import stage
 
 
-def dim_modul(silver: DataFrame) -> DataFrame:
+def dim_modul(silver: DataFrame, known: DataFrame | None = None) -> DataFrame:
     members = silver.select(F.col("modul").alias("modul_name")).distinct()
-    return dense_key(members, ["modul_name"], "modul_Id").select(*DIM_MODUL.names)
+    return stable_key(members, ["modul_name"], "modul_Id", known).select(*DIM_MODUL.names)
 
 
-def dim_zeit(silver: DataFrame) -> DataFrame:
+def dim_zeit(silver: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per (time stamp, interval)."""
     members = silver.select(F.col("valuedate").alias("timestamp"), "intervall").distinct()
     return (
-        dense_key(members, ["timestamp", "intervall"], "zeit_Id")
+        stable_key(members, ["timestamp", "intervall"], "zeit_Id", known)
         .withColumns(calendar_columns(F.col("timestamp")))
         .select(*DIM_ZEIT.names)
     )
 
 
-def dim_messung(silver: DataFrame) -> DataFrame:
+def dim_messung(silver: DataFrame, known: DataFrame | None = None) -> DataFrame:
     members = silver.select(F.col("messung_typ").alias("messung_bezeichnung")).distinct()
     return (
-        dense_key(members, ["messung_bezeichnung"], "messung_Id")
+        stable_key(members, ["messung_bezeichnung"], "messung_Id", known)
         .withColumn("messung_einheit", measurement_unit(F.col("messung_bezeichnung")))
         .select(*DIM_MESSUNG.names)
     )
@@ -54,10 +59,16 @@ def join_messung(rows: DataFrame, messung: DataFrame) -> DataFrame:
 
 
 def faktentabelle(
-    silver: DataFrame, modul: DataFrame, zeit: DataFrame, messung: DataFrame
+    silver: DataFrame,
+    modul: DataFrame,
+    zeit: DataFrame,
+    messung: DataFrame,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One fact row per silver row, also where a name is NULL: NULL is a member too.
 
+    ``carry`` names silver columns that stay with the fact.
+
     Spark knows the size of stored dimensions and broadcasts those below the session's
     limit; silver is then not shuffled. A larger one is joined by sort-merge, in which
     adaptive execution splits a time stamp that many rows share.
@@ -68,16 +79,20 @@ def faktentabelle(
         F.col("modul_Id").alias("FK_modul_Id"),
         F.col("messung_Id").alias("FK_messung_Id"),
         *FACT_MEASURES,
+        *carry,
     )
 
 
-def dimensions(silver: DataFrame) -> dict[str, DataFrame]:
+def dimensions(
+    silver: DataFrame, known: Mapping[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """All three, in the order ``faktentabelle`` takes them, from two scans of silver."""
+    known = known or {}
     modules = stage(silver.select("modul", "messung_typ").distinct(), "modules")
     return {
-        "dim_modul": dim_modul(modules),
-        "dim_zeit": dim_zeit(silver),
-        "dim_messung": dim_messung(modules),
+        "dim_modul": dim_modul(modules, known.get("dim_modul")),
+        "dim_zeit": dim_zeit(silver, known.get("dim_zeit")),
+        "dim_messung": dim_messung(modules, known.get("dim_messung")),
     }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,3 +35,26 @@ def dense_key(members: DataFrame, natural_key: list[str], key_name: str) -> Data
             *members.columns,
         )
     )
+
+
+def stable_key(
+    members: DataFrame, natural_key: list[str], key_name: str, known: DataFrame | None
+) -> DataFrame:
+    """``dense_key`` for members that are not ``known`` yet; all others keep the key they have.
+
+    New members are numbered behind the largest known key, in the order of ``natural_key``.
+    Known members that no longer occur stay, so rows stored earlier still join. NULL is a
+    member like any other.
+    """
+    if known is None:
+        return dense_key(members, natural_key, key_name)
+    known = known.select(key_name, *natural_key)
+    named = known.select(*[F.col(name).alias(f"_known_{name}") for name in natural_key])
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(name).eqNullSafe(F.col(f"_known_{name}")) for name in natural_key],
+    )
+    new = dense_key(members.join(named, same, "left_anti"), natural_key, key_name)
+    largest = known.agg(F.max(key_name)).first()[0]
+    first = 0 if largest is None else largest + 1
+    return known.unionByName(new.withColumn(key_name, F.col(key_name) + F.lit(first)))

@@ -10,7 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.schema import FACT_MEASURES, GOLD
-from meterlake.sources.tables import gold_path, gold_version
+from meterlake.sources.tables import (
+    gold_path,
+    gold_version,
+    read_gold_table,
+    version_sources,
+)
 from meterlake.staging import stage
 
 # Table -> (surrogate key, natural key); fact column -> (table, key).
@@ -128,6 +133,23 @@ def describe_table(df: DataFrame) -> DataFrame:
     )
 
 
+def profile_table(df: DataFrame) -> DataFrame:
+    """``describe_table`` with the rows of the table and the nulls of each column, in one pass."""
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count(name).alias(name) for name in df.columns]
+    )
+    nulls = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.col("_rows").alias("rows"),
+            (F.col("_rows") - F.col(name)).alias("null_rows"),
+        )
+        for name in df.columns
+    ]
+    per_column = counts.select(F.explode(F.array(*nulls)).alias("_of")).select("_of.*")
+    return describe_table(df).join(per_column, "column_name")
+
+
 def preview(df: DataFrame, rows: int = 10) -> DataFrame:
     """The first rows in the order of all columns, so that it can be repeated."""
     return df.orderBy(*df.columns).limit(rows)
@@ -144,9 +166,13 @@ def inspect_gold(
     """Schema and first rows of each gold table, and the names of missing ones."""
     views, missing = {}, []
     folder = gold_version(spark, gold_dir)
+    sliced = version_sources(spark, folder) is not None
     for table in GOLD:
         try:
-            df = spark.read.parquet(gold_path(folder, table))
+            if sliced and table == "faktentabelle":
+                df = read_gold_table(spark, folder, table)
+            else:
+                df = spark.read.parquet(gold_path(folder, table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

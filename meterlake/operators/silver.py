@@ -16,13 +16,17 @@ INVALID_VALUE = "invalid_value"
 CLEANING_COUNTS = ["rows_in", "null_key_rows", "invalid_value_rows", "rows_out", "nan_rows"]
 
 
-def typed(bronze: DataFrame) -> DataFrame:
-    """Rename to lower case, parse every column, add ``messung_typ``."""
-    return bronze.select(
-        *BRONZE_PARTITIONS,
+def typed_columns() -> list[Column]:
+    return [
+        *map(F.col, BRONZE_PARTITIONS),
         *[parse_as(F.col(raw), kind).alias(name) for raw, name, kind in MEASUREMENT_COLUMNS],
         measurement_type(F.col("modul")).alias("messung_typ"),
-    )
+    ]
+
+
+def typed(bronze: DataFrame) -> DataFrame:
+    """Rename to lower case, parse every column, add ``messung_typ``."""
+    return bronze.select(*typed_columns())
 
 
 def typed_raw(raw: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.operators import gold as star
-from meterlake.operators.quality import verify_gold
+from meterlake.operators.quality import DIMENSION_KEYS, verify_gold
+from meterlake.operators.quarantine import typed_with_faults
 from meterlake.operators.sensor import bucket_averages
 from meterlake.operators.silver import typed, typed_raw
 from meterlake.paths import refuse_overlap
@@ -14,32 +15,64 @@ from meterlake.sinks.files import write_csv, write_parquet, write_silver
 from meterlake.sinks.gold import new_version, publish
 from meterlake.sinks.load_record import append_load_record
 from meterlake.sources.files import read_bronze, read_header_csv, read_measurement_file
-from meterlake.sources.tables import gold_path, read_gold, read_gold_table, read_silver
+from meterlake.sources.tables import (
+    gold_path,
+    published_version,
+    read_gold,
+    read_gold_table,
+    read_silver,
+)
 from meterlake.staging import job_folder, remove
 
 
 def bronze_to_silver_job(
-    spark: SparkSession, bronze_root: str, silver_path: str, **write_options
+    spark: SparkSession,
+    bronze_root: str,
+    silver_path: str,
+    *,
+    rejects_path: str | None = None,
+    **write_options,
 ) -> dict[str, int]:
-    """Returns the cleaning counts of the run."""
-    refuse_overlap(bronze_root, silver_path)
-    return write_silver(typed(read_bronze(spark, bronze_root)), silver_path, **write_options)
+    """Returns the cleaning counts of the run.
 
+    With ``rejects_path``, cells that were lost and rows that were dropped are stored there,
+    from the same reading of the files.
+    """
+    refuse_overlap(bronze_root, silver_path, *([rejects_path] if rejects_path else []))
+    if rejects_path is None:
+        return write_silver(typed(read_bronze(spark, bronze_root)), silver_path, **write_options)
+    rows = typed_with_faults(read_bronze(spark, bronze_root, with_file=True))
+    return write_silver(rows, silver_path, rejects_path=rejects_path, **write_options)
 
-def build_gold(silver: DataFrame, gold_dir: str, *, verify: bool = True) -> dict[str, int]:
+
+def known_dimensions(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]:
+    """The dimensions of the published version, whose members keep their keys."""
+    version = published_version(spark, gold_dir)
+    if version is None:
+        return {}
+    return {table: read_gold_table(spark, version, table) for table in DIMENSION_KEYS}
+
+
+def build_gold(
+    silver: DataFrame, gold_dir: str, *, verify: bool = True, keep_keys: bool = True
+) -> dict[str, int]:
     """Write all four tables as a new version, verify them, then publish the version.
 
     The fact joins the stored dimensions. Until the end readers see the version before, and
     they go on doing so if anything fails; the new one is deleted then. Returns the rows
     written per table.
+
+    Members of the version before keep their keys, also those that silver has no more, so
+    facts copied earlier still join; ``keep_keys=False`` numbers all members anew.
     """
     spark = silver.sparkSession
     version = new_version(gold_dir)
     try:
         with job_folder(spark):
+            known = known_dimensions(spark, gold_dir) if keep_keys else {}
             rows = {
                 table: write_parquet(dimension, gold_path(version, table))
-                for table, dimension in star.dimensions(silver).items()
+                for table, dimension in star.dimensions(silver, known).items()
             }
             stored = [read_gold_table(spark, version, table) for table in rows]
             fact = star.faktentabelle(silver, *stored)

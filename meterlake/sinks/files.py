@@ -1,10 +1,4 @@
-"""File sinks.
-
-Before a partitioned write the rows are rebalanced on the partition columns:
-small partitions end up in one file, and adaptive execution splits a partition
-value that holds a large share of all rows over many tasks. Only adaptive
-execution knows the sizes for that; without it, write with ``rebalance=False``.
-"""
+"""File sinks."""
 
 from __future__ import annotations
 
@@ -13,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from meterlake.operators.quarantine import FAULTS, rejects
 from meterlake.operators.silver import (
     CLEANING_COUNTS,
     KEPT,
@@ -21,13 +16,16 @@ from meterlake.operators.silver import (
     row_status,
 )
 from meterlake.schema import SILVER, SILVER_PARTITIONS
+from meterlake.sinks.balance import spread, stored_bytes
 from meterlake.sources.configured import check_config, check_options
+from meterlake.staging import job_folder, new_path
 
 
 def together(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Bring rows of one partition value together, but not all into one task.
 
-    ``partitions`` replaces the session's number of shuffle partitions.
+    For few directories: adaptive execution merges small values and splits large ones, by
+    their bytes. ``partitions`` replaces the session's number of shuffle partitions.
     """
     number = [] if partitions is None else [partitions]
     return df.hint("rebalance", *number, *columns)
@@ -43,16 +41,18 @@ def write_silver(
     partitions: int | None = None,
     max_records_per_file: int = 0,
     partition_by: Sequence[str] = SILVER_PARTITIONS,
+    rejects_path: str | None = None,
 ) -> dict[str, int]:
     """Clean ``typed`` rows and write them; returns the cleaning counts.
 
-    One pass over the input: the counts are observed in the writing stage, after
-    the shuffle, where Spark counts each partition once even if a lost executor
-    makes it repeat tasks. The few rejected rows travel that far for this.
+    The input is read and parsed once: typed rows are stored first, in as many tasks as they
+    come in, and the counts are observed there, where Spark counts each task once even if a
+    lost executor makes it repeat some. How many rows each directory has is then counted on
+    the stored rows, and tells how many tasks write which directories (see ``spread``).
 
-    ``rebalance=False`` writes without a shuffle. It suits input whose files hold one
-    meter each: a silver partition then comes from one file anyway. With many meters
-    per file it would leave one small file per meter, month and task.
+    ``rebalance=False`` writes at once, without storing or a shuffle. It suits input whose
+    files hold one meter each: a silver partition then comes from one file anyway. With many
+    meters per file it would leave one small file per meter, month and task.
 
     ``partition_by`` names the directory columns. All five give a directory for each meter
     and month; with many meters of few readings, fewer columns keep files large and the
@@ -60,21 +60,37 @@ def write_silver(
 
     ``partition_overwrite="static"`` replaces the whole table, ``"dynamic"`` only
     the partitions that occur in ``typed``.
+
+    ``rejects_path`` takes the rejected cells of rows that name them (``typed_with_faults``);
+    they are stored with the typed rows and told apart there.
     """
-    rows = add_partition_columns(typed.withColumn("_status", row_status()))
-    if rebalance:
-        rows = together(rows, partition_by, partitions)
+    spark = typed.sparkSession
     observation = Observation("cleaning")
-    (
-        rows.observe(observation, *cleaning_counts(F.col("_status")))
-        .filter(F.col("_status") == KEPT)
-        .select(*SILVER.names)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", partition_overwrite)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*partition_by)
-        .parquet(path)
+    observed = add_partition_columns(typed.withColumn("_status", row_status())).observe(
+        observation, *cleaning_counts(F.col("_status"))
     )
+    kept = F.col("_status") == KEPT
+    with job_folder(spark):
+        if rejects_path or rebalance:
+            wanted = kept | (F.size(FAULTS) > 0) if rejects_path else kept
+            folder = new_path(spark, "typed")
+            observed.filter(wanted).write.parquet(folder)
+            stored = spark.read.schema(observed.schema).parquet(folder)
+            if rejects_path:
+                rejects(stored).write.mode(mode).parquet(rejects_path)
+            rows = stored.filter(kept).select(*SILVER.names)
+            if rebalance:
+                size = stored_bytes(spark, folder)
+                rows = spread(rows, partition_by, size, partitions=partitions)
+        else:
+            rows = observed.filter(kept).select(*SILVER.names)
+        (
+            rows.write.mode(mode)
+            .option("partitionOverwriteMode", partition_overwrite)
+            .option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
     return {name: observation.get[name] for name in CLEANING_COUNTS}
 
 

@@ -6,7 +6,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from meterlake.sources.tables import CURRENT, gold_version
+from meterlake.sources.tables import (
+    CURRENT,
+    FACTS,
+    HOME,
+    pointers,
+    published_version,
+    slice_homes,
+    version_sources,
+)
 from meterlake.staging import remove
 
 _VERSION = "version-"
@@ -19,17 +27,44 @@ def new_version(gold_dir: str) -> str:
 def publish(spark: SparkSession, gold_dir: str, version: str) -> None:
     """Point readers to ``version``; versions but this and the one before are deleted.
 
-    The pointer is one small file put in place as a whole.
+    Every version has a pointer of its own, with the next number. It is written under another
+    name and put in place by renaming, so readers see the one before or a whole new one, on
+    every file system; if another build has taken the number, this one fails.
     """
     root = gold_dir.rstrip("/")
-    before = gold_version(spark, root)
+    before, old = published_version(spark, root), pointers(spark, root)
+    number = int(old[-1].removeprefix(CURRENT)) + 1 if old else 1
     path = spark._jvm.org.apache.hadoop.fs.Path
-    pointer = path(f"{root}/{CURRENT}")
+    pointer = path(f"{root}/{CURRENT}{number:012}")
     files = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
-    written = files.create(pointer, True)
+    beside = path(f"{root}/_pointer-{uuid.uuid4().hex}")
+    written = files.create(beside, False)
     written.write(bytearray(version.removeprefix(f"{root}/").encode()))
     written.close()
-    for status in files.listStatus(path(root)):
-        name = status.getPath().getName()
-        if name.startswith(_VERSION) and f"{root}/{name}" not in (version, before):
+    if files.exists(pointer) or not files.rename(beside, pointer):
+        files.delete(beside, False)
+        raise RuntimeError(f"{root}: another build was published meanwhile")
+    for name in old[:-1]:
+        files.delete(path(f"{root}/{name}"), False)
+    _remove_unused(spark, files, root, [version, *([before] if before else [])])
+
+
+def _names(spark: SparkSession, files, folder: str, prefix: str) -> list[str]:
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not files.exists(target):
+        return []
+    found = [status.getPath().getName() for status in files.listStatus(target)]
+    return [name for name in found if name.startswith(prefix)]
+
+
+def _remove_unused(spark: SparkSession, files, root: str, kept: list[str]) -> None:
+    for name in _names(spark, files, root, _VERSION):
+        if f"{root}/{name}" not in kept:
             remove(spark, f"{root}/{name}")
+    facts = _names(spark, files, f"{root}/{FACTS}", f"{HOME}=")
+    if facts:
+        sources = [version_sources(spark, version) for version in kept]
+        homes = {home for table in sources if table is not None for home, _ in slice_homes(table)}
+        for name in facts:
+            if name.removeprefix(f"{HOME}=") not in homes:
+                remove(spark, f"{root}/{FACTS}/{name}")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterlake.schema import GOLD, SILVER
 
@@ -16,33 +18,80 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SILVER).parquet(path).select(*SILVER.names)
 
 
-#: Names the version of the gold tables that readers see.
-CURRENT = "CURRENT"
+#: Files whose name starts so name a version of the gold tables; readers follow the last one.
+CURRENT = "CURRENT-"
+#: In a version: the silver files that it was built from, and where the facts of each lie.
+SOURCES = "_sources"
+#: Facts of versions that are brought up to date slice by slice, in one folder for all versions.
+FACTS = "facts"
+#: What a fact of such a version is stored under: the build that wrote it, and its slice.
+HOME, SLICE = "home", "slice"
+
+_SLICED_FACT = T.StructType(
+    [
+        *GOLD["faktentabelle"].fields,
+        T.StructField(HOME, T.StringType()),
+        T.StructField(SLICE, T.StringType()),
+    ]
+)
+
+
+def pointers(spark: SparkSession, gold_dir: str) -> list[str]:
+    """Names of the files that point to versions, the one that counts last."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{gold_dir.rstrip('/')}/{CURRENT}*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(status.getPath().getName() for status in files.globStatus(pattern) or [])
+
+
+def published_version(spark: SparkSession, gold_dir: str) -> str | None:
+    root = gold_dir.rstrip("/")
+    found = pointers(spark, root)
+    return f"{root}/{spark.read.text(f'{root}/{found[-1]}').first()[0]}" if found else None
 
 
 def gold_version(spark: SparkSession, gold_dir: str) -> str:
     """The folder of the published tables: a version, or the gold folder of a plain copy."""
-    root = gold_dir.rstrip("/")
-    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{CURRENT}")
-    files = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(pointer):
-        return root
-    return f"{root}/{spark.read.text(f'{root}/{CURRENT}').first()[0]}"
+    return published_version(spark, gold_dir) or gold_dir.rstrip("/")
 
 
 def gold_path(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{table}"
 
 
+def version_sources(spark: SparkSession, version: str) -> DataFrame | None:
+    """The silver files of a version that is brought up to date slice by slice."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{version}/{SOURCES}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.parquet(f"{version}/{SOURCES}")
+
+
+def slice_homes(sources: DataFrame) -> list[tuple[str, str]]:
+    """The build that wrote each slice; as many as there are slices."""
+    return sorted(tuple(row) for row in sources.select(HOME, SLICE).distinct().collect())
+
+
+def _sliced_facts(spark: SparkSession, version: str, sources: DataFrame) -> DataFrame:
+    facts = f"{version.rsplit('/', 1)[0]}/{FACTS}"
+    wanted = [f"{home}/{slice_}" for home, slice_ in slice_homes(sources)]
+    if not wanted:
+        return spark.createDataFrame([], GOLD["faktentabelle"])
+    stored = spark.read.schema(_SLICED_FACT).parquet(facts)
+    # on directory columns alone: other slices are not listed as input
+    ours = F.concat_ws("/", HOME, SLICE).isin(wanted)
+    return stored.filter(ours).select(*GOLD["faktentabelle"].names)
+
+
 def read_gold_table(spark: SparkSession, gold_dir: str, table: str) -> DataFrame:
     folder = gold_version(spark, gold_dir)
+    if table == "faktentabelle":
+        sources = version_sources(spark, folder)
+        if sources is not None:
+            return _sliced_facts(spark, folder, sources)
     return spark.read.schema(GOLD[table]).parquet(gold_path(folder, table))
 
 
 def read_gold(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]:
     """All four tables, of one version."""
     folder = gold_version(spark, gold_dir)
-    return {
-        table: spark.read.schema(schema).parquet(gold_path(folder, table))
-        for table, schema in GOLD.items()
-    }
+    return {table: read_gold_table(spark, folder, table) for table in GOLD}

@@ -1,10 +1,12 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
-from meterlake.operators.explore import explore
+from meterlake.operators.explore import TIME_GRAINS, explore, fill_gaps
+from meterlake.operators.partials import Partials, direct, explore_stored, partials
+from meterlake.operators.prune import readings_where
 from meterlake.operators.sensor import bucket_averages
 
 
@@ -94,3 +96,128 @@ def test_bucket_averages(spark):
     assert rows_of(bucket_averages(sensor, width=120, values=["humidity"])) == [
         (1, 2.34), (None, 7.0)
     ]
+
+
+# 27 March 2022, 02:47:59, a Sunday, at the start of each grain.
+GRAIN_STARTS = {
+    "PT1M": (3, 27, 2, 47), "PT5M": (3, 27, 2, 45), "PT15M": (3, 27, 2, 45),
+    "PT30M": (3, 27, 2, 30), "PT1H": (3, 27, 2, 0), "P1D": (3, 27, 0, 0),
+    "P1W": (3, 21, 0, 0), "P1M": (3, 1, 0, 0), "P3M": (1, 1, 0, 0), "P1Y": (1, 1, 0, 0),
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_every_grain_starts_where_the_calendar_says(spark, settings, zone):
+    """02:47 does not exist in Berlin on that day; the wall clock is taken as written."""
+    with settings({"spark.sql.session.timeZone": zone}):
+        df = spark.createDataFrame([(datetime(2022, 3, 27, 2, 47, 59),)], "at timestamp_ntz")
+        starts = {
+            grain: explore(df, ["at"], time_column="at", grain=grain).first().at
+            for grain in TIME_GRAINS
+        }
+    assert starts == {grain: datetime(2022, *start) for grain, start in GRAIN_STARTS.items()}
+
+
+def test_gaps_are_filled_within_each_group(spark):
+    rows = [
+        ("a", datetime(2022, 1, 31), 2), ("a", datetime(2022, 4, 1), 1),
+        ("b", datetime(2022, 1, 5), 4), (None, datetime(2022, 1, 1), 1),
+        (None, datetime(2022, 2, 2), 1), ("c", None, 9),
+    ]
+    df = spark.createDataFrame(rows, "name string, at timestamp_ntz, value int")
+    months = explore(
+        df, ["name", "at"], metrics={"n": "COUNT(*)", "most": F.max("value")},
+        time_column="at", grain="P1M",
+    )
+    filled = fill_gaps(months, "at", "P1M", within=["name"], empty={"n": 0})
+    assert filled.columns == months.columns
+    month = [datetime(2022, m, 1) for m in range(1, 5)]
+    assert rows_of(filled) == sorted(
+        [("a", month[0], 1, 2), ("a", month[1], 0, None), ("a", month[2], 0, None),
+         ("a", month[3], 1, 1), ("b", month[0], 1, 4), (None, month[0], 1, 1),
+         (None, month[1], 1, 1), ("c", None, 1, 9)], key=repr)
+    whole = fill_gaps(months.groupBy("at").agg(F.sum("n").alias("n")), "at", "P1M")
+    assert [r.n for r in whole.filter("at is not null").orderBy("at").collect()] == [3, 1, None, 1]
+    assert rows_of(fill_gaps(months.limit(0), "at", "P1M", within=["name"])) == []
+
+
+@pytest.mark.parametrize("metric", [None, "n"])
+def test_pages_in_turn_are_all_groups_once(spark, metric):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 9).alias("a"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") % 11).cast("double")).alias("b"),
+    )
+    whole = [
+        tuple(row)
+        for row in explore(df, ["a", "b"], metrics={"n": "COUNT(*)"}, order_by_metric=metric).collect()
+    ]
+    pages, after = [], None
+    while True:
+        page = explore(
+            df, ["a", "b"], metrics={"n": "COUNT(*)"}, order_by_metric=metric, row_limit=17,
+            after=after,
+        ).collect()
+        if not page:
+            break
+        pages += map(tuple, page)
+        after = [page[-1].n] * bool(metric) + [page[-1].a, page[-1].b]
+    assert pages == whole
+    later = explore(df, ["a", "b"], metrics={"n": "COUNT(*)"}, row_limit=17, after=[3, None])
+    plan = plan_of(later)
+    assert "TakeOrdered" in plan and plan.index("Aggregate") < plan.rindex("Filter")
+
+
+def test_coarser_groups_come_from_stored_partials(spark, tmp_path):
+    rows = spark.range(2000).select(
+        F.when(F.col("id") % 13 > 0, F.col("id") % 5).alias("a"),
+        (F.col("id") % 3).alias("b"),
+        (F.col("id") % 101).alias("c"),
+        F.when(F.col("id") % 7 > 0, F.col("id") / 4).alias("v"),
+    )
+    path = str(tmp_path / "partials")
+    partials(rows, ["a", "b"], ["v"]).write.parquet(path)
+    stored = Partials(spark.read.parquet(path), ["a", "b"], ["v"])
+    metrics = {"n": ("count", "*"), "m": ("count", "v"), "s": ("sum", "v"), "lo": ("min", "v"),
+               "hi": ("max", "v"), "mean": ("avg", "v")}
+    for groups in (["a"], ["b"], ["a", "b"], []):
+        answer = explore_stored(rows, [stored], groups, metrics, {"b": F.col("b") > 0})
+        assert rows_of(answer) == rows_of(direct(rows.filter("b > 0"), groups, metrics))
+        assert "Range" not in plan_of(answer)
+    other = explore_stored(rows, [stored], ["c"], metrics)
+    assert "Range" in plan_of(other) and other.count() == 101
+    with pytest.raises(ValueError, match="not in partials"):
+        stored.explore(["a"], {"n": ("sum", "c")})
+    empty = stored.explore([], metrics, {"a": F.col("a") > 99})
+    assert rows_of(empty) == rows_of(direct(rows.filter("a > 99"), [], metrics))
+
+
+def test_members_leave_out_directories(spark, tmp_path):
+    """Files of other modules and months cannot be read, and are not."""
+    path = tmp_path / "silver"
+    silver = spark.range(60).select(
+        F.concat(F.lit("m"), (F.col("id") % 4).cast("string")).alias("modul"),
+        F.lit("15_min").alias("intervall"),
+        F.expr("timestamp_ntz '2022-01-01 00:00:00' + make_interval(0, 0, 0, int(id))").alias(
+            "valuedate"
+        ),
+        F.col("id").alias("value"),
+    ).withColumns({"year": F.year("valuedate"), "month": F.month("valuedate")})
+    silver.write.partitionBy("modul", "year", "month").parquet(str(path))
+    times = silver.select("valuedate", "intervall").distinct()
+    gold = {
+        "dim_modul": silver.select(F.col("modul").alias("modul_name")).distinct(),
+        "dim_zeit": times.select(
+            F.col("valuedate").alias("timestamp"), "intervall",
+            F.year("valuedate").alias("jahr"), F.month("valuedate").alias("monat"),
+        ),
+    }
+    for name, table in gold.items():
+        table.write.parquet(str(tmp_path / name))
+        gold[name] = spark.read.parquet(str(tmp_path / name))
+    stored = spark.read.parquet(str(path))
+    picked = readings_where(stored, gold, modul="modul_name = 'm1'", zeit="monat = 2")
+    assert "dynamicpruning" in plan_of(picked)
+    for file in path.rglob("*.parquet"):
+        if "modul=m1/year=2022/month=2" not in str(file):
+            file.write_bytes(b"cannot be read")
+    assert rows_of(picked, "value") == [(i,) for i in range(33, 59, 4)]

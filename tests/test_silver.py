@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.operators import silver
 from meterlake.schema import SILVER
-from meterlake.sinks import write_silver
+from meterlake.sinks import balance, files, write_silver
 from meterlake.sources import read_bronze, read_silver
 
 COUNTS = {
@@ -114,6 +114,44 @@ def test_hot_partition_is_written_by_several_tasks(spark, settings, tmp_path):
             assert len(list(Path(path / "modul=Cold_M").rglob("*.parquet"))) == 1
 
 
+def test_tasks_follow_the_directories(spark, monkeypatch, tmp_path):
+    """Few bytes in many directories are written by many tasks, each directory by one."""
+    root = tmp_path / "bronze"
+    rows = [measurement(MESS_ID=str(meter)) for meter in range(1, 241) for _ in range(2)]
+    write_measurements(root, "M", "15_min", rows)
+    tasks = []
+
+    def recorded(*args, **options):
+        dealt = balance.spread(*args, **options)
+        tasks.append(dealt.rdd.getNumPartitions())
+        return dealt
+
+    monkeypatch.setattr(files, "spread", recorded)
+    monkeypatch.setattr(balance, "DIRECTORIES_PER_TASK", 20)
+    path = tmp_path / "silver"
+    write_silver(silver.typed(read_bronze(spark, str(root))), str(path), partition_by=["mess_id"])
+    assert tasks == [12]
+    written = [len(list(folder.glob("*.parquet"))) for folder in path.glob("mess_id=*")]
+    assert written == [1] * 240
+    assert len({file.name.split("-")[1] for file in path.rglob("*.parquet")}) > 8
+
+
+def test_equal_rows_of_a_hot_directory_part(spark, tmp_path):
+    """A directory is cut by the place of rows, so even copies of one row go to several tasks."""
+    rows = spark.range(4000).select(
+        F.when(F.col("id") < 3000, None).otherwise(F.col("id") % 50).alias("name"),
+        F.lit(1.5).alias("value"),
+    )
+    folder = str(tmp_path / "stored")
+    rows.write.parquet(folder)
+    dealt = balance.spread(spark.read.parquet(folder), ["name"], balance.advisory_bytes(spark) * 8)
+    per_task = dealt.withColumn("task", F.spark_partition_id()).groupBy("name", "task").count()
+    hot = [row["count"] for row in per_task.collect() if row["name"] is None]
+    assert sum(hot) == 3000 and len(hot) > 2 and max(hot) < 2000
+    assert per_task.filter("name is not null").count() == 50
+    assert dealt.groupBy().sum("value").first()[0] == 6000
+
+
 def test_only_needed_columns_and_directories_are_read(spark, bronze_root, tmp_path):
     bronze = silver.bronze_to_silver(read_bronze(spark, bronze_root))
     plan = plan_of(bronze.filter("modul = '007'").select("value"))
