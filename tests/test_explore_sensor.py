@@ -74,7 +74,7 @@ def test_wrong_requests(readings):
     with pytest.raises(ValueError):
         explore(readings)
     with pytest.raises(ValueError, match="grain"):
-        explore(readings, ["at"], time_column="at", grain="PT5M")
+        explore(readings, ["at"], time_column="at", grain="PT7M")
     with pytest.raises(ValueError, match="time_column"):
         explore(readings, ["name"], time_column="at", grain="P1D")
 
