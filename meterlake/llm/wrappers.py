@@ -40,7 +40,7 @@ _UNSEEN_TAG = re.compile(
 #: A slash before the end of a tag, other than that of an address without quotes.
 _EMPTY_TAG = re.compile(r"(?<!=)(?:\s|[\"']|<[a-z]+|\s[^\s=\"'>]+)/>\Z", re.I)
 _TAG = re.compile(r"<(/?)([a-z][a-z0-9:-]*)", re.I)
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+_NAMED = re.compile(r"""(?<![\w-])(?:class|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 #: Elements that end a block of text; others stand within it.
@@ -51,6 +51,8 @@ BLOCKS = frozenset(
 )
 #: Elements without an end.
 _EMPTY = frozenset("hr option".split())
+#: Elements within a block that have no end.
+_VOID = frozenset("img input br wbr area base col embed link meta param source track".split())
 #: A new one ends an open one of its kind, up to the nearest of the elements that hold it.
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -74,6 +76,8 @@ _PARTS_OF_TEXT = frozenset(
     "tfoot tr td th".split()
 )
 _ARTICLE_NAMES = frozenset("article entry post story content".split())
+#: Classes of articles that are not that of the page.
+_OTHER_ARTICLES = frozenset("comment comments reply related teaser promo advert ad".split())
 
 #: The labels of an element and those around it, the outermost first.
 Path = tuple[str, ...]
@@ -227,8 +231,12 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 def _label(name: str, tag: str) -> str:
     if "=" not in tag:
         return name
-    names = " ".join("".join(found) for found in _NAMED.findall(tag)).lower().split()
-    return ".".join([name, *sorted(set(names))])
+    return ".".join([name, *sorted(set(_names(tag)))])
+
+
+def _names(tag: str) -> list[str]:
+    """Classes and roles of an element. Its id says which one it is, not of what kind."""
+    return " ".join("".join(found) for found in _NAMED.findall(tag)).lower().split()
 
 
 class Page:
@@ -241,9 +249,18 @@ class Page:
         self._paths: list[Path] = [()]
         self._places: dict[str, list[int]] = {}
         self._text: list[str] = []
+        #: Open elements of the name of an advert or button that stands within a block.
+        aside, depth = "", 0
         for kind, name, rest in tokens(page):
+            if name in BLOCKS:
+                aside, depth = "", 0  # at the latest where the block ends
+            elif depth and name == aside:
+                depth += 1 if kind == "open" else -1
+            elif not depth and kind == "open" and _aside(name, rest):
+                aside, depth = name, 1
             if kind == "text":
-                self._text.append(rest)
+                if not depth:
+                    self._text.append(rest)
             elif name == "br":
                 self._text.append(" ")
             elif name in BLOCKS:
@@ -303,13 +320,22 @@ class Page:
         return root
 
 
+def _aside(name: str, tag: str) -> bool:
+    """Whether an element within a block is a button, an advert or the like."""
+    if name in _VOID or tag.endswith("/>"):
+        return False
+    return name in AROUND or "=" in tag and any(found in AROUND_NAMES for found in _names(tag))
+
+
 def surrounds(label: str) -> bool:
     """Whether an element is a menu, notice, advert or the like.
 
-    Elements that hold whole pages or articles are not, whatever they are called, nor is the
-    header of an article.
+    Elements that hold whole pages are not, whatever they are called, nor is the header of an
+    article. An article is one of the readers' or of another page if its class says just that.
     """
     name, *names = label.split(".")
+    if name == "article":
+        return any(found in _OTHER_ARTICLES for found in names)
     if name in _WHOLE:
         return False
     return name in AROUND or any(map(_names_surroundings, names))
@@ -414,23 +440,28 @@ def _shared(one: Path, other: Path) -> Path:
 def regions(wrapper: Node) -> list[tuple[list[Path], list[Path]]]:
     """Paths of the elements that hold the main text, and of parts of them that do not.
 
-    Articles; for pages without, main elements; for pages without either, the lowest element
-    that holds all text that differs from page to page.
+    Articles; for pages without, main elements; then either of them within what would
+    surround an article; for pages without any, the lowest element that holds all text that
+    differs from page to page.
     """
-    found: dict[str, list[Path]] = {"article": [], "main": []}
+    found: dict[tuple[str, bool], list[Path]] = {
+        (name, around): [] for around in (False, True) for name in ("article", "main")
+    }
 
-    def visit(node: Node, path: Path) -> None:
+    def visit(node: Node, path: Path, around: bool) -> None:
         for child in node.children:
             name, where = child.label.split(".")[0], (*path, child.label)
             inside = any(label.split(".")[0] in _INSIDE for label in path)
+            within = around
             if surrounds(child.label) and not (name == "header" and inside):
                 if not _holds_article(child):
                     continue
-            if name in _INSIDE:
-                found[name].append(where)
-            visit(child, where)
+                within = True
+            if name in _INSIDE and not (name == "article" and surrounds(child.label)):
+                found[name, within].append(where)
+            visit(child, where, within)
 
-    visit(wrapper, ())
+    visit(wrapper, (), False)
     ranks = [(list(dict.fromkeys(paths)), []) for paths in found.values()]
     return [rank for rank in (*ranks, varying(wrapper)) if rank[0]]
 

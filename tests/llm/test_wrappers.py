@@ -7,7 +7,15 @@ import re
 
 import pytest
 
-from meterlake.llm.wrappers import Page, align, extract_text, region, tokens
+from meterlake.llm.wrappers import (
+    Page,
+    align,
+    extract_text,
+    main_text,
+    region,
+    regions,
+    tokens,
+)
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -212,3 +220,36 @@ def test_token_stream():
         ("text", ""), ("open", "b"), ("text", ""), ("close", "b"), ("open", "br"), ("text", ""),
         ("text", ""),
     ]
+
+
+def own_text(html):
+    page = Page(html)
+    return main_text(page, regions(page.wrapper()))
+
+
+def test_ids_do_not_decide():
+    parts = (
+        '<h2 id="social-impact">Impact</h2><section id="related-work"><p>Work</p></section>'
+        '<p id="reply">Reply</p><p data-class="ad">Data</p>'
+    )
+    html = f"<html><body><article id='post-7'>{parts}</article></body></html>"
+    assert own_text(html) == "Impact\n\nWork\n\nReply\n\nData"
+
+
+def test_other_articles_and_what_stands_within_a_block():
+    html = """<html><body><article class="post comment-open"><h1>Title</h1>
+        <p>One <button>Copy</button>two <span class="advert">Buy <span>now</span></span>three
+        <img class="ad"> four <span class="ad"/>five</p><p><a class="share">Tell <b>all</a>
+        <p>six</p><article class="comment"><p>First!</p></article></article>
+        <div class="related"><article><h2>Teaser</h2><p>other story</p></article></div>
+        <article class="teaser"><p>more</p></article></body></html>"""
+    assert own_text(html) == "Title\n\nOne two three four five\n\nsix"
+    only = '<body><div class="related"><article><p>the only one</p></article></div></body>'
+    assert own_text(only) == "the only one"
+
+
+def test_labels_do_not_grow_with_the_pages_of_a_host():
+    wrapper = Page("<article id='post-0'><p>0</p></article>").wrapper()
+    for i in range(1, 300):
+        wrapper = align(wrapper, Page(f"<article id='post-{i}'><p>{i}</p></article>").wrapper())
+    assert len(str(wrapper.dump())) < 300 and len(regions(wrapper)[0][0]) == 1
