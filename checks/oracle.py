@@ -473,6 +473,12 @@ ORACLE_SQL: dict[str, str] = {
     "parquet_flat_roundtrip": _events("SELECT * FROM dim_zeit", _GOLD),
     "parquet_readback_count": _events('SELECT count(*) AS "rows" FROM typed'),
     "parquet_compact": _events('SELECT count(*) AS "rows", true AS few_files FROM typed'),
+    "silver_packed": _events(_ALL_SILVER),
+    "silver_packed_files": _lineitems(
+        'SELECT modul, intervall, count(*) AS "rows", '
+        "count(DISTINCT least((day(valuedate) - 1) // 10, 2)) AS units_before, "
+        "CAST(1 AS BIGINT) AS units_after FROM silver GROUP BY 1, 2"
+    ),
     "csv_roundtrip": _with(_SENSOR, select="SELECT * FROM sensor"),
     "file_inventory": _events(
         "SELECT modul, intervall, 'csv' AS file_type, "

@@ -17,6 +17,12 @@ from meterlake.operators.prune import readings_where
 from meterlake.operators.report import module_month_report
 from meterlake.operators.sensor import add_bucket, bucket_averages
 from meterlake.plans import jobs
+from meterlake.plans.compaction import (
+    add_silver,
+    compact_silver,
+    read_silver_version,
+    silver_units,
+)
 from meterlake.plans.incremental import update_gold
 from meterlake.schema import BRONZE_PARTITIONS, MEASUREMENT_NAMES, SILVER
 from meterlake.sinks import (
@@ -481,6 +487,42 @@ def parquet_compact(spark, sf_dir):
     )
 
 
+def _thirds(measurements: DataFrame) -> list[DataFrame]:
+    """All rows, as batches by the first, second and last third of a month."""
+    third = F.substring("VALUEDATE", 1, 2)
+    numbered = measurements.withColumn(
+        "_third", F.when(third < "11", 0).when(third < "21", 1).otherwise(2)
+    )
+    return [numbered.filter(F.col("_third") == n).drop("_third") for n in range(3)]
+
+
+def _packed_store(spark, measurements: DataFrame) -> tuple[str, DataFrame]:
+    """A store that got three batches and was packed, and its units before."""
+    store = new_path(spark, "store")
+    for rows in _thirds(measurements):
+        add_silver(silver.typed(rows), store, partition_by=BRONZE_PARTITIONS)
+    units = silver_units(spark, store)
+    compact_silver(spark, store)
+    return store, units
+
+
+def silver_packed(spark, sf_dir):
+    """Silver of the events in batches, after their small files were packed."""
+    store, _ = _packed_store(spark, event_measurements(spark, sf_dir))
+    return read_silver_version(spark, store)
+
+
+def silver_packed_files(spark, sf_dir):
+    """Units of each directory of the larger table before and after packing, and its rows."""
+    store, before = _packed_store(spark, lineitem_measurements(spark, sf_dir))
+    number = F.count(F.lit(1))
+    rows = read_silver_version(spark, store).groupBy(*BRONZE_PARTITIONS).agg(number.alias("rows"))
+    for units, name in ((before, "units_before"), (silver_units(spark, store), "units_after")):
+        counts = units.groupBy(*BRONZE_PARTITIONS).agg(number.alias(name))
+        rows = rows.join(counts, [*BRONZE_PARTITIONS])
+    return rows
+
+
 def csv_roundtrip(spark, sf_dir):
     path = new_path(spark, "sensor")
     write_csv(event_sensor(spark, sf_dir), path, header="true")
@@ -623,6 +665,8 @@ QUERIES: dict[str, Query] = {
     "parquet_flat_roundtrip": parquet_flat_roundtrip,
     "parquet_readback_count": parquet_readback_count,
     "parquet_compact": parquet_compact,
+    "silver_packed": silver_packed,
+    "silver_packed_files": silver_packed_files,
     "csv_roundtrip": csv_roundtrip,
     "file_inventory": file_inventory_query,
     "load_record": load_record,

@@ -49,14 +49,15 @@ def slice_of_row(slice_by: Sequence[str]) -> Column:
     )
 
 
-def slice_of_path(slice_by: Sequence[str]) -> Column:
-    """The slice of a silver file, from the directories that it lies in."""
+def directory_value(path: Column, name: str) -> Column:
+    """What the directory ``name=…`` of a file's path says, without its escapes."""
+    written = F.regexp_extract(path, f"/{name}=([^/]*)/", 1)
+    return F.url_decode(F.regexp_replace(written, r"\+", "%2B"))
 
-    def value(name: str) -> Column:
-        written = F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
-        return F.url_decode(F.regexp_replace(written, r"\+", "%2B"))
 
-    return _joined([value(name) for name in slice_by])
+def slice_of_path(slice_by: Sequence[str]) -> Column:
+    """The slice of a silver file, from the directories that it lies in."""
+    return _joined([directory_value(F.col("path"), name) for name in slice_by])
 
 
 def silver_files(spark: SparkSession, silver_path: str, slice_by: Sequence[str]) -> DataFrame:

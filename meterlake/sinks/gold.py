@@ -1,4 +1,4 @@
-"""Publishing gold tables: readers see all four of one build, or all four of the one before."""
+"""Publishing versions: readers see all tables of one build, or all of the one before."""
 
 from __future__ import annotations
 
@@ -10,29 +10,39 @@ from meterlake.sources.tables import (
     CURRENT,
     FACTS,
     HOME,
+    READINGS,
+    SOURCES,
+    UNITS,
     pointers,
     published_version,
-    slice_homes,
-    version_sources,
+    version_table,
 )
 from meterlake.staging import remove
 
 _VERSION = "version-"
+_ANY = object()
 
 
 def new_version(gold_dir: str) -> str:
     return f"{gold_dir.rstrip('/')}/{_VERSION}{uuid.uuid4().hex}"
 
 
-def publish(spark: SparkSession, gold_dir: str, version: str) -> None:
+def publish(
+    spark: SparkSession, gold_dir: str, version: str, *, after: str | None | object = _ANY
+) -> None:
     """Point readers to ``version``; versions but this and the one before are deleted.
 
     Every version has a pointer of its own, with the next number. It is written under another
     name and put in place by renaming, so readers see the one before or a whole new one, on
-    every file system; if another build has taken the number, this one fails.
+    every file system; if another build has taken the number, this one fails. ``after`` names
+    the version that this one was made from (None: the first): if readers see another one by
+    now, this one fails too, as it would undo the other.
     """
     root = gold_dir.rstrip("/")
-    before, old = published_version(spark, root), pointers(spark, root)
+    old = pointers(spark, root)
+    before = published_version(spark, root)
+    if after is not _ANY and before != after:
+        raise RuntimeError(f"{root}: another build was published meanwhile")
     number = int(old[-1].removeprefix(CURRENT)) + 1 if old else 1
     path = spark._jvm.org.apache.hadoop.fs.Path
     pointer = path(f"{root}/{CURRENT}{number:012}")
@@ -61,10 +71,17 @@ def _remove_unused(spark: SparkSession, files, root: str, kept: list[str]) -> No
     for name in _names(spark, files, root, _VERSION):
         if f"{root}/{name}" not in kept:
             remove(spark, f"{root}/{name}")
-    facts = _names(spark, files, f"{root}/{FACTS}", f"{HOME}=")
-    if facts:
-        sources = [version_sources(spark, version) for version in kept]
-        homes = {home for table in sources if table is not None for home, _ in slice_homes(table)}
-        for name in facts:
-            if name.removeprefix(f"{HOME}=") not in homes:
-                remove(spark, f"{root}/{FACTS}/{name}")
+    for folder, table in ((FACTS, SOURCES), (READINGS, UNITS)):
+        written = _names(spark, files, f"{root}/{folder}", f"{HOME}=")
+        used = _homes(spark, kept, table) if written else set()
+        for name in written:
+            if name.removeprefix(f"{HOME}=") not in used:
+                remove(spark, f"{root}/{folder}/{name}")
+
+
+def _homes(spark: SparkSession, versions: list[str], table: str) -> set[str]:
+    """Builds whose files the versions use; far fewer than there are files."""
+    tables = [version_table(spark, version, table) for version in versions]
+    return {
+        row[0] for found in tables if found is not None for row in found.select(HOME).distinct().collect()
+    }

@@ -27,6 +27,11 @@ FACTS = "facts"
 #: What a fact of such a version is stored under: the build that wrote it, and its slice.
 HOME, SLICE = "home", "slice"
 
+#: In a version of silver: its units, that is what a build holds in a directory.
+UNITS = "_units"
+#: The files of all versions of silver.
+READINGS = "readings"
+
 _SLICED_FACT = T.StructType(
     [
         *GOLD["faktentabelle"].fields,
@@ -58,12 +63,17 @@ def gold_path(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{table}"
 
 
-def version_sources(spark: SparkSession, version: str) -> DataFrame | None:
-    """The silver files of a version that is brought up to date slice by slice."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{version}/{SOURCES}")
+def version_table(spark: SparkSession, version: str, table: str) -> DataFrame | None:
+    """What a version tells about its files, if it does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{version}/{table}")
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
-    return spark.read.parquet(f"{version}/{SOURCES}")
+    return spark.read.parquet(f"{version}/{table}")
+
+
+def version_sources(spark: SparkSession, version: str) -> DataFrame | None:
+    """The silver files of a version that is brought up to date slice by slice."""
+    return version_table(spark, version, SOURCES)
 
 
 def slice_homes(sources: DataFrame) -> list[tuple[str, str]]:
