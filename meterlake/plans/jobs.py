@@ -10,7 +10,7 @@ from meterlake.operators.quarantine import typed_with_faults
 from meterlake.operators.sensor import bucket_averages
 from meterlake.operators.silver import typed, typed_raw
 from meterlake.paths import refuse_overlap
-from meterlake.sinks.database import export_checked
+from meterlake.sinks.database import export_checked, export_once
 from meterlake.sinks.files import write_csv, write_parquet, write_silver
 from meterlake.sinks.gold import new_version, publish
 from meterlake.sinks.load_record import append_load_record
@@ -100,9 +100,21 @@ def export_gold_job(
     *,
     properties: dict[str, str] | None = None,
     schema: str = "public",
+    once: bool = False,
     **options,
 ) -> dict[str, int]:
-    """Copy the gold tables to ``<schema>.<table>``; returns the rows per table."""
+    """Copy the gold tables to ``<schema>.<table>``; returns the rows per table.
+
+    With ``once`` the tables change together, when all have arrived, and the version of gold
+    names the load: an export that is started again sends nothing twice (``export_once``).
+    """
+    if once:
+        version = published_version(spark, gold_dir)
+        if version is None:
+            raise ValueError(f"{gold_dir}: only published versions are exported once")
+        named = {f"{schema}.{table}": df for table, df in read_gold(spark, version).items()}
+        rows = export_once(named, url, load_id=version, properties=properties, **options)
+        return {table.removeprefix(f"{schema}."): count for table, count in rows.items()}
     return {
         table: export_checked(df, url, f"{schema}.{table}", properties=properties, **options)
         for table, df in read_gold(spark, gold_dir).items()
