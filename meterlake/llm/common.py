@@ -15,6 +15,9 @@ from meterlake.staging import new_path
 
 #: White space of words and of normalised texts: space, tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
+#: Bytes that a range of a key should not exceed, unless there would be too many ranges for
+#: the driver to hold their bounds.
+RANGE_BYTES, MOST_RANGES = 128 << 20, 10_000
 
 
 def let_workers_import(spark: SparkSession) -> None:
@@ -60,14 +63,24 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def range_bounds(df: DataFrame, key: str, parts: int) -> list[float]:
+def ranges_for(spark: SparkSession, size: int) -> int:
+    """Ranges for ``size`` bytes: the session's shuffle partitions, more where those are long."""
+    return max(parallelism(spark), min(MOST_RANGES, -(-size // RANGE_BYTES)))
+
+
+def range_bounds(
+    df: DataFrame, key: str, parts: int, weight: Column | None = None
+) -> list[float]:
     """At most ``parts - 1`` rising values that cut ``key`` into even ranges.
 
-    The quantile sketch is merged on the driver; its size depends on ``parts`` alone.
+    Even in rows, or in their ``weight``, a small whole number. The quantile sketch is merged
+    on the driver; its size depends on ``parts`` alone.
     """
     if parts < 2:
         return []
     shares = [i / parts for i in range(1, parts)]
+    if weight is not None:
+        df = df.select(F.explode(F.array_repeat(F.col(key), weight)).alias(key))
     found = df.approxQuantile(key, shares, 1 / (8 * parts))
     return sorted(set(found))
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import id_and_text, parallelism, range_bounds, range_of, stage
+from meterlake.llm.common import id_and_text, range_bounds, range_of, ranges_for, stage
 from meterlake.llm.vocabulary import default_path, library_pieces
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,6 +19,8 @@ END_ID = 1
 LENGTH = 2048
 #: The curve runs through this many dimensions of so many bits each; ties go by these bits.
 DIMENSIONS, BITS, TIE_BITS = 4, 10, 12
+#: A document weighs one for so many ids when ranges are cut; a stored id takes so many bytes.
+WEIGHT_TOKENS, TOKEN_BYTES = 512, 2
 #: A mean of projected pieces this large lies a quarter of the range from the middle.
 SPREAD = 0.08
 
@@ -154,7 +156,9 @@ def pack_documents(
     A document is the ids of its text and an end id. The counts of its pieces, projected
     by the pieces' hashes to a few dimensions, give its place on the curve; documents are
     range-sorted by place, and the ids, laid end to end, are cut every ``length``. So only
-    the last sequence needs padding. The counts of ids per range, one number for each
+    the last sequence needs padding. Ranges are even in ids, not in documents: the places of
+    long texts lie close together, as their means do; there are more ranges for more ids. The
+    counts of ids per range, one number for each
     range, tell where each range begins.
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. A null or
@@ -169,8 +173,9 @@ def pack_documents(
         ),
         "packing_ids",
     )
-    stretches = parallelism(spark)
-    bounds = range_bounds(encoded, "place", stretches)
+    tokens = encoded.agg(F.coalesce(F.sum("doc_tokens"), F.lit(0))).first()[0]
+    heavy = F.ceil(F.col("doc_tokens") / WEIGHT_TOKENS).cast("int")
+    bounds = range_bounds(encoded, "place", ranges_for(spark, TOKEN_BYTES * tokens), heavy)
     placed = encoded.withColumn("stretch", range_of(F.col("place"), bounds))
     sizes = [0] * (len(bounds) + 1)
     for row in placed.groupBy("stretch").agg(F.sum("doc_tokens").alias("ids")).collect():

@@ -11,10 +11,13 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from meterlake.llm import common
 from meterlake.llm import pieces as cutting
 from meterlake.llm.bpe import encode_texts, round_trip
+from meterlake.llm.common import range_bounds, range_of, ranges_for
 from meterlake.llm.hilbert import hilbert_keys, pack_documents
 from meterlake.llm.merges import MergeReplay
 from meterlake.llm.vocabulary import Decoder, library_pieces, merging_pieces, read_ranks
@@ -204,6 +207,23 @@ def test_packing_of_given_documents(spark, library):
     check_packing(rows, pack_documents(docs), library, 2048)
 
 
+def test_ranges_are_even_in_ids(spark, settings):
+    """Long texts whose places lie close together are spread over ranges."""
+    rows = spark.range(4000).select(
+        F.col("id").alias("place"),
+        F.when(F.col("id").between(1000, 1099), 1000).otherwise(1).alias("weight"),
+    )
+    bounds = range_bounds(rows, "place", 8, F.col("weight"))
+    assert len(bounds) == 7
+    cut = rows.groupBy(range_of(F.col("place"), bounds)).agg(F.sum("weight").alias("size"))
+    assert max(row["size"] for row in cut.collect()) < 1.4 * (100 * 1000 + 3900) / 8
+    assert range_bounds(rows.limit(0), "place", 8, F.col("weight")) == []
+    with settings({"spark.sql.shuffle.partitions": "4"}):
+        assert ranges_for(spark, 0) == ranges_for(spark, 4 * common.RANGE_BYTES) == 4
+        assert ranges_for(spark, 9 * common.RANGE_BYTES + 1) == 10
+        assert ranges_for(spark, 1 << 60) == common.MOST_RANGES
+
+
 def test_copies_lie_together(documents):
     rows = [(i, f"text {i % 3} " + "same words here " * 5 * (1 + i % 3)) for i in range(60)]
     found = pack_documents(documents(rows), length=64).orderBy("sequence_id", "offset").collect()
