@@ -19,6 +19,8 @@ from meterlake.llm.common import stage
 MOST_HOSTS = 5_000
 #: Of deeper elements, paths name only articles, main elements and surroundings.
 MOST_DEPTH = 64
+#: From so many pages of a host on, what is the same in all its articles is no part of them.
+TOLD_PAGES = 5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -40,6 +42,7 @@ _UNSEEN_TAG = re.compile(
 #: A slash before the end of a tag, other than that of an address without quotes.
 _EMPTY_TAG = re.compile(r"(?<!=)(?:\s|[\"']|<[a-z]+|\s[^\s=\"'>]+)/>\Z", re.I)
 _TAG = re.compile(r"<(/?)([a-z][a-z0-9:-]*)", re.I)
+_NUMBERED = re.compile(r"[^\W_]*\d[^\W_]*")
 _NAMED = re.compile(r"""(?<![\w-])(?:class|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
@@ -75,6 +78,7 @@ _PARTS_OF_TEXT = frozenset(
     "p blockquote pre li dt dd h1 h2 h3 h4 h5 h6 caption figcaption legend summary thead tbody "
     "tfoot tr td th".split()
 )
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ARTICLE_NAMES = frozenset("article entry post story content".split())
 #: Classes of articles that are not that of the page.
 _OTHER_ARTICLES = frozenset("comment comments reply related teaser promo advert ad".split())
@@ -229,9 +233,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def _label(name: str, tag: str) -> str:
+    """An element's name and classes; numbers in classes tell which one it is, not its kind."""
     if "=" not in tag:
         return name
-    return ".".join([name, *sorted(set(_names(tag)))])
+    return ".".join([name, *sorted({_NUMBERED.sub("0", found) for found in _names(tag)})])
 
 
 def _names(tag: str) -> list[str]:
@@ -437,13 +442,47 @@ def _shared(one: Path, other: Path) -> Path:
     return one[:at]
 
 
+def template_parts(article: Node, where: Path) -> tuple[set[Path], set[Path]]:
+    """Paths of an article's parts that belong to its host's template, and of its own parts.
+
+    The template's are the parts (divisions, lists, tables, ...) that the articles of all
+    pages have with the same text. Headings and paragraphs that are always the same stay
+    beside other text. An article of fewer than ``TOLD_PAGES`` pages, and one in which at
+    most headings differ from page to page, has own parts only: its pages may be copies.
+    """
+    same: set[Path] = set()
+    own: set[Path] = set()
+    told = False
+
+    def visit(node: Node, path: Path) -> bool:
+        nonlocal told
+        name = node.label.split(".")[0]
+        differs = node.weight > 0 and node.text is None
+        told = told or (differs and name not in _HEADINGS)
+        constant = node.pages == article.pages and not differs
+        for child in node.children:
+            if surrounds(child.label) and child.label.split(".")[0] != "header":
+                continue
+            constant = visit(child, (*path, child.label)) and constant
+        part = name not in _PARTS_OF_TEXT and name not in _INSIDE
+        (same if constant and part else own).add(path)
+        return constant
+
+    visit(article, where)
+    if told and article.pages >= TOLD_PAGES:
+        return same, own
+    return set(), same | own
+
+
 def regions(wrapper: Node) -> list[tuple[list[Path], list[Path]]]:
     """Paths of the elements that hold the main text, and of parts of them that do not.
 
     Articles; for pages without, main elements; then either of them within what would
     surround an article; for pages without any, the lowest element that holds all text that
-    differs from page to page.
+    differs from page to page. Parts that are the same on all pages are left out of each.
     """
+    same: set[Path] = set()
+    own: set[Path] = set()
     found: dict[tuple[str, bool], list[Path]] = {
         (name, around): [] for around in (False, True) for name in ("article", "main")
     }
@@ -459,10 +498,16 @@ def regions(wrapper: Node) -> list[tuple[list[Path], list[Path]]]:
                 within = True
             if name in _INSIDE and not (name == "article" and surrounds(child.label)):
                 found[name, within].append(where)
+                if not inside:
+                    for paths, parts in zip((same, own), template_parts(child, where)):
+                        paths |= parts
             visit(child, where, within)
 
     visit(wrapper, (), False)
-    ranks = [(list(dict.fromkeys(paths)), []) for paths in found.values()]
+    ranks = []
+    for paths in found.values():
+        left = [x for x in sorted(same - own) if any(x[: len(path)] == path for path in paths)]
+        ranks.append((list(dict.fromkeys(paths)), left))
     return [rank for rank in (*ranks, varying(wrapper)) if rank[0]]
 
 
@@ -605,8 +650,9 @@ def extract_text(pages: DataFrame) -> DataFrame:
     A page is a tree of its block elements, with the text blocks as leaves. Neighbours of
     one kind are aligned into a repeated element; pages of a host are aligned into its
     wrapper, in which elements that some pages lack are optional and texts that differ are
-    slots. The wrapper tells which elements hold the article; where a page does not have
-    them, the text that differs from page to page does, then its own tree.
+    slots. The wrapper tells which elements hold the article, and which parts of it are the
+    same in all articles of the host and so none of its text; where a page does not have
+    such elements, the text that differs from page to page does, then its own tree.
 
     Columns: page_id, url, text, n_chars. A null html is empty and has an empty text; pages
     without a host in their url are one host; repeated rows give repeated results; an

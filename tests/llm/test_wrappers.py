@@ -253,3 +253,57 @@ def test_labels_do_not_grow_with_the_pages_of_a_host():
     for i in range(1, 300):
         wrapper = align(wrapper, Page(f"<article id='post-{i}'><p>{i}</p></article>").wrapper())
     assert len(str(wrapper.dump())) < 300 and len(regions(wrapper)[0][0]) == 1
+
+
+BOXES = (
+    '<div class="box"><p>A line in every article of this host</p><ul><li>and a list</ul></div>',
+    "<section><h3>Always here</h3><table><tr><td>the same table</table></section>",
+)
+
+
+def host_with_boxes(name, n, body):
+    return [
+        (i, f"https://{name}.example/{i}", "<html><body><article class='post post-{0} p{0}x'>"
+         "<h1>Title {0}</h1>{1}{2}{3}</article></body></html>".format(i, BOXES[0], body(i), BOXES[1]))
+        for i in range(n)
+    ]
+
+
+def test_wrapper_leaves_out_what_all_articles_of_a_host_have(pages):
+    """With the host's wrapper the text is another than by a page's own tree."""
+    rows = host_with_boxes("l", 12, lambda i: f"<h2>Summary</h2><div><p>Words {i}</p></div>")
+    got = texts(pages(rows))
+    for i, _, page in rows:
+        assert got[i] == f"Title {i}\n\nSummary\n\nWords {i}"
+        assert own_text(page).startswith(f"Title {i}\n\nA line in every article")
+    assert texts(pages(rows).repartition(5)) == texts(pages(rows[::-1]).coalesce(1)) == got
+
+
+def test_copies_and_few_pages_keep_the_boxes(pages):
+    """What may be the text of copies, and a part that some articles have otherwise, stays."""
+    copies = host_with_boxes("m", 12, lambda i: "<div><p>The same words</p></div>")
+    few = host_with_boxes("n", 4, lambda i: f"<p>Words {i}</p>")
+    some = host_with_boxes("o", 12, lambda i: f"<p>{i}</p>")
+    some[3] = (*some[3][:2], some[3][2].replace("and a list", "and an own list"))
+    some[4] = (*some[4][:2], some[4][2].replace(BOXES[1], ""))
+    for rows in (copies, few, some):
+        got = texts(pages(rows))
+        assert got == {i: own_text(page) for i, _, page in rows}
+
+
+def test_parts_of_one_path_stay_if_one_of_them_is_the_articles_own(pages):
+    rows = [
+        (i, f"https://p.example/{i}", f"<article><div>always</div><h2>x</h2><div>Own {i}</div></article>")
+        for i in range(8)
+    ]
+    assert texts(pages(rows)) == {i: f"always\n\nx\n\nOwn {i}" for i in range(8)}
+
+
+def test_numbered_classes_do_not_make_the_wrapper_grow():
+    wrapper = None
+    for i in range(20_000):
+        page = f"<article class='post post-{i} css-{i}ab'><p class=n{i}>{i}</p></article>"
+        tree = Page(page).wrapper()
+        wrapper = align(wrapper, tree) if wrapper else tree
+    assert len(str(wrapper.dump())) < 300
+    assert regions(wrapper) == [([("article.css-0.post.post-0",)], [])]
