@@ -54,7 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is stored and read again by the next."""
+    """All stages over ``documents``; each result is stored and read again by the next.
+
+    A null or empty text, or one of white space alone, is a document like any other: of those
+    that the classifier keeps the least id stays and is packed as the end id alone. Of rows
+    that repeat id and text one stays; rows with one id and different texts are different
+    documents. A null id stays only where no document with the same or a similar text has
+    one. Texts of any length are used whole. Other columns are carried along but not
+    returned. Empty ``documents`` give no rows, empty ``labels`` a classifier that keeps all.
+    """
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         path = new_path(spark, f"stage_{number}")
