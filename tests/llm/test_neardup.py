@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -135,3 +137,37 @@ def test_signature_of_whole_weights_equals_that_of_a_set():
         shuffled = signature(elements[:size][::-1], 100)
         assert (plain == shuffled).all()
     assert (signature(elements[:0], 100) == 0).all()
+
+
+def linked_by_hand(sets, similarity=0.8):
+    """Pairs of similar sets, looked up by the elements that two sets share."""
+    places = {}
+    for number, elements in enumerate(sets):
+        for element in elements:
+            places.setdefault(element, []).append(number)
+    shared = Counter(pair for numbers in places.values() for pair in combinations(numbers, 2))
+    return [
+        (i, j)
+        for (i, j), n in shared.items()
+        if n >= similarity * (len(sets[i]) + len(sets[j]) - n)
+    ]
+
+
+def test_no_link_of_the_given_documents_is_lost(spark):
+    """Recall of all pairs at 0.8 and more, and no class that such pairs do not join."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    sets = sorted({shingle_set(r.text) for r in rows}, key=sorted)
+    links = linked_by_hand(sets)
+    assert links
+    root = {elements: i for i, elements in enumerate(sets)}
+    for i, j in links:
+        one, other = root[sets[i]], root[sets[j]]
+        if one != other:
+            root = {k: one if v == other else v for k, v in root.items()}
+    least = {}
+    for r in rows:
+        where = root[shingle_set(r.text)]
+        least[where] = min(least.get(where, r.doc_id), r.doc_id)
+    got = {r.doc_id: r.class_id for r in near_duplicates(docs).collect()}
+    assert got == {r.doc_id: least[root[shingle_set(r.text)]] for r in rows}

@@ -86,3 +86,17 @@ def test_run_is_the_stages_in_turn(spark):
     result = corpus_pipeline.run(spark, SF_DIR)
     assert result.columns[:3] == ["doc_id", "start", "length"]
     assert result.count() > 0
+
+
+@pytest.mark.parametrize("rows, labelled", [(CASES, True), (CASES, False), ([], True)])
+def test_run_on_every_case_and_on_empty_tables(spark, documents, tmp_path, rows, labelled):
+    docs = documents(rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    (labels if labelled else labels.limit(0)).write.parquet(str(tmp_path / "labels.parquet"))
+    result = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert bool(result) == bool(rows)
+    if rows and not labelled:
+        kept = {r.doc_id for r in result}
+        assert {1, 4, 5, 7, 8, 10, 11, 12} <= kept
+        assert not {2, 3, 6, 9} & kept  # empty, white space alone, copies but for white space
