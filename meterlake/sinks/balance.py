@@ -10,14 +10,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.staging import stage
 
 #: Directories that one task writes, at most about.
 DIRECTORIES_PER_TASK = 500
-#: Directories with more rows than a task takes are broadcast up to this many.
+#: Rows that one task sorts and writes, at most about: encoded files may be far smaller than rows.
+ROWS_PER_TASK = 1_000_000
+#: A directory with less than this part of a task's rows is dealt by its hash.
+SMALL = 8
+#: Directories with more rows are broadcast up to this many.
 MOST_BROADCAST = 100_000
 
 
@@ -38,16 +42,34 @@ def _same(columns: Sequence[str], other: DataFrame) -> Column:
     return reduce(lambda a, b: a & b, pairs)
 
 
+def _numbered(large: DataFrame, columns: Sequence[str], cut_at: int, per_task: int) -> DataFrame:
+    """Large directories with their first row in a row of all, and the pieces they are cut into.
+
+    Their number is bounded by that of the tasks, so one window may run over them.
+    """
+    order = Window.orderBy(F.desc("_rows"), *columns)
+    before = F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    parts = SMALL * F.ceil(F.col("_rows") / per_task)
+    return large.select(
+        *[F.col(name).alias(f"_hot_{name}") for name in columns],
+        F.col("_rows").alias("_size"),
+        F.coalesce(before, F.lit(0)).alias("_start"),
+        F.when(F.col("_rows") > cut_at, parts).otherwise(1).alias("_pieces"),
+    )
+
+
 def spread(
     stored: DataFrame, columns: Sequence[str], size: int, *, partitions: int | None = None
 ) -> DataFrame:
     """``stored`` rows, of ``size`` bytes in all, in tasks that are about equally long.
 
-    Rows of a directory come together, many directories share a task, and a directory with
-    more rows than a task should have is cut into pieces of about that many. Rows are dealt
-    to pieces by their place in the stored files, so a task that is tried again sends them
-    the same way, and equal rows may part. There are at least as many tasks as cores,
-    unless there are fewer directories; ``partitions`` sets their number.
+    Rows of a directory come together and many small directories share a task. Large ones are
+    laid end to end and dealt to tasks by where they start, so no two of them meet by chance; a
+    directory with more rows than a task should have is cut. What a task should have follows
+    from bytes and from rows. Rows are dealt to pieces by their place in the stored files, so a
+    task that is tried again sends them the same way, and equal rows may part. There are at
+    least as many tasks as cores, unless there are fewer directories; ``partitions`` sets
+    their number.
     """
     spark = stored.sparkSession
     counts = stage(
@@ -56,27 +78,28 @@ def spread(
     directories, rows, largest = counts.agg(
         F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0)), F.max("_rows")
     ).first()
-    task_bytes = advisory_bytes(spark)
-    tasks = partitions or max(
-        1,
-        -(-size // task_bytes),
-        -(-directories // DIRECTORIES_PER_TASK),
-        min(directories, spark.sparkContext.defaultParallelism),
-    )
-    rows_per_task = max(1, rows * task_bytes // max(1, size))
-    if not rows or largest <= rows_per_task:
-        return stored.repartition(tasks, *columns)
-    hot = counts.filter(F.col("_rows") > rows_per_task).select(
-        *[F.col(name).alias(f"_hot_{name}") for name in columns],
-        F.ceil(F.col("_rows") / rows_per_task).alias("_pieces"),
-    )
-    if hot.count() <= MOST_BROADCAST:
-        hot = F.broadcast(hot)
-    pieces = F.coalesce("_pieces", F.lit(1))
+    cut_at = max(1, min(ROWS_PER_TASK, rows * advisory_bytes(spark) // max(1, size)))
+    cores = min(directories, spark.sparkContext.defaultParallelism)
+    per_task = max(1, min(cut_at, -(-rows // (partitions or max(1, cores)))))
+    if not rows or largest * SMALL <= per_task:
+        few = max(1, -(-rows // per_task), -(-directories // DIRECTORIES_PER_TASK))
+        return stored.repartition(partitions or few, *columns)
+    is_large = F.col("_rows") * SMALL > per_task
+    many, large_rows = counts.filter(is_large).agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    first = -(-large_rows // per_task)  # tasks of large directories, before those of small ones
+    others = max(-(-(rows - large_rows) // per_task), -(-(directories - many) // DIRECTORIES_PER_TASK))
+    large = _numbered(counts.filter(is_large), columns, cut_at, per_task)
+    if many <= MOST_BROADCAST:
+        large = F.broadcast(large)
+    piece = F.pmod(F.xxhash64("_place"), F.col("_pieces"))
+    row = F.col("_start") + F.floor(piece * F.col("_size") / F.col("_pieces"))
+    small = F.lit(first) + F.pmod(F.xxhash64(*columns), F.lit(max(1, others)))
+    task = F.when(F.col("_start").isNull(), small).otherwise(F.floor(row / per_task))
+    tasks = partitions or first + others
     return (
         stored.withColumn("_place", F.monotonically_increasing_id())
-        .join(hot, _same(columns, hot), "left")
-        .withColumn("_piece", F.pmod(F.col("_place"), pieces))
-        .repartition(tasks, *columns, "_piece")
+        .join(large, _same(columns, large), "left")
+        .withColumn("_task", F.pmod(task, F.lit(tasks)).cast("int"))
+        .repartitionById(tasks, "_task")
         .select(*stored.columns)
     )

@@ -152,6 +152,29 @@ def test_equal_rows_of_a_hot_directory_part(spark, tmp_path):
     assert dealt.groupBy().sum("value").first()[0] == 6000
 
 
+def _rows_per_task(spark, monkeypatch, tmp_path, rows, columns):
+    monkeypatch.setattr(balance, "ROWS_PER_TASK", 1_000)
+    folder = str(tmp_path / "stored")
+    rows.write.parquet(folder)
+    dealt = balance.spread(spark.read.parquet(folder), columns, 1)
+    found = dealt.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1))).collect()
+    return [row[1] for row in found]
+
+
+def test_rows_that_take_few_bytes_are_cut_too(spark, monkeypatch, tmp_path):
+    """One directory of many rows that are small once encoded is not one task's."""
+    rows = spark.range(20_000).select(F.lit(2024).alias("year"), "id")
+    sizes = _rows_per_task(spark, monkeypatch, tmp_path, rows, ["year"])
+    assert sum(sizes) == 20_000 and len(sizes) >= 20 and max(sizes) < 1_500
+
+
+def test_large_directories_do_not_meet_by_chance(spark, monkeypatch, tmp_path):
+    """Twelve directories of a task's rows each: by their hash some task would get several."""
+    rows = spark.range(12_000).select((F.col("id") % 12).alias("modul"), "id")
+    sizes = _rows_per_task(spark, monkeypatch, tmp_path, rows, ["modul"])
+    assert sum(sizes) == 12_000 and max(sizes) <= 2_000
+
+
 def test_only_needed_columns_and_directories_are_read(spark, bronze_root, tmp_path):
     bronze = silver.bronze_to_silver(read_bronze(spark, bronze_root))
     plan = plan_of(bronze.filter("modul = '007'").select("value"))
