@@ -142,6 +142,34 @@ def test_a_batch_that_is_tried_again_lands_once(spark, bronze_root, tmp_path):
     assert read_silver(spark, path).count() == 16
 
 
+def test_new_directories_are_moved_whole(spark, tmp_path):
+    """What the driver does for a batch follows from the directories that the table has, not from files."""
+    rows = "modul string, intervall string, mess_id int, comp_level int, valuedate timestamp_ntz, value double, pvalue double"
+    typed = spark.createDataFrame([], rows)
+    for name in SILVER.names:
+        if name not in typed.columns and name not in ("year", "month"):
+            typed = typed.withColumn(name, F.lit(None).cast(SILVER[name].dataType))
+    some = spark.range(60).select(
+        F.lit("M").alias("modul"),
+        F.when(F.col("id") % 2 == 0, "15_min").otherwise("Monatlich").alias("intervall"),
+        F.col("id").cast("int").alias("mess_id"),
+        F.lit(1).alias("comp_level"),
+        F.lit("2022-01-02 03:04:05").cast("timestamp_ntz").alias("valuedate"),
+        *[F.lit(1.0).alias(name) for name in ("value", "pvalue")],
+    )
+    typed = typed.unionByName(some, allowMissingColumns=True)
+    path, first, second = (str(tmp_path / name) for name in ("silver", "first", "second"))
+    half = typed.filter("mess_id < 30")
+    append_once(half, path, first, SILVER_PARTITIONS)
+    assert not list((tmp_path / "first").glob("modul=*"))  # one renaming, nothing left behind
+    append_once(typed, path, second, SILVER_PARTITIONS)
+    assert len(list((tmp_path / "second").rglob("mess_id=*"))) == 30  # those the table had
+    assert not list((tmp_path / "second").rglob("part-*"))
+    table = read_silver(spark, path)
+    assert table.count() == 90
+    assert table.groupBy("mess_id").count().filter("count = 1").count() == 30
+
+
 def test_stream_and_batch_share_a_table(spark, bronze_root, tmp_path):
     path = str(tmp_path / "silver")
     start_silver_stream(spark, bronze_root, path, str(tmp_path / "p")).awaitTermination()
