@@ -12,7 +12,8 @@ from meterlake.operators.quality import verify_gold
 from meterlake.paths import refuse_overlap
 from meterlake.plans.jobs import known_dimensions
 from meterlake.schema import GOLD
-from meterlake.sinks.files import together, write_parquet
+from meterlake.sinks.balance import TASK, dealt
+from meterlake.sinks.files import write_parquet
 from meterlake.sinks.gold import new_version, publish
 from meterlake.sources.files import file_inventory
 from meterlake.sources.tables import (
@@ -122,10 +123,13 @@ def update_gold(
                 for table, dimension in star.dimensions(rows, known).items()
             }
             stored = {table: read_gold_table(spark, version, table) for table in written}
-            fact = star.faktentabelle(rows, *stored.values(), carry=[SLICE])
+            # silver is stored, so its rows are dealt to tasks there, and keep them through the joins
+            named, tasks = dealt(rows, [SLICE])
+            fact = star.faktentabelle(named, *stored.values(), carry=[SLICE, TASK])
             own = f"{facts}/{HOME}={home}"
             (
-                together(fact, [SLICE])
+                fact.repartitionById(tasks, TASK)
+                .drop(TASK)
                 .write.mode("overwrite")
                 .partitionBy(SLICE)
                 .parquet(own)

@@ -9,7 +9,7 @@ from meterlake.operators.quality import inspect_gold, verify_gold
 from meterlake.operators.silver import typed
 from meterlake.plans import incremental, jobs
 from meterlake.plans.incremental import changed_rows, silver_files, update_gold
-from meterlake.sinks import write_silver
+from meterlake.sinks import balance, write_silver
 from meterlake.sources import read_bronze, read_gold, read_silver
 
 COLUMNS = ["modul", "year", "month"]
@@ -48,6 +48,21 @@ def check(spark, path, gold_dir, tmp_path):
     assert all(row.passed for row in verify_gold(gold, silver).collect())
 
 
+def test_facts_of_one_slice_are_written_by_tasks_of_few_rows(spark, tmp_path, monkeypatch):
+    """Facts take so few bytes that bytes alone would leave a month of any size to one task."""
+    monkeypatch.setattr(balance, "ROWS_PER_TASK", 200)
+    path, gold_dir = str(tmp_path / "silver"), str(tmp_path / "gold")
+    rows = [measurement(MESS_ID=str(i % 7), VALUE=str(1 + i % 5)) for i in range(2000)]
+    write_measurements(tmp_path / "bronze", "M", "15_min", rows)
+    write_silver(typed(read_bronze(spark, str(tmp_path / "bronze"))), path, partition_by=COLUMNS)
+    written = update_gold(spark, path, gold_dir)
+    facts = list((tmp_path / "gold" / "facts").rglob("*.parquet"))
+    held = [spark.read.parquet(str(file)).count() for file in facts]
+    assert written["slices"] == 1 and sum(held) == written["faktentabelle"] == 2000
+    assert len(held) >= 8 and max(held) < 400
+    check(spark, path, gold_dir, tmp_path)
+
+
 def test_updates_equal_full_builds(spark, tables, tmp_path):
     path, gold_dir = tables
     first = update_gold(spark, path, gold_dir)
