@@ -13,8 +13,10 @@ from meterlake.sources import (
     read_data,
     read_header_csv,
     read_measurement_file,
+    read_silver,
     s3a_settings,
 )
+from meterlake.sources.tables import LISTING_TASKS
 
 
 def test_bronze_cells_and_directory_values_stay_text(spark, bronze_root):
@@ -138,3 +140,27 @@ def test_object_store_settings():
 
 def test_silver_names_are_unique():
     assert len(set(SILVER.names)) == len(SILVER.names) == 23
+
+
+def test_silver_is_listed_by_cores_not_by_directories(spark, tmp_path):
+    row = spark.createDataFrame([(1, 2.5)], "comp_level int, value double").coalesce(1)
+    row.write.parquet(str(tmp_path / "one"))
+    (file,) = (tmp_path / "one").glob("*.parquet")
+    table = tmp_path / "silver"
+    for n in range(120):
+        folder = table / f"modul=M{n}"
+        folder.mkdir(parents=True)
+        (folder / file.name).write_bytes(file.read_bytes())
+    spark.sparkContext.setJobGroup("listing", "")
+    before = spark.conf.get(LISTING_TASKS)
+    try:
+        rows = read_silver(spark, str(table))
+        tracker = spark.sparkContext.statusTracker()
+        jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("listing")]
+        stages = [tracker.getStageInfo(stage) for job in jobs for stage in job.stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(LISTING_TASKS) == before
+    assert 0 < sum(stage.numTasks for stage in stages) <= spark.sparkContext.defaultParallelism
+    found = rows.select("modul", "comp_level", "value").collect()
+    assert sorted(map(tuple, found)) == sorted((f"M{n}", 1, 2.5) for n in range(120))
