@@ -145,7 +145,10 @@ def test_redaction(documents):
             text = text[:start] + MASK + text[end:]
         assert (r.text, r.n_chars) == (text, len(text))
     others = [(r.doc_id, r.text) for r in got if r.doc_id is None or r.doc_id < 100]
-    assert sorted(map(repr, others)) == sorted(map(repr, CASES))
+    # the only secrets among the cases are long runs of a and b, which are hexadecimal
+    hidden = [(i, t and HEX.sub(lambda m: MASK if len(m[0]) >= 32 else m[0], t)) for i, t in CASES]
+    assert {i for (i, t), (_, now) in zip(CASES, hidden) if t != now} == {11, 12, 15, 16}
+    assert sorted(map(repr, others)) == sorted(map(repr, hidden))
 
 
 def test_no_documents(documents):
