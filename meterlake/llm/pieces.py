@@ -15,10 +15,10 @@ import numpy as np
 from meterlake.llm.spans import long_hash, mixed_runs
 
 #: Characters of a block; a longer text is cut where two pieces meet.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 #: Places of the table of known pieces, and the pieces after which it starts anew.
 SLOTS = 1 << 22
-MOST_PIECES = 1 << 21
+MOST_PIECES = 1 << 20
 #: Characters of a piece that is found by hash; a longer one is found by its text.
 LONG_PIECE = 48
 #: Ids, and characters of long pieces, after which the table starts anew.

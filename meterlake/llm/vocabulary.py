@@ -14,6 +14,8 @@ from meterlake.llm.merges import MergeReplay
 from meterlake.llm.pieces import Pieces, class_table, every_character
 
 _CLASSES = (r"\p{L}", r"\p{N}", r"\s")
+#: Words handed to the tokenizers library at a time: it returns far more than the ids of each.
+WORDS_AT_A_TIME = 4096
 
 
 def _matched_by_tiktoken(pattern: str) -> str:
@@ -59,7 +61,13 @@ def library_pieces(path: str, end_id: int) -> Pieces:
             raise ValueError(f"added token {token.content!r} takes more than its own characters")
 
     def encode(words: list[str]) -> list[Sequence[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [
+            encoded.ids
+            for at in range(0, len(words), WORDS_AT_A_TIME)
+            for encoded in tokenizer.encode_batch_fast(
+                words[at : at + WORDS_AT_A_TIME], add_special_tokens=False
+            )
+        ]
 
     return Pieces(encode, _classes(), [end_id], [token.content for token in added])
 

@@ -121,6 +121,34 @@ def test_table_of_pieces_starts_anew(ranked, monkeypatch):
     assert ids_of(merging_pieces(RANKS)[0], texts) == [ranked.encode_ordinary(t) for t in texts]
 
 
+def test_few_words_at_a_time_go_to_the_library(library, monkeypatch):
+    """Many new words do not make as many objects of the library at once."""
+    import tokenizers
+
+    class Counting:
+        def __init__(self, inner):
+            self._inner = inner
+
+        def __getattr__(self, name):
+            return getattr(self._inner, name)
+
+        def encode_batch_fast(self, words, **options):
+            sizes.append(len(words))
+            return self._inner.encode_batch_fast(words, **options)
+
+        @staticmethod
+        def from_file(path):
+            return Counting(Tokenizer.from_file(path))
+
+    sizes: list[int] = []
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counting)
+    pieces = library_pieces.__wrapped__(JSON, 1)
+    texts = [" ".join(f"w{i}x" for i in range(at, at + 6_000)) for at in range(0, 18_000, 6_000)]
+    texts += odd_texts(200)
+    assert ids_of(pieces, texts) == [library(t) + [1] for t in texts]
+    assert 1 < len(sizes) and max(sizes) <= 4_096
+
+
 def test_replay_of_overlapping_merges():
     tokens = [bytes([i]) for i in range(256)]
     tokens += [b"aa", b"ab", b"aaaa", b"bc", b"aab", b"abc", b"ca"]
