@@ -211,3 +211,19 @@ def test_queries_on_stored_gold_verify_it(spark, monkeypatch, name):
     monkeypatch.setattr(jobs, "verify_gold", recorded)
     queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert len(verified) == 1
+
+
+def test_many_small_files_are_opened_once_for_gold(spark, bronze_root, tmp_path, monkeypatch):
+    typed = silver.typed(read_bronze(spark, bronze_root))
+    write_silver(typed, str(tmp_path / "silver"))
+    rows = read_silver(spark, str(tmp_path / "silver"))
+    direct = jobs.read_once(rows)
+    assert set(direct.inputFiles()) == set(rows.inputFiles())
+    monkeypatch.setattr(jobs, "MANY_FILES", 2)
+    stored = jobs.read_once(rows)
+    assert not set(stored.inputFiles()) & set(rows.inputFiles())
+    assert rows_of(stored) == rows_of(direct)
+    assert jobs.build_gold(rows, str(tmp_path / "gold"))["faktentabelle"] == 8
+    checks = verify_gold(read_gold(spark, str(tmp_path / "gold")), rows)
+    assert not set(checks.inputFiles()) & set(rows.inputFiles())  # silver was counted once, before
+    assert all(check.passed for check in checks.collect())
